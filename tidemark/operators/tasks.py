@@ -1,0 +1,172 @@
+"""Set-based tasks: corruption of values, scoring of decisions, and the log of episodes.
+
+The loop of an agent is `Environment`; everything that scores is a column expression, so any number of decisions is scored
+in one plan. Random choices are hashes of a key and a seed, the same on every run and engine setting.
+"""
+
+from __future__ import annotations
+
+import json
+from datetime import datetime, timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.operators.asof import Clock, forward_value
+from tidemark.operators.channels import REGISTRY, TIERS, available
+
+
+def uniform(seed: int, *key: Column) -> Column:
+    """A number in [0, 1) that depends on the key and the seed alone."""
+    return F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
+def corrupted(df: DataFrame, value: str, key: list[str], seed: int = 0, share: float = 0.4) -> DataFrame:
+    """`df` with `shown`, `shown_date` and `is_bad`: a share of values is spiked, negated, zeroed or dated 2099."""
+    keys = [F.col(k) for k in key]
+    kind = F.floor(uniform(seed + 1, *keys) * 4)
+    bad = uniform(seed, *keys) < share
+    spike = F.lit(3.0) + uniform(seed + 2, *keys) * 9.0
+    v = F.col(value)
+    shown = F.when(~bad, v).when(kind == 0, v * spike).when(kind == 1, -v).when(kind == 2, F.lit(0.0)).otherwise(v)
+    date = F.when(bad & (kind == 3), F.lit("2099-01-01").cast("date")).otherwise(F.col("event_time").cast("date"))
+    return df.select("*", shown.alias("shown"), date.alias("shown_date"), bad.alias("is_bad"))
+
+
+def approve(shown: Column, reference: Column, date: Column) -> Column:
+    """The rule policy: reject values that are not positive, dated 2099, above 2.5 or below 0.4 times the reference."""
+    bad = (shown <= 0) | (F.year(date) >= 2099) | (shown > 2.5 * reference) | (shown < 0.4 * reference)
+    return F.when(bad, "reject").otherwise("approve")
+
+
+def approval_reward(decision: Column, is_bad: Column) -> Column:
+    """1 for a right decision, else -1; text that holds `reject` rejects, whatever else it holds."""
+    rejected = F.contains(F.lower(decision), F.lit("reject"))
+    return F.when(rejected == is_bad, 1.0).otherwise(-1.0)
+
+
+def forecast_reward(decision: Column, now: Column, later: Column) -> Column:
+    """1 where `up` meets later >= now or `down` meets later < now, else -1; 0 where a price is missing."""
+    up = F.contains(F.lower(decision), F.lit("up"))
+    return F.when(now.isNull() | later.isNull(), 0.0).when(up == (later >= now), 1.0).otherwise(-1.0)
+
+
+def trading_reward(decision: Column, now: Column, later: Column) -> Column:
+    """Position times return in per cent: long 1, short -1, else 0."""
+    text = F.lower(decision)
+    position = F.when(F.contains(text, F.lit("long")), 1.0).when(F.contains(text, F.lit("short")), -1.0).otherwise(0.0)
+    return F.coalesce(F.round(position * F.try_divide(later - now, F.nullif(now, F.lit(0.0))) * 100, 4), F.lit(0.0))
+
+
+def outcomes(bars: DataFrame, decisions: DataFrame, days: int) -> DataFrame:
+    """decisions (entity, at, decision) with the price then and `days` days later; this looks ahead, to score only."""
+    d = decisions.withColumn("at", F.col("at").cast("timestamp"))
+    now = forward_value(bars, d.select("entity", "at").distinct()).withColumnRenamed("close", "now")
+    ahead = d.select("entity", (F.col("at") + F.expr(f"INTERVAL {days} DAYS")).alias("at")).distinct()
+    later = forward_value(bars, ahead).select("entity", (F.col("at") - F.expr(f"INTERVAL {days} DAYS")).alias("at"), F.col("close").alias("later"))
+    return d.join(now, ["entity", "at"], "left").join(later, ["entity", "at"], "left")
+
+
+def parse_action(raw) -> tuple[str, str, dict]:
+    """(kind, name or text, arguments): JSON with `tool` asks for a tool, all else decides; broken JSON decides as text."""
+    obj = raw
+    if isinstance(raw, str):
+        try:
+            obj = json.loads(raw)
+        except ValueError:
+            return "decide", raw, {}
+    if isinstance(obj, dict):
+        if obj.get("tool"):
+            return "tool", str(obj["tool"]), {k: v for k, v in (obj.get("args") or {}).items()}
+        return "decide", str(obj.get("action", raw)), {}
+    return "decide", str(raw), {}
+
+
+def parsed_actions(raw: Column) -> Column:
+    """The same for a column: struct(kind, text)."""
+    tool, action = F.get_json_object(raw, "$.tool"), F.get_json_object(raw, "$.action")
+    asks = tool.isNotNull() & (tool != "")
+    return F.when(asks, F.struct(F.lit("tool").alias("kind"), tool.alias("text"))).otherwise(F.struct(F.lit("decide").alias("kind"), F.coalesce(action, raw).alias("text")))
+
+
+TRAJECTORY = T.StructType(
+    [
+        *(T.StructField(c, T.StringType()) for c in ("episode_id", "agent", "task")),
+        T.StructField("step", T.IntegerType()),
+        *(T.StructField(c, T.StringType()) for c in ("as_of", "access_tier", "action_type", "action")),
+        T.StructField("reward", T.DoubleType()),
+        T.StructField("cum_reward", T.DoubleType()),
+        T.StructField("scored", T.BooleanType()),
+        T.StructField("done", T.BooleanType()),
+        *(T.StructField(c, T.StringType()) for c in ("observation_json", "prompt_json", "tool_results_json", "info_json")),
+    ]
+)
+
+
+def with_cumulative(log: DataFrame) -> DataFrame:
+    """`log` with cum_reward summed along each episode."""
+    w = Window.partitionBy("episode_id").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    return log.withColumn("cum_reward", F.sum(F.coalesce("reward", F.lit(0.0))).over(w))
+
+
+class Environment:
+    """Observe, ask tools, decide. A tool call costs budget and leaves the clock; a decision scores and moves it."""
+
+    def __init__(self, lake, task, start: datetime, end: datetime, step_days: float = 1, tier: str = "basic", budget: int = 3, observe=None):
+        if tier not in TIERS:
+            raise ValueError(f"unknown tier {tier}")
+        self.lake, self.task, self.tier, self.full = lake, task, tier, budget
+        self.observe = observe or (lambda lake, t: {})
+        self.start, self.end, self.step_days = start, end, step_days
+        self.reset()
+
+    def reset(self) -> dict:
+        self.clock = Clock(self.start, self.end, self.step_days)
+        self.budget, self.steps, self.results, self.log, self.total = self.full, 0, [], [], 0.0
+        return self.packet(None, False, {})
+
+    def step(self, action) -> dict:
+        kind, text, args = parse_action(action)
+        reward, info, as_of = None, {}, self.clock.iso()
+        if kind == "tool":
+            info = self._tool(text, args)
+        else:
+            reward, info = self.task(text, self.clock.now, self.lake)
+            self.clock.advance()
+            self.steps += 1
+            self.budget, self.results = self.full, []
+        packet = self.packet(reward, kind == "decide", info)
+        self.total += reward or 0.0
+        self.log.append((self.steps, as_of, kind, action if isinstance(action, str) else json.dumps(action), reward, self.total, kind == "decide", self.clock.done, json.dumps(packet["observation"], default=str), None, json.dumps(self.results, default=str), json.dumps(info, default=str)))
+        return packet
+
+    def _tool(self, name: str, args: dict) -> dict:
+        tool = REGISTRY.get(name)
+        if tool is None or name not in available(self.tier):
+            return {"error": f"tool {name} is not available to tier {self.tier}"}
+        if tool.cost > self.budget:
+            return {"error": "the tool budget is spent"}
+        self.budget -= tool.cost
+        try:
+            rows = [r.asDict() for r in tool.run(self.lake, self.clock.now.isoformat(sep=" "), **args).limit(50).collect()]
+        except (TypeError, KeyError, ValueError) as e:
+            return {"error": str(e)}
+        self.results.append({"tool": name, "rows": rows})
+        return {"rows": len(rows)}
+
+    def packet(self, reward, scored: bool, info: dict) -> dict:
+        observation = {} if self.clock.done else self.observe(self.lake, self.clock.now)
+        return {"as_of": self.clock.iso(), "access_tier": self.tier, "tool_budget_left": self.budget, "available_tools": available(self.tier), "tool_results": list(self.results), "observation": observation, "text": json.dumps(self.results, default=str)[:2000], "reward": reward, "scored": scored, "done": self.clock.done, "info": info}
+
+    def trajectory(self, spark: SparkSession, episode: str, agent: str, task: str) -> DataFrame:
+        rows = [(episode, agent, task, s, at, self.tier, kind, act, r, c, sc, d, o, p, tr, i) for s, at, kind, act, r, c, sc, d, o, p, tr, i in self.log]
+        return spark.createDataFrame(rows, TRAJECTORY)
+
+
+def random_start(seed: int, low: datetime, high: datetime) -> datetime:
+    """A start of an episode between two days, from a seed."""
+    import hashlib
+
+    share = int.from_bytes(hashlib.sha256(str(seed).encode()).digest()[:6], "big") / 2**48
+    return low + timedelta(days=int((high - low).days * share))
