@@ -133,9 +133,9 @@ def tech_returns(s, d):
     return windows.technical(bars(s, d)).select("entity", us("event_time"), r("ret_1d", 6), r("ret_1m", 6), r("ret_12m", 6))
 
 
-@query(_tech("round(avg(close) OVER w50, 6) AS sma50, round(avg(close) OVER w200, 6) AS sma200"))
+@query(_tech("round(avg(close) OVER w50, 9) AS sma50, round(avg(close) OVER w200, 9) AS sma200"))
 def tech_sma(s, d):
-    return windows.technical(bars(s, d)).select("entity", us("event_time"), r("sma50", 6), r("sma200", 6))
+    return windows.technical(bars(s, d)).select("entity", us("event_time"), r("sma50", 9), r("sma200", 9))
 
 
 @query(_tech("round(stddev_samp(ret_1d) OVER w21 * sqrt(252), 6) AS vol_21d"))
@@ -402,7 +402,7 @@ def _decisions(s, d):
 _OUT = f"WITH b AS {BARS}, d AS (SELECT entity, event_time AS asked, CASE volume % 3 WHEN 0 THEN 'up long' WHEN 1 THEN 'down short' ELSE 'flat' END AS decision FROM b), o AS (SELECT d.*, n.close AS now, l.close AS later FROM d ASOF LEFT JOIN b n ON n.entity = d.entity AND n.event_time >= d.asked ASOF LEFT JOIN b l ON l.entity = d.entity AND l.event_time >= d.asked + INTERVAL 5 DAY) "
 
 
-@query(_OUT + "SELECT entity, epoch_us(asked) AS at, CASE WHEN now IS NULL OR later IS NULL THEN 0.0 WHEN contains(decision, 'up') = (later >= now) THEN 1.0 ELSE -1.0 END AS reward FROM o")
+@query(_OUT + "SELECT entity, epoch_us(asked) AS at, CASE WHEN now IS NULL OR later IS NULL THEN 0.0::DOUBLE WHEN contains(decision, 'up') = (later >= now) THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS reward FROM o")
 def forecast_reward(s, d):
     df = tasks.outcomes(bars(s, d), _decisions(s, d), 5)
     return df.select("entity", us("at"), tasks.forecast_reward(F.col("decision"), F.col("now"), F.col("later")).alias("reward"))
@@ -414,11 +414,11 @@ def trading_reward(s, d):
     return df.select("entity", us("at"), (tasks.trading_reward(F.col("decision"), F.col("now"), F.col("later")) + F.lit(0.0)).alias("reward"))
 
 
-@query(_OUT + "SELECT entity, epoch_us(asked) AS at, round(sum(coalesce(round(CASE WHEN contains(decision, 'long') THEN 1.0 WHEN contains(decision, 'short') THEN -1.0 ELSE 0.0 END * (later - now) / nullif(now, 0) * 100, 4), 0.0)) OVER (PARTITION BY entity ORDER BY asked ROWS UNBOUNDED PRECEDING), 3) + 0.0 AS cum_reward FROM o")
+@query(_OUT + "SELECT entity, epoch_us(asked) AS at, round(sum(coalesce(round(CASE WHEN contains(decision, 'long') THEN 1.0 WHEN contains(decision, 'short') THEN -1.0 ELSE 0.0 END * (later - now) / nullif(now, 0) * 100, 4), 0.0)) OVER (PARTITION BY entity ORDER BY asked ROWS UNBOUNDED PRECEDING), 6) + 0.0 AS cum_reward FROM o")
 def cum_reward(s, d):
     df = tasks.outcomes(bars(s, d), _decisions(s, d), 5)
     log = df.select(F.col("entity").alias("episode_id"), F.col("at").alias("step"), tasks.trading_reward(F.col("decision"), F.col("now"), F.col("later")).alias("reward"))
-    return tasks.with_cumulative(log).select(F.col("episode_id").alias("entity"), us("step").alias("at"), r("cum_reward", 3))
+    return tasks.with_cumulative(log).select(F.col("episode_id").alias("entity"), us("step").alias("at"), r("cum_reward", 6))
 
 
 @query()
