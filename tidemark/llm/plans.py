@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import repeats
 from tidemark.llm.bpe import token_ids
 from tidemark.llm.pairs import associations, basket_table, distinct_items, wrong_weights
 from tidemark.llm.variants import linked, variant_pairs
@@ -61,13 +62,18 @@ def p5_found(spark: SparkSession, root: str) -> DataFrame:
     return variant_pairs(p5_spellings(spark, root))
 
 
+def p7_found(spark: SparkSession, root: str) -> DataFrame:
+    """Rows of Form 4 that report a transaction again, with its first row."""
+    return repeats(table(spark, root, "insider_form4"))
+
+
 def p8_ids(spark: SparkSession, root: str) -> DataFrame:
     """Ids of each document's text; null and empty texts have none."""
     return table(spark, root, "documents").select("doc_id", token_ids(F.col("text")).alias("ids"))
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_associations": p2_associations, "p5_found": p5_found, "p5_spellings": p5_spellings, "p8_ids": p8_ids}
+    return {"p2_found": p2_found, "p2_associations": p2_associations, "p5_found": p5_found, "p5_spellings": p5_spellings, "p7_found": p7_found, "p8_ids": p8_ids}
 
 
 def sql() -> dict:
