@@ -7,40 +7,36 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.batches import repeats
 from tidemark.llm.bpe import token_ids
-from tidemark.llm.pairs import associations, basket_table, distinct_items, wrong_weights
+from tidemark.llm.pairs import Baskets, associations, gather, numbered, wrong_weights
 from tidemark.llm.variants import linked, variant_pairs
 from tidemark.operators.packed import split_packed
 from tidemark.tables import table
 
 
-def named_organisations(spark: SparkSession, root: str) -> DataFrame:
-    """Distinct `basket, quarter, item`: url, quarter of the article, and each organisation that it names."""
+def co_mentions(spark: SparkSession, root: str) -> Baskets:
+    """Articles (urls) as baskets of organisations; parts are quarters."""
     news = table(spark, root, "news_gkg").where("url is not null")
     quarter = F.date_format(F.date_trunc("quarter", "event_time"), "yyyy-MM-dd")
-    src = news.select(F.col("url").alias("basket"), F.coalesce(quarter, F.lit("")).alias("quarter"), "organizations")
-    return distinct_items(split_packed(src, "organizations", ["basket", "quarter"]).withColumnRenamed("item_value", "item"), ["basket", "quarter"])
+    src = news.select(F.col("url").alias("basket"), quarter.alias("quarter"), "organizations")
+    return gather(split_packed(src, "organizations", ["basket", "quarter"], flat=False), "basket", "quarter", "items")
 
 
 def p2_associations(spark: SparkSession, root: str) -> DataFrame:
     """Pairs of organisations with at least 8 articles in common, with counts, lift and conviction."""
-    return _associations(spark, root, basket_table(named_organisations(spark, root)))
-
-
-def _associations(spark, root, named):
-    total = table(spark, root, "news_gkg").where("url is not null").agg(F.count_distinct("url")).first()[0]
-    return associations(named.select("basket", "item").distinct(), total)
+    baskets = co_mentions(spark, root)
+    return associations(*numbered(baskets, 8), baskets.total)
 
 
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
     """Pairs far above chance, and co-mention edges whose weight is wrong."""
-    named = basket_table(named_organisations(spark, root))
-    strong = _associations(spark, root, named).where("together * total >= 10 * n_a * n_b")
     edges = table(spark, root, "entity_graph").where("kind = 'co_mention' and entity is not null and dst is not null and entity != dst and event_time is not null")
-    edges = edges.select(F.date_format(F.date_trunc("quarter", "event_time"), "yyyy-MM-dd").alias("quarter"), F.least("entity", "dst").alias("item_a"), F.greatest("entity", "dst").alias("item_b"), "weight").distinct()
-    wrong = wrong_weights(named, edges)
-    return strong.select(F.lit("association").alias("case_kind"), F.col("item_a").alias("org_a"), F.col("item_b").alias("org_b"), F.lit("").alias("quarter_start")).unionByName(
-        wrong.select(F.lit("weight").alias("case_kind"), F.col("item_a").alias("org_a"), F.col("item_b").alias("org_b"), F.col("quarter").alias("quarter_start"))
-    )
+    edges = edges.select(F.date_format(F.date_trunc("quarter", "event_time"), "yyyy-MM-dd").alias("part"), F.least("entity", "dst").alias("item_a"), F.greatest("entity", "dst").alias("item_b"), "weight").distinct()
+    baskets = co_mentions(spark, root)
+    rows, words = numbered(baskets, 8, edges.select(F.explode(F.array("item_a", "item_b")).alias("name")))
+    strong = associations(rows, words, baskets.total).where("together * total >= 10 * n_a * n_b")
+    wrong = wrong_weights(rows, words, edges)
+    case = lambda kind, df, quarter: df.select(F.lit(kind).alias("case_kind"), F.col("item_a").alias("org_a"), F.col("item_b").alias("org_b"), quarter.alias("quarter_start"))
+    return case("association", strong, F.lit("")).unionByName(case("weight", wrong, F.col("part")))
 
 
 def p5_spellings(spark: SparkSession, root: str) -> DataFrame:
