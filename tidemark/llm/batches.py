@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import roots
-from tidemark.llm.names import same_person
+from tidemark.llm.names import edits, person_words, same_person
 from tidemark.session import cut
 
 HOURS, PRICE = 18.0, 0.0051
@@ -121,14 +121,20 @@ def _fits() -> Column:
     )
 
 
-def owners_fit(x: str, y: str) -> Column:
-    """Whether two owners may be one person; a null owner fits all."""
+def owners_fit(x: str, y: str, strong: str) -> Column:
+    """Whether two owners may be one person; a null owner fits all.
 
-    @F.pandas_udf("double")
-    def sure(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([1.0 if x is None or y is None else same_person(x, y) for x, y in zip(a, b)], dtype=float)
+    Where price and holdings agree to the last digit (`strong`), it is enough that a word of the names is alike."""
 
-    return sure(x, y) >= 0.6
+    @F.pandas_udf("boolean")
+    def fit(a: pd.Series, b: pd.Series, s: pd.Series) -> pd.Series:
+        return pd.Series([x is None or y is None or same_person(x, y) >= 0.6 or (bool(z) and alike(x, y)) for x, y, z in zip(a, b, s)], dtype=bool)
+
+    return fit(x, y, strong)
+
+
+def alike(x: str, y: str) -> bool:
+    return any(len(v) > 3 and len(w) > 3 and edits(v, w, 2) <= 2 for v in person_words(x) for w in person_words(y))
 
 
 def near_links(history: DataFrame, batch: DataFrame, crowd: int = 200) -> DataFrame:
@@ -144,8 +150,8 @@ def near_links(history: DataFrame, batch: DataFrame, crowd: int = 200) -> DataFr
         full = cut(full, "crowded")
         split = lambda df, b: df.join(full, "key", "left_anti").unionByName(_refined(df.join(full, "key", "left_semi"), b))
         held, asked = split(held, False), split(asked, True)
-    pairs = pack(held, "a").join(pack(asked, "b"), "key").where(_fits()).select("a.row_id", "b.row_id", "a.owner", "b.owner").toDF("parent", "id", "x", "y")
-    return pairs.where((F.col("x") == F.col("y")) | (owners_fit("x", "y"))).groupBy("id").agg(F.min("parent").alias("parent"))
+    pairs = pack(held, "a").join(pack(asked, "b"), "key").where(_fits()).select("a.row_id", "b.row_id", "a.owner", "b.owner", F.expr("coalesce(a.after = b.after and a.price > 0, false)")).toDF("parent", "id", "x", "y", "strong")
+    return pairs.where((F.col("x") == F.col("y")) | owners_fit("x", "y", "strong")).groupBy("id").agg(F.min("parent").alias("parent"))
 
 
 def hash_links(df: DataFrame) -> DataFrame:
