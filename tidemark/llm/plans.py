@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.batches import repeats
 from tidemark.llm.bpe import token_ids
+from tidemark.llm.mixing import mixed
 from tidemark.llm.pairs import Baskets, associations, gather, numbered, wrong_weights
+from tidemark.llm.reading import ENGLISH_FROM, reading_levels
 from tidemark.llm.variants import linked, variant_pairs
 from tidemark.operators.packed import split_packed
 from tidemark.tables import table
@@ -68,8 +70,35 @@ def p8_ids(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "documents").select("doc_id", token_ids(F.col("text")).alias("ids"))
 
 
+def p9_mix(spark: SparkSession, root: str) -> DataFrame:
+    """The mixture's report: what each source was to contribute, and what it does."""
+    return mixed(table(spark, root, "documents"), table(spark, root, "mix_targets"))[1]
+
+
+def p9_selection(spark: SparkSession, root: str) -> DataFrame:
+    """The mixture itself: each document used, for which source, and how often."""
+    return mixed(table(spark, root, "documents"), table(spark, root, "mix_targets"))[0]
+
+
+def p10_levels(spark: SparkSession, root: str) -> DataFrame:
+    """Reading level of each document with a word, with the measures behind it."""
+    return reading_levels(table(spark, root, "documents"), table(spark, root, "reading_labels"))
+
+
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    """English documents of at least 60 words at level 4 or 5."""
+    return p10_levels(spark, root).where(f"english > {ENGLISH_FROM} and pieces >= 60 and level >= 4").select("doc_id")
+
+
+def p10_profile(spark: SparkSession, root: str) -> DataFrame:
+    """Number of English documents of each source and level."""
+    docs = table(spark, root, "documents").select("doc_id", "source")
+    levels = p10_levels(spark, root).where(f"english > {ENGLISH_FROM} and pieces >= 60").select("doc_id", "level")
+    return docs.join(levels, "doc_id").groupBy("source", "level").agg(F.count("*").alias("documents"))
+
+
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_associations": p2_associations, "p5_found": p5_found, "p5_spellings": p5_spellings, "p7_found": p7_found, "p8_ids": p8_ids}
+    return {"p2_found": p2_found, "p2_associations": p2_associations, "p5_found": p5_found, "p5_spellings": p5_spellings, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_selection": p9_selection, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
 
 
 def sql() -> dict:
