@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.batches import repeats
 from tidemark.llm.bpe import token_ids
+from tidemark.llm.matching import check_digit_fits, matched
 from tidemark.llm.mixing import mixed
 from tidemark.llm.pairs import Baskets, associations, gather, numbered, wrong_weights
 from tidemark.llm.reading import ENGLISH_FROM, reading_levels
@@ -60,6 +61,29 @@ def p5_found(spark: SparkSession, root: str) -> DataFrame:
     return variant_pairs(p5_spellings(spark, root))
 
 
+def p6_matches(spark: SparkSession, root: str) -> DataFrame:
+    """Issuers of 13F (the first six signs of their CUSIPs) and companies (CIK), with the confidence of each match."""
+    lines = table(spark, root, "holdings_13f").where("cusip is not null")
+    lines = lines.select(F.substring(F.upper(F.regexp_replace("cusip", r"\s", "")), 1, 9).alias("cusip"), "issuer", "event_time", (F.col("value_usd_thousands") * 1000 / F.nullif("shares", F.lit(0.0))).alias("price"))
+    lines = lines.where(check_digit_fits(F.col("cusip"))).withColumn("l", F.substring("cusip", 1, 6))
+    left = lines.where("issuer is not null and trim(issuer) != ''").groupBy(F.col("l").alias("entity"), F.col("issuer").alias("name")).agg(F.count("*").alias("n"))
+    day = lambda c: F.col(c).cast("date")
+    implied = lines.where("price > 0").groupBy("l", day("event_time").alias("day")).agg(F.median("price").alias("price"))
+    master = table(spark, root, "security_master").where("cik is not null and record_type = 'identity'").select("entity", F.regexp_replace(F.trim("cik"), "^0+", "").alias("r"), "name").where("r != ''")
+    right = master.where("name is not null and trim(name) != ''").groupBy(F.col("r").alias("entity"), "name").agg(F.count("*").alias("n"))
+    days = implied.select("day").distinct()
+    bars = table(spark, root, "features").where("close > 0").select("entity", day("event_time").alias("day"), "close")
+    closes = bars.join(days, "day", "left_semi").join(master.select("entity", "r").distinct(), "entity").groupBy("r", "day").agg(F.median("close").alias("close"))
+    return matched(left, right, implied, closes).select(F.col("r").alias("cik"), F.col("l").alias("issuer_number"), "confidence", "support")
+
+
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    """Each full CUSIP of a company that has a CIK."""
+    cusips = table(spark, root, "holdings_13f").where(check_digit_fits(F.col("cusip"))).select("cusip").distinct()
+    matches = p6_matches(spark, root).select("cik", "issuer_number")
+    return cusips.withColumn("issuer_number", F.substring("cusip", 1, 6)).join(matches, "issuer_number").select("cik", "cusip")
+
+
 def p7_found(spark: SparkSession, root: str) -> DataFrame:
     """Rows of Form 4 that report a transaction again, with its first row."""
     return repeats(table(spark, root, "insider_form4"))
@@ -98,7 +122,7 @@ def p10_profile(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_associations": p2_associations, "p5_found": p5_found, "p5_spellings": p5_spellings, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_selection": p9_selection, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
+    return {"p2_found": p2_found, "p2_associations": p2_associations, "p5_found": p5_found, "p5_spellings": p5_spellings, "p6_found": p6_found, "p6_matches": p6_matches, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_selection": p9_selection, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
 
 
 def sql() -> dict:
