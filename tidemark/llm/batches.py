@@ -90,7 +90,11 @@ VIEWS = (
     ("price", "after is null", "shares is null"),
     ("price", "shares is null", "after is null"),
 )
-SPLIT = {"shares": ("ln(greatest(shares, 1))", 0.05, 0.02), "after": ("ln(greatest(after, 1))", 0.1, 0.03), "price": ("p2", 2.0, 1.0)}
+SPLIT = {"shares": ("ln(greatest(shares, 0) + 100)", 0.05, 0.02), "after": ("ln(greatest(after, 1))", 0.1, 0.03), "price": ("p2", 2.0, 1.0)}
+
+
+def _of_view(i: int):
+    return lambda c: F.struct(F.lit(i).alias("v"), c.alias("c"))
 
 
 def _refined(keyed: DataFrame, batch: bool) -> DataFrame:
@@ -99,7 +103,8 @@ def _refined(keyed: DataFrame, batch: bool) -> DataFrame:
         value, width, reach = SPLIT[by]
         x = F.expr(value)
         cells = _span(x, width, reach) if batch else F.array(F.floor(x / width))
-        views.append(F.when(F.expr(there if batch else here), F.transform(cells, lambda c, i=i: F.struct(F.lit(i).alias("v"), c.alias("c")))).otherwise(F.array()))
+        named = F.transform(cells, _of_view(i))
+        views.append(F.when(F.expr(there if batch else here), named).otherwise(F.array().cast("array<struct<v:int,c:bigint>>")))
     out = keyed.select(*keyed.columns, F.inline(F.concat(*views)))
     return out.withColumn("key", F.xxhash64("key", "v", "c")).drop("v", "c")
 

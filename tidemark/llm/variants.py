@@ -89,12 +89,14 @@ def linked(names: DataFrame, persons: bool, sizes: tuple[int, ...], least_cosine
     pairs = similar_pairs(nodes, sizes, least_cosine)
     shown = lambda n: nodes.select(F.col("id").alias(n), F.col("name").alias(f"name_{n}"))
     same = same_person if persons else same_organisation
+    telling = (lambda n: sum(map(len, person_words(n)))) if persons else (lambda n: (len(organisation(n)[1]), len(n)))
 
     @F.pandas_udf("double")
     def score(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([same(x, y) for x, y in zip(a, b)], dtype=float)
+        got = [same(x, y) for x, y in zip(a, b)]
+        return pd.Series([-s if s < STRONG and telling(y) < telling(x) else s for s, x, y in zip(got, a, b)], dtype=float)
 
-    edges = pairs.join(shown("a"), "a").join(shown("b"), "b").select("a", "b", score("name_a", "name_b").alias("sim")).where("sim > 0")
+    edges = pairs.join(shown("a"), "a").join(shown("b"), "b").select("a", "b", score("name_a", "name_b").alias("sim")).where("sim != 0")
     edges = cut(edges, "links")
     grouped = edges.join(components(edges).withColumnRenamed("id", "a"), "a").withColumn("part", F.pmod(F.xxhash64("component"), F.lit(buckets)))
 
@@ -110,19 +112,18 @@ def linked(names: DataFrame, persons: bool, sizes: tuple[int, ...], least_cosine
 
 
 def cluster(edges: list[tuple[int, int, float]], least: float = 0.15) -> list[tuple[int, int]]:
-    """(node, cluster) of one component: average linkage over strong edges, then unambiguous weak ones."""
+    """(node, cluster) of one component: average linkage over strong edges, then unambiguous weak ones.
+
+    A weak edge has the similarity's sign turned if its second node tells less than its first. The group that tells less
+    joins the other one if no further group fits it as well."""
     ids = sorted({x for e in edges for x in e[:2]})
     at = {x: i for i, x in enumerate(ids)}
-    strong = [(at[a], at[b], s) for a, b, s in edges if s >= STRONG]
-    weak = [(at[a], at[b], s) for a, b, s in edges if s < STRONG]
-    group = _average_linkage(len(ids), strong, least)
+    group = _average_linkage(len(ids), [(at[a], at[b], s) for a, b, s in edges if s >= STRONG], least)
     choices: dict[int, dict[int, float]] = {}
-    for a, b, s in weak:
-        x, y = group[a], group[b]
-        if x != y:
-            choices.setdefault(x, {})[y] = max(s, choices.get(x, {}).get(y, 0))
-            choices.setdefault(y, {})[x] = max(s, choices.get(y, {}).get(x, 0))
-    # of two groups with a weak edge, that which fits one other group only is the one that tells less
+    for a, b, s in edges:
+        less, more = (group[at[a]], group[at[b]])[:: -1 if s < 0 else 1]
+        if s < STRONG and less != more:
+            choices.setdefault(less, {})[more] = max(abs(s), choices.get(less, {}).get(more, 0))
     parent = {g: g for g in set(group)}
 
     def root(g: int) -> int:
@@ -130,14 +131,10 @@ def cluster(edges: list[tuple[int, int, float]], least: float = 0.15) -> list[tu
             g = parent[g]
         return g
 
-    full = {g for g, c in choices.items() if len(c) > 1 and all(len(choices[o]) == 1 for o in c)}
-    for g, c in sorted(choices.items()):
-        if g in full:
-            continue
-        best = max(c.values())
-        fits = [o for o, s in c.items() if s == best]
-        if len(fits) == 1:
-            parent[max(root(g), root(fits[0]))] = min(root(g), root(fits[0]))
+    for less, c in sorted(choices.items()):
+        fits = [o for o, s in c.items() if s == max(c.values())]
+        if len(fits) == 1 and root(less) != root(fits[0]):
+            parent[root(less)] = root(fits[0])
     named: dict[int, int] = {}
     for i, g in enumerate(group):
         named.setdefault(root(g), ids[i])
