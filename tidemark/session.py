@@ -57,6 +57,12 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over all cores, for work whose cost lies in its rows and not in its bytes; adaptive execution leaves it so."""
+    spark = df.sparkSession
+    return df.repartition(2 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def _remove(spark: SparkSession, path: str, pid: int) -> None:
     if os.getpid() != pid:
         return
