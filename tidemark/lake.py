@@ -22,13 +22,34 @@ class Lake:
         target = jvm.org.apache.hadoop.fs.Path(path)
         return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
+    def _folders(self, path: str) -> list[str]:
+        jvm = self.spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        files = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return sorted(s.getPath().getName() for s in files.listStatus(target) if s.isDirectory()) if files.exists(target) else []
+
+    def sources(self, domain: str | None = None, source: str | None = None) -> list[tuple[str, str]]:
+        """(domain, source) of all that the lake holds."""
+        value = lambda name: name.split("=", 1)[1]
+        domains = [value(n) for n in self._folders(self.root) if n.startswith("domain=") and domain in (None, value(n))]
+        return [(d, value(n)) for d in domains for n in self._folders(f"{self.root}/domain={d}") if n.startswith("source=") and source in (None, value(n))]
+
+    def _one(self, domain: str, source: str) -> DataFrame:
+        return self.spark.read.option("mergeSchema", True).option("basePath", self.root).parquet(self.path(domain, source))
+
     def scan(self, domain: str | None = None, source: str | None = None, kind: str | None = None) -> DataFrame:
-        """Rows of a domain, source or kind, pruned to their folders; columns missing from some files are null."""
-        df = self.spark.read.option("mergeSchema", True).option("basePath", self.root).parquet(self.root)
-        for column, value in (("domain", domain), ("source", source), ("kind", kind)):
-            if value is not None:
-                df = df.where(F.col(column) == value)
-        return strict(df) if self.strict else df
+        """Rows of a domain, source or kind, pruned to their folders; columns missing from some files are null.
+
+        Sources are partitioned by keys of their own, so several sources are read one by one and put together by name."""
+        out = None
+        for d, s in self.sources(domain, source):
+            df = self._one(d, s)
+            out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+        if out is None:
+            raise FileNotFoundError(f"the lake has no {domain or '*'}/{source or '*'}")
+        if kind is not None:
+            out = out.where(F.col("kind") == kind)
+        return strict(out) if self.strict else out
 
     def write(self, df: DataFrame, domain: str, source: str, overwrite: bool = False, **keys: str) -> bool:
         """Writes one shard; False, and nothing done, if it is there and must not be overwritten."""
@@ -58,8 +79,11 @@ class Lake:
 
     def inventory(self) -> DataFrame:
         """Files, bytes and rows of each source, with its class."""
-        files = self.scan().select("domain", "source", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b"))
-        per_file = files.groupBy("domain", "source", "f", "b").agg(F.count("*").alias("n"))
+        per_file = None
+        for d, name in self.sources():
+            files = self._one(d, name).select("domain", "source", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b"))
+            counted = files.groupBy("domain", "source", "f", "b").agg(F.count("*").alias("n"))
+            per_file = counted if per_file is None else per_file.unionByName(counted)
         out = per_file.groupBy("domain", "source").agg(F.count("*").alias("files"), F.sum("b").alias("bytes"), F.sum("n").alias("rows"))
         return out.join(F.broadcast(registry(self.spark)), ["domain", "source"], "left").withColumn("pit_class", F.coalesce("pit_class", F.lit("unknown"))).drop("safe")
 
