@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.names import grams, organisation, person_words, same_organisation, same_person
-from tidemark.session import cut
+from tidemark.session import cut, spread
 
 STRONG = 0.7
 NODES = "field_name string, scope_key string, name string, form string, blocks array<string>, text string"
@@ -53,7 +53,7 @@ def spelling_nodes(names: DataFrame, persons: bool) -> DataFrame:
             got = [describe(n) for n in pdf["name"]]
             yield pdf.assign(form=[g[0] for g in got], blocks=[g[1] for g in got], text=[g[2] for g in got])
 
-    return distinct.mapInPandas(run, NODES)
+    return spread(distinct).mapInPandas(run, NODES)
 
 
 def similar_pairs(nodes: DataFrame, sizes: tuple[int, ...], least_cosine: float) -> DataFrame:
@@ -96,7 +96,8 @@ def linked(names: DataFrame, persons: bool, sizes: tuple[int, ...], least_cosine
         got = [same(x, y) for x, y in zip(a, b)]
         return pd.Series([-s if s < STRONG and telling(y) < telling(x) else s for s, x, y in zip(got, a, b)], dtype=float)
 
-    edges = pairs.join(shown("a"), "a").join(shown("b"), "b").select("a", "b", score("name_a", "name_b").alias("sim")).where("sim != 0")
+    named = spread(pairs.join(shown("a"), "a").join(shown("b"), "b"))
+    edges = named.select("a", "b", score("name_a", "name_b").alias("sim")).where("sim != 0")
     edges = cut(edges, "links")
     grouped = edges.join(components(edges).withColumnRenamed("id", "a"), "a").withColumn("part", F.pmod(F.xxhash64("component"), F.lit(buckets)))
 
