@@ -21,9 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.names import edits, grams, kinds_fit, organisation, plain
-from tidemark.session import cut
+from tidemark.session import cut, spread
 
-HASHES, ROWS = 24, 2
+HASHES, ROWS = 40, 3
 MOST_TRAINING = 100_000
 FEATURES = ("own", "exact", "kinds", "kinds_clash", "legal", "legal_clash", "gram_jaccard", "price_near", "price_far")
 
@@ -60,11 +60,11 @@ def block_keys(names: DataFrame) -> DataFrame:
                 keys += [f"o:{text}"]
                 words = sorted(set(plain(name).replace(".", "").replace(",", " ").split()))
                 if words:
-                    keys.append("w:" + _signature(words, seed[:2]).tobytes().hex())
+                    keys.append("w:" + _signature(words, seed[:4]).tobytes().hex())
                 out += [(i, name, xxhash.xxh64_intdigest(k) - 2**63) for k in keys]
             yield pd.DataFrame(out, columns=["id", "name", "key"])
 
-    return names.mapInPandas(run, "id long, name string, key long")
+    return spread(names).mapInPandas(run, "id long, name string, key long")
 
 
 def name_features(a: str, b: str) -> tuple[float, ...]:
@@ -97,7 +97,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
             got = pd.DataFrame([name_features(a, b) for a, b in zip(pdf["ln"], pdf["rn"])], columns=list(FEATURES[:7]), index=pdf.index, dtype=float)
             yield pdf.join(got)[lambda d: (d["own"] > 0.3)]
 
-    scored = cut(named.mapInPandas(run, "ln string, rn string, " + ", ".join(f"{f} double" for f in FEATURES[:7])), "scored")
+    scored = cut(spread(named).mapInPandas(run, "ln string, rn string, " + ", ".join(f"{f} double" for f in FEATURES[:7])), "scored")
     l = left.select(F.col("entity").alias("l"), F.col("name").alias("ln"), F.col("n").alias("n"))
     r = right.select(F.col("entity").alias("r"), F.col("name").alias("rn")).distinct()
     full = scored.join(l, "ln").join(r, "rn")
