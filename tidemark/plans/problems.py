@@ -59,6 +59,28 @@ def queries() -> dict:
     return {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p4_totals": p4_totals}
 
 
+def split_sql(name: str, table: str, field: str, key: str, cls: str = ";|,") -> str:
+    """The values of a packed field by regular expressions; needs the tails of `tails_sql` before it."""
+    return f"""
+SELECT DISTINCT '{name}' AS field_name, k AS record_key, CAST(i AS INTEGER) AS item_pos, v AS item_value FROM (
+  SELECT k, unnest(items) AS v, generate_subscripts(items, 1) AS i FROM (
+    SELECT k, list_filter(list_transform(parts, lambda p: trim(replace(CASE WHEN p LIKE '"%"' THEN replace(p[2:-2], '""', '"') ELSE p END, chr(1), ','), ' ')), lambda p: p <> '') AS items FROM (
+      SELECT k, CASE WHEN t LIKE '[%]' THEN from_json(t, '["VARCHAR"]') ELSE list_transform(regexp_extract_all(regexp_replace(regexp_replace(t, (SELECT ',(' || string_agg(DISTINCT replace(tail, '.', '\\.'), '|' ORDER BY replace(tail, '.', '\\.') DESC) || ')(\\s*(?:[{cls}]|$))' FROM tails_{key}), chr(1) || '\\1\\2', 'g'), (SELECT chr(1) || '(' || coalesce(string_agg(DISTINCT tail[1:strpos(tail, ',') - 1], '|'), 'no such') || '),' FROM tails_{key} WHERE contains(tail, ',')), chr(1) || '\\1' || chr(1), 'g'), '"(?:[^"]|"")*"|N/A|[^{cls}\\s"][^{cls}]*'), lambda p: trim(p, ' ')) END AS parts
+      FROM (SELECT {key} AS k, trim({field}, ' ') AS t FROM {table} WHERE {key} IS NOT NULL AND {field} IS NOT NULL))))"""
+
+
+def tails_sql(key: str, table: str, field: str) -> str:
+    """What follows the first comma of quoted values."""
+    return f"tails_{key} AS (SELECT rtrim(q[strpos(q, ',') + 1:]) AS tail FROM (SELECT unnest(regexp_extract_all({field}, '\"((?:[^\"]|\"\")*)\"', 1)) AS q FROM {table}) WHERE contains(q, ',') UNION ALL SELECT ' no such tail')"
+
+
+P1_SQL = (
+    "WITH " + tails_sql("url", "news_gkg", "organizations") + ", " + tails_sql("nct_id", "clinical_trials", "conditions")
+    + split_sql("news_gkg.organizations", "news_gkg", "organizations", "url") + " UNION ALL "
+    + split_sql("clinical_trials.conditions", "clinical_trials", "conditions", "nct_id") + " UNION ALL "
+    + split_sql("clinical_trials.phase", "clinical_trials", "phase", "nct_id", ";|,/")
+)
+
 P3_SQL = """
 WITH e AS (SELECT DISTINCT entity, event_time FROM features WHERE entity IS NOT NULL AND event_time IS NOT NULL),
 f AS (SELECT entity, concept, event_time AS r1, knowledge_time AS r2, coalesce(vintage_id, '') AS v FROM fundamentals_sec
@@ -87,4 +109,4 @@ WHERE kt >= s + INTERVAL 1 {period} + INTERVAL {close} DAY"""
 
 
 def sql() -> dict:
-    return {"p3_found": P3_SQL, "p4_found": "\nUNION ALL".join(_p4_sql(n, p, a, b) for n, (p, a, b, _) in LATE_RULES.items())}
+    return {"p1_found": P1_SQL, "p3_found": P3_SQL, "p4_found": "\nUNION ALL".join(_p4_sql(n, p, a, b) for n, (p, a, b, _) in LATE_RULES.items())}
