@@ -13,6 +13,7 @@ from tidemark.llm.pairs import Baskets, associations, gather, numbered, wrong_we
 from tidemark.llm.reading import ENGLISH_FROM, reading_levels
 from tidemark.llm.variants import linked, variant_pairs
 from tidemark.operators.packed import split_packed
+from tidemark.plans.problems import split_sql, tails_sql
 from tidemark.tables import table
 
 
@@ -125,5 +126,23 @@ def queries() -> dict:
     return {"p2_found": p2_found, "p2_associations": p2_associations, "p5_found": p5_found, "p5_spellings": p5_spellings, "p6_found": p6_found, "p6_matches": p6_matches, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_selection": p9_selection, "p10_found": p10_found, "p10_levels": p10_levels, "p10_profile": p10_profile}
 
 
+P2_SQL = f"""
+WITH {tails_sql("url", "news_gkg", "organizations")},
+p AS (SELECT DISTINCT record_key AS url, item_value AS item FROM ({split_sql("f", "news_gkg", "organizations", "url")})),
+n AS (SELECT item, count(*) AS n FROM p GROUP BY 1),
+pairs AS (SELECT a.item AS org_a, b.item AS org_b, count(*) AS k FROM p a JOIN p b ON a.url = b.url AND a.item < b.item GROUP BY 1, 2),
+quarters AS (SELECT DISTINCT url, strftime(date_trunc('quarter', event_time AT TIME ZONE 'UTC'), '%Y-%m-%d') AS q FROM news_gkg),
+edges AS (SELECT DISTINCT strftime(date_trunc('quarter', event_time AT TIME ZONE 'UTC'), '%Y-%m-%d') AS q, least(entity, dst) AS org_a, greatest(entity, dst) AS org_b, weight
+          FROM entity_graph WHERE kind = 'co_mention' AND entity <> dst),
+held AS (SELECT e.q, e.org_a, e.org_b, count(DISTINCT a.url) AS k FROM (SELECT DISTINCT q, org_a, org_b FROM edges) e
+         JOIN p a ON a.item = e.org_a JOIN p b ON b.item = e.org_b AND b.url = a.url JOIN quarters u ON u.url = a.url AND u.q = e.q GROUP BY ALL)
+SELECT 'association' AS case_kind, org_a, org_b, '' AS quarter_start FROM pairs JOIN n x ON x.item = org_a JOIN n y ON y.item = org_b
+WHERE k >= 8 AND k * (SELECT count(DISTINCT url) FROM news_gkg) >= 10 * x.n * y.n
+UNION ALL
+SELECT DISTINCT 'weight', e.org_a, e.org_b, e.q FROM edges e LEFT JOIN held h ON h.q = e.q AND h.org_a = e.org_a AND h.org_b = e.org_b
+WHERE e.weight IS NULL OR e.weight <> coalesce(h.k, 0)
+"""
+
+
 def sql() -> dict:
-    return {}
+    return {"p2_found": P2_SQL}
