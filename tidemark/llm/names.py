@@ -48,6 +48,13 @@ KINDS = frozenset(
     steel stores systems technologies technology telecom textiles therapeutics transport transportation trust union university utilities ventures
     water workers""".split()
 )
+DELETED: dict[str, set[str]] = {}
+LONG_KINDS: dict[str, list[str]] = {}
+for _kind in sorted(KINDS):
+    for _i in range(len(_kind)):
+        DELETED.setdefault(_kind[:_i] + _kind[_i + 1 :], set()).add(_kind)
+    if len(_kind) >= 9:
+        LONG_KINDS.setdefault(_kind[0], []).append(_kind)
 BY_LENGTH = sorted(KINDS, key=lambda k: (-len(k), k))
 LEGAL = {
     "inc": "inc", "incorporated": "inc", "corp": "corp", "corporation": "corp", "cp": "corp", "co": "co", "cos": "co", "company": "co", "ltd": "ltd",
@@ -189,7 +196,7 @@ def kinds_of(word: str) -> tuple[frozenset[str], str]:
             starts = {k for k in short if k.startswith(word)}
             return frozenset(map(_one, starts or short)), ""
     if len(word) >= 5:
-        near = {k for k in KINDS if edits(word, k, 2) <= (2 if len(k) >= 9 and k[0] == word[0] else 1)}
+        near = {k for k in _one_edit(word) if edits(word, k, 1) <= 1} | {k for k in LONG_KINDS.get(word[0], ()) if edits(word, k, 2) <= 2}
         if near:
             return frozenset(map(_one, near)), ""
         for k in BY_LENGTH:
@@ -207,6 +214,17 @@ def _one(kind: str) -> str:
     return kind[:-1] if kind.endswith("s") and kind[:-1] in KINDS else kind
 
 
+def _one_edit(word: str) -> set[str]:
+    """Kinds that may be one edit away: those that share the word, or what a deletion leaves of either."""
+    found = set(DELETED.get(word, ()))
+    for i in range(len(word)):
+        rest = word[:i] + word[i + 1 :]
+        found |= DELETED.get(rest, set())
+        if rest in KINDS:
+            found.add(rest)
+    return found
+
+
 def _inside(short: str, word: str) -> bool:
     letters = iter(word)
     return all(c in letters for c in short)

@@ -91,13 +91,13 @@ def linked(names: DataFrame, persons: bool, sizes: tuple[int, ...], least_cosine
     same = same_person if persons else same_organisation
     telling = (lambda n: sum(map(len, person_words(n)))) if persons else (lambda n: (len(organisation(n)[1]), len(n)))
 
-    @F.pandas_udf("double")
-    def score(a: pd.Series, b: pd.Series) -> pd.Series:
-        got = [same(x, y) for x, y in zip(a, b)]
-        return pd.Series([-s if s < STRONG and telling(y) < telling(x) else s for s, x, y in zip(got, a, b)], dtype=float)
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            got = [same(x, y) for x, y in zip(pdf["name_a"], pdf["name_b"])]
+            sim = [-s if s < STRONG and telling(y) < telling(x) else s for s, x, y in zip(got, pdf["name_a"], pdf["name_b"])]
+            yield pdf[["a", "b"]].assign(sim=sim)[lambda d: d["sim"] != 0]
 
-    named = spread(pairs.join(shown("a"), "a").join(shown("b"), "b"))
-    edges = named.select("a", "b", score("name_a", "name_b").alias("sim")).where("sim != 0")
+    edges = spread(pairs.join(shown("a"), "a").join(shown("b"), "b").select("a", "b", "name_a", "name_b")).mapInPandas(score, "a long, b long, sim double")
     edges = cut(edges, "links")
     grouped = edges.join(components(edges).withColumnRenamed("id", "a"), "a").withColumn("part", F.pmod(F.xxhash64("component"), F.lit(buckets)))
 
