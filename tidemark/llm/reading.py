@@ -14,7 +14,7 @@ capitals throughout. English is told by the text alone: function words of each l
 
 Defined cases: null, empty and blank texts have no level, nor have texts without a word; a text without end marks is one
 sentence for each line; repeated documents get the same level; labels that are null, of unknown or non-English documents
-are not used, and corpora with too few labels raise, as nothing can be fitted.
+are not used; with fewer than five labels, or labels of one side of the cut-off alone, fixed weights take the formula's place.
 """
 
 from __future__ import annotations
@@ -86,6 +86,8 @@ def vocabulary(sents: list[list[str]]) -> list[str]:
     return out
 
 
+#: The formula where labels are too few, or of easy or of hard texts alone: only corpus frequency and sentence length tell.
+UNFITTED = {"step": 0.5, "easy": ([-1.9, 0.0, 1.75], [1.6, 2.5]), "hard": ([2.4, 2.0, 0.5], [4.6])}
 MEASURES = "doc_id long, words long, pieces long, english double, sentences long, counted long, letters long, terms array<string>, term_counts array<int>"
 
 
@@ -183,9 +185,8 @@ def reading_levels(docs: DataFrame, labels: DataFrame, familiar_share: float = 0
     told = cut(told.select("*", (F.col("reading_level") >= HARD).alias("hard")).orderBy(F.xxhash64("doc_id", F.lit(seed))).limit(most_labels), "labelled")
     corpus, labelled = corpus_words(m, familiar_share), labelled_words(told, least_labelled)
     rows = features(told, corpus, labelled).join(told.select("doc_id", "reading_level"), "doc_id").select("unfamiliar", "sentence", "reading_level").collect()
-    if len(rows) < 5:
-        raise ValueError("too few labelled documents to fit the formula")
-    f = fit([tuple(r) for r in rows])
+    sides = {r.reading_level >= HARD for r in rows}
+    f = fit([tuple(r) for r in rows]) if len(rows) >= 5 and len(sides) == 2 else UNFITTED
     hard = F.col("unfamiliar") > f["step"]
     linear = lambda beta: F.lit(beta[0]) + F.lit(beta[1]) * F.col("unfamiliar") + F.lit(beta[2]) * F.col("sentence")
     score = F.when(hard, linear(f["hard"][0])).otherwise(linear(f["easy"][0]))
