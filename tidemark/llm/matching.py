@@ -89,7 +89,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     ids = lambda df, n: cut(df.select("name").distinct().withColumn("id", F.monotonically_increasing_id()), n)
     ln, rn = ids(left, "left"), ids(right, "right")
     lk, rk = block_keys(ln.select("id", "name")), block_keys(rn.select("id", "name"))
-    pairs = lk.select("key", F.col("id").alias("lid")).join(rk.select("key", F.col("id").alias("rid")), "key").select("lid", "rid").distinct()
+    # the size of what Python gives is unknown to the planner, so nothing of it may be broadcast
+    pairs = lk.select("key", F.col("id").alias("lid")).hint("merge").join(rk.select("key", F.col("id").alias("rid")), "key").select("lid", "rid").distinct()
     named = pairs.join(ln.withColumnsRenamed({"id": "lid", "name": "ln"}), "lid").join(rn.withColumnsRenamed({"id": "rid", "name": "rn"}), "rid").select("ln", "rn")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

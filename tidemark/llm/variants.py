@@ -73,10 +73,10 @@ def similar_pairs(nodes: DataFrame, sizes: tuple[int, ...], least_cosine: float)
     key = F.xxhash64("field_name", "scope_key", "block", "gram")
     unit = cut(unit.select(key.alias("k"), F.xxhash64("block").alias("block"), "id", F.col("w").cast("float").alias("w")), "grams")
     left, right = (unit.select("k", "block", F.col("id").alias(n), F.col("w").alias(f"w_{n}")) for n in ("a", "b"))
-    near = left.join(right, ["k", "block"]).where("a < b").groupBy("a", "b", "block").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("cosine"))
+    near = left.hint("merge").join(right, ["k", "block"]).where("a < b").groupBy("a", "b", "block").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("cosine"))
     near = near.where(F.col("cosine") >= least_cosine).select("a", "b")
     same = base.where(F.array_contains("blocks", "=")).select(F.xxhash64("field_name", "scope_key", "text").alias("k"), "id")
-    same = same.withColumnRenamed("id", "a").join(same.withColumnRenamed("id", "b"), "k").where("a < b").select("a", "b")
+    same = same.withColumnRenamed("id", "a").hint("merge").join(same.withColumnRenamed("id", "b"), "k").where("a < b").select("a", "b")
     return near.unionByName(same).distinct()
 
 
