@@ -28,6 +28,8 @@ TOKENIZERS = "/opt/tokenizers"
 NONE = np.iinfo(np.int64).max
 #: Words whose ids a task remembers; beyond it the memory starts anew.
 REMEMBERED = 500_000
+#: Signs of text that are cut into words at once.
+AT_ONCE = 1_000_000
 
 
 class Vocabulary:
@@ -148,7 +150,21 @@ class Vocabulary:
         return [tuple(self.merge_long(w) if i in long else self.merge(w) if i in failed else t) for i, (w, t) in enumerate(zip(raw, tried))]
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids and offsets of the texts."""
+        """Flat ids and offsets of the texts; so many at a time that their words take bounded memory."""
+        parts, sizes, group, letters = [], [], [], 0
+        for i, t in enumerate(texts):
+            group.append(t)
+            letters += len(t or "")
+            if letters > AT_ONCE or i == len(texts) - 1:
+                for ids in self._encode(group):
+                    parts.append(ids)
+                    sizes.append(len(ids))
+                group, letters = [], 0
+        offsets = np.zeros(len(texts) + 1, np.int64)
+        np.cumsum(sizes, out=offsets[1:])
+        return np.concatenate(parts) if parts else np.zeros(0, np.int32), offsets
+
+    def _encode(self, texts: list[str | None]) -> list[np.ndarray]:
         find = self.words.findall
         split = [find(t) if t else [] for t in texts]
         new = list({w for ws in split for w in ws} - self.known.keys())
@@ -156,10 +172,7 @@ class Vocabulary:
             self.known, new = {}, list({w for ws in split for w in ws})
         self.known.update(zip(new, self.encode_words(new)))
         known = self.known
-        ids = [list(chain.from_iterable(map(known.__getitem__, ws))) for ws in split]
-        offsets = np.zeros(len(texts) + 1, np.int64)
-        np.cumsum([len(x) for x in ids], out=offsets[1:])
-        return np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1])), offsets
+        return [np.fromiter(chain.from_iterable(map(known.__getitem__, ws)), np.int32) for ws in split]
 
 
 _LOADED: dict[tuple, Vocabulary] = {}
