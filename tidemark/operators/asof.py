@@ -68,13 +68,14 @@ def trailing(df: DataFrame, t, days: int) -> DataFrame:
 
 
 def forward_value(bars: DataFrame, moments: DataFrame, value: str = "close") -> DataFrame:
-    """moments (entity, at) with the first `value` at or after the day of `at`; looks ahead, for scoring only.
+    """moments (entity, at, ...) with the first `value` at or after the day of `at`; looks ahead, for scoring only.
 
     One sweep over both sides in order of time: no join on ranges."""
-    asked = moments.select("entity", "at", F.to_timestamp(F.date_trunc("day", "at")).alias("_t"), F.lit(1).alias("_asked"), F.lit(None).cast("double").alias("_v"))
-    facts = bars.where(F.col(value).isNotNull()).select("entity", F.lit(None).cast("timestamp").alias("at"), F.col("event_time").cast("timestamp").alias("_t"), F.lit(0).alias("_asked"), F.col(value).cast("double").alias("_v"))
+    rest = F.struct("*")
+    asked = moments.select("entity", F.to_timestamp(F.date_trunc("day", "at")).alias("_t"), F.lit(1).alias("_asked"), F.lit(None).cast("double").alias("_v"), rest.alias("_row"))
+    facts = bars.where(F.col(value).isNotNull()).select("entity", F.col("event_time").cast("timestamp").alias("_t"), F.lit(0).alias("_asked"), F.col(value).cast("double").alias("_v"), F.lit(None).cast(asked.schema["_row"].dataType).alias("_row"))
     w = Window.partitionBy("entity").orderBy(F.col("_t"), F.col("_asked").desc()).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return asked.unionByName(facts).withColumn(value, F.first("_v", ignorenulls=True).over(w)).where("_asked = 1").select("entity", "at", value)
+    return asked.unionByName(facts).withColumn("_v", F.first("_v", ignorenulls=True).over(w)).where("_asked = 1").select("_row.*", F.col("_v").alias(value))
 
 
 def members(changes: DataFrame, t) -> DataFrame:
@@ -118,12 +119,14 @@ def cursor_grid(spark: SparkSession, start: str, end: str, step: str) -> DataFra
 def observed_on_grid(df: DataFrame, grid: DataFrame, values: list[str]) -> DataFrame:
     """entity, cursor and the entity's last known `values` at each cursor, as latest_per_entity gives them one by one.
 
-    Facts reach a cursor through one sweep by knowledge time. Facts of the same knowledge time are settled first."""
+    Facts reach a cursor through one sweep by knowledge time. Facts of the same knowledge time are settled first. The grid is
+    that of a clock, so its positions are held by the driver."""
     facts = latest(df.where("knowledge_time is not null"), ["entity", "knowledge_time"], ("event_time", "vintage_id"))
     payload = F.struct(*(F.col(v) for v in values))
     facts = facts.select("entity", F.col("knowledge_time").cast("timestamp").alias("cursor"), F.lit(0).alias("_grid"), payload.alias("_v"))
-    entities = facts.select("entity").distinct()
-    asked = entities.join(F.broadcast(grid)).select("entity", "cursor", F.lit(1).alias("_grid"), F.lit(None).cast(facts.schema["_v"].dataType).alias("_v"))
+    cursors = F.array(*(F.lit(r.cursor) for r in grid.select("cursor").distinct().collect())).cast("array<timestamp>")
+    entities = df.where("knowledge_time is not null").select("entity").distinct()
+    asked = entities.select("entity", F.explode(cursors).alias("cursor")).select("entity", "cursor", F.lit(1).alias("_grid"), F.lit(None).cast(facts.schema["_v"].dataType).alias("_v"))
     w = Window.partitionBy("entity").orderBy("cursor", "_grid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     swept = facts.unionByName(asked).withColumn("_v", F.last("_v", ignorenulls=True).over(w))
     return swept.where("_grid = 1 and _v is not null").select("entity", "cursor", "_v.*")

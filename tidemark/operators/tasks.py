@@ -60,12 +60,15 @@ def trading_reward(decision: Column, now: Column, later: Column) -> Column:
 
 
 def outcomes(bars: DataFrame, decisions: DataFrame, days: int) -> DataFrame:
-    """decisions (entity, at, decision) with the price then and `days` days later; this looks ahead, to score only."""
-    d = decisions.withColumn("at", F.col("at").cast("timestamp"))
-    now = forward_value(bars, d.select("entity", "at").distinct()).withColumnRenamed("close", "now")
-    ahead = d.select("entity", (F.col("at") + F.expr(f"INTERVAL {days} DAYS")).alias("at")).distinct()
-    later = forward_value(bars, ahead).select("entity", (F.col("at") - F.expr(f"INTERVAL {days} DAYS")).alias("at"), F.col("close").alias("later"))
-    return d.join(now, ["entity", "at"], "left").join(later, ["entity", "at"], "left")
+    """decisions (entity, at, decision, each entity and time once) with the price then and `days` days later.
+
+    This looks ahead, to score only. Both prices come from one sweep, which leaves a decision's rows where they are grouped."""
+    at = F.col("at").cast("timestamp")
+    asks = F.array(*(F.struct(F.lit(later).alias("later"), (at + F.expr(f"INTERVAL {n} DAYS")).alias("when")) for later, n in ((False, 0), (True, days))))
+    moments = decisions.select("entity", at.alias("asked"), "decision", F.inline(asks)).withColumnRenamed("when", "at")
+    swept = forward_value(bars, moments)
+    price = lambda later: F.max(F.when(F.col("later") == later, F.col("close")))
+    return swept.groupBy("entity", F.col("asked").alias("at"), "decision").agg(price(False).alias("now"), price(True).alias("later"))
 
 
 def parse_action(raw) -> tuple[str, str, dict]:

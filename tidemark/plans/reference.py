@@ -91,8 +91,8 @@ def trailing_window(s, d):
 @query(f"SELECT m.entity, epoch_us(m.ts) AS at, (SELECT round(arg_min(b.close, b.event_time), 4) FROM {BARS} b WHERE b.entity = m.entity AND b.event_time >= date_trunc('day', m.ts)) AS close FROM (SELECT p.entity, x.ts FROM (SELECT DISTINCT o_orderpriority AS entity FROM orders) p, (SELECT TIMESTAMP '1995-06-03' + INTERVAL (i * 211) HOUR AS ts FROM range(300) t(i)) x) m")
 def forward_asof(s, d):
     b = bars(s, d)
-    times = s.range(300).select((F.expr("timestamp'1995-06-03'") + F.make_dt_interval(hours=F.col("id").cast("int") * 211)).alias("at"))
-    moments = b.select("entity").distinct().join(F.broadcast(times))
+    times = F.expr("transform(sequence(0, 299), i -> timestamp'1995-06-03' + make_dt_interval(0, i * 211))")
+    moments = b.select("entity").distinct().select("entity", F.explode(times).alias("at"))
     return asof.forward_value(b, moments).select("entity", us("at"), r("close"))
 
 
