@@ -5,7 +5,9 @@ Times come out as microseconds since 1970 (`us`), measures rounded, so both engi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import html_text, ratio, slug
@@ -343,6 +345,61 @@ def feature_row(s, d):
     return channels.get_features(_Tables(s, d), T, first).select(us("event_time"), r("close"), r("rsi14"))
 
 
+@query(f"SELECT entity, round(close, 2) AS close FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY event_time DESC) AS rn FROM {BARS} WHERE knowledge_time <= $TB AND entity IN ('1-URGENT', '2-HIGH')) WHERE rn = 1")
+def watchlist_prices(s, d):
+    b = bars(s, d)
+    return channels.prices(b, TB, ["1-URGENT", "2-HIGH"]).select("entity", r("close", 2))
+
+
+@query(f"SELECT entity, value FROM (SELECT entity, CAST(round(close) AS DOUBLE) AS value, row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC) AS rn FROM {BARS} WHERE knowledge_time <= $TB) WHERE rn = 1 UNION ALL SELECT entity, round(value, 2) FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC, vintage_id DESC) AS rn FROM {VINTAGES} WHERE event_type = 'click' AND knowledge_time <= $TV) WHERE rn = 1")
+def crypto_levels(s, d):
+    """Rounded last values of three kinds of series in one column; the third is empty here."""
+    v = vintages(s, d)
+    coins = channels.crypto(bars(s, d), bars(s, d).limit(0).withColumnRenamed("close", "fng_value"), v.limit(0).withColumnRenamed("value", "dvol_close"), TB)
+    return coins.unionByName(channels.levels(v.where("event_type = 'click'"), TV).select("entity", F.round("value", 2).alias("value")))
+
+
+@query(_THREE + f"SELECT epoch_us(event_time) AS event_time, CASE WHEN pct < 0.4 AND chg < 0 THEN 'risk_on' WHEN pct > 0.8 OR chg > 0.5 THEN 'risk_off' ELSE 'neutral' END AS regime FROM f WHERE event_time + INTERVAL 21 HOUR <= $TB ORDER BY f.event_time DESC LIMIT 1")
+def regime_latest(s, d):
+    return channels.regime(_three(s, d).withColumn("kind", F.lit("regime")), TB).select(us("event_time"), "regime")
+
+
+@query(f"SELECT * FROM (SELECT 'view' AS venue, entity, round(volume, 4) AS volume, row_number() OVER (ORDER BY volume DESC, entity) AS place FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY event_time DESC, vintage_id DESC) AS rn FROM {QUOTES} WHERE question = 'Will view rise?' AND knowledge_time <= $TV) WHERE rn = 1) WHERE place <= 6 UNION ALL SELECT * FROM (SELECT 'click', entity, round(volume, 4), row_number() OVER (ORDER BY volume DESC, entity) AS place FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY event_time DESC, vintage_id DESC) AS rn FROM {QUOTES} WHERE question = 'Will click rise?' AND knowledge_time <= $TV) WHERE rn = 1) WHERE place <= 6")
+def venue_union(s, d):
+    """The best markets of each venue, one under the other."""
+    out = None
+    for venue in ("view", "click"):
+        top = channels.markets(quotes(s, d).where(F.col("question") == f"Will {venue} rise?"), TV, 6)
+        placed = asof.ranked(top.withColumn("venue", F.lit(venue)), ["venue"], [F.col("volume").desc(), F.col("entity").asc()], 6).withColumn("place", F.row_number().over(Window.partitionBy("venue").orderBy(F.col("volume").desc(), "entity")))
+        placed = placed.select("venue", "entity", r("volume"), "place")
+        out = placed if out is None else out.unionByName(placed)
+    return out
+
+
+@query(f"SELECT entity, 'alfred' AS place, round(value, 4) AS value FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC, vintage_id DESC) AS rn FROM {VINTAGES} WHERE event_type = 'signup' AND knowledge_time <= $TV) WHERE rn = 1 UNION ALL SELECT entity, 'fred', round(value, 4) FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC, vintage_id DESC) AS rn FROM {VINTAGES} WHERE event_type = 'error' AND knowledge_time <= $TV) WHERE rn = 1 AND entity NOT IN (SELECT entity FROM {VINTAGES} WHERE event_type = 'signup' AND knowledge_time <= $TV)")
+def macro_fallback(s, d):
+    v = vintages(s, d)
+    one = lambda e, place: asof.latest_per_entity(v.where(F.col("event_type") == e), TV).select("entity", F.lit(place).alias("place"), "value")
+    return asof.fallback([one("signup", "alfred"), one("error", "fred")], ["entity"]).select("entity", "place", r("value"))
+
+
+@query("SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, cast(user_id AS VARCHAR) AS entity, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
+def stream_windows(s, d):
+    """Daily totals of the events as a stream that reads all there is and ends."""
+    from tidemark.session import shared_dir
+    from tidemark.streaming.stream import windowed
+
+    src = table(s, d, "events")
+    # a pattern, as a stream reads folders or patterns, and the table may be one file
+    stream = s.readStream.schema(src.schema).parquet(f"{d}/events.parque[t]").select(F.col("ts").cast("timestamp").alias("event_time"), F.col("user_id").cast("string").alias("entity"), "value")
+    name = f"stream_{uuid.uuid4().hex}"
+    out = windowed(stream, "value", "1 day").select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "entity", "n", F.round("total", 2).alias("total"))
+    path = f"{shared_dir(s)}/{name}"
+    save = lambda df, _: df.write.mode("overwrite").parquet(path)
+    out.writeStream.outputMode("complete").option("checkpointLocation", path + "-state").foreachBatch(save).trigger(availableNow=True).start().awaitTermination()
+    return s.read.parquet(path)
+
+
 # Merges, joins, functions
 
 
