@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.names import edits, grams, kinds_fit, organisation, plain
+from tidemark.operators.asof import ranked
 from tidemark.session import cut, spread
 
 HASHES, ROWS = 40, 3
@@ -179,5 +180,6 @@ def matched(left: DataFrame, right: DataFrame, implied: DataFrame, closes: DataF
             yield pdf[["l", "r", "support"]].assign(confidence=predict(pdf[list(FEATURES)].to_numpy(float)) if len(pdf) else [])
 
     scored = pairs.select("l", "r", "support", *FEATURES).mapInPandas(run, "l string, r string, support double, confidence double").where(F.col("confidence") >= least)
-    best = scored.groupBy("l").agg(F.max("confidence").alias("confidence"), F.max_by("r", "confidence").alias("r"), F.max_by("support", "confidence").alias("support"), F.sort_array(F.collect_list("confidence"), asc=False).alias("all"))
-    return best.where("size(all) = 1 or all[0] > all[1]").select("l", "r", "confidence", "support")
+    two = ranked(scored, ["l"], [F.col("confidence").desc(), F.col("r").asc()], 2)
+    best = two.groupBy("l").agg(F.max("confidence").alias("confidence"), F.min("confidence").alias("next"), F.count("*").alias("n"), F.max_by("r", "confidence").alias("r"), F.max_by("support", "confidence").alias("support"))
+    return best.where("n = 1 or confidence > next").select("l", "r", "confidence", "support")

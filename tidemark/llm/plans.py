@@ -69,12 +69,12 @@ def p6_matches(spark: SparkSession, root: str) -> DataFrame:
     lines = lines.where(check_digit_fits(F.col("cusip"))).withColumn("l", F.substring("cusip", 1, 6))
     left = lines.where("issuer is not null and trim(issuer) != ''").groupBy(F.col("l").alias("entity"), F.col("issuer").alias("name")).agg(F.count("*").alias("n"))
     day = lambda c: F.col(c).cast("date")
-    implied = lines.where("price > 0").groupBy("l", day("event_time").alias("day")).agg(F.median("price").alias("price"))
+    implied = lines.where("price > 0").groupBy("l", day("event_time").alias("day")).agg(F.percentile_approx("price", 0.5, 1000).alias("price"))
     master = table(spark, root, "security_master").where("cik is not null and record_type = 'identity'").select("entity", F.regexp_replace(F.trim("cik"), "^0+", "").alias("r"), "name").where("r != ''")
     right = master.where("name is not null and trim(name) != ''").groupBy(F.col("r").alias("entity"), "name").agg(F.count("*").alias("n"))
     days = implied.select("day").distinct()
     bars = table(spark, root, "features").where("close > 0").select("entity", day("event_time").alias("day"), "close")
-    closes = bars.join(days, "day", "left_semi").join(master.select("entity", "r").distinct(), "entity").groupBy("r", "day").agg(F.median("close").alias("close"))
+    closes = bars.join(days, "day", "left_semi").join(master.select("entity", "r").distinct(), "entity").groupBy("r", "day").agg(F.percentile_approx("close", 0.5, 1000).alias("close"))
     return matched(left, right, implied, closes).select(F.col("r").alias("cik"), F.col("l").alias("issuer_number"), "confidence", "support")
 
 
