@@ -70,12 +70,13 @@ def trailing(df: DataFrame, t, days: int) -> DataFrame:
 def forward_value(bars: DataFrame, moments: DataFrame, value: str = "close") -> DataFrame:
     """moments (entity, at, ...) with the first `value` at or after the day of `at`; looks ahead, for scoring only.
 
-    One sweep over both sides in order of time: no join on ranges."""
+    One sweep over both sides from the latest time back, which keeps the last value seen: no join on ranges, and no frame
+    that is computed anew for each row. Of values at the same time the least counts."""
     rest = F.struct("*")
     asked = moments.select("entity", F.to_timestamp(F.date_trunc("day", "at")).alias("_t"), F.lit(1).alias("_asked"), F.lit(None).cast("double").alias("_v"), rest.alias("_row"))
     facts = bars.where(F.col(value).isNotNull()).select("entity", F.col("event_time").cast("timestamp").alias("_t"), F.lit(0).alias("_asked"), F.col(value).cast("double").alias("_v"), F.lit(None).cast(asked.schema["_row"].dataType).alias("_row"))
-    w = Window.partitionBy("entity").orderBy(F.col("_t"), F.col("_asked").desc()).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return asked.unionByName(facts).withColumn("_v", F.first("_v", ignorenulls=True).over(w)).where("_asked = 1").select("_row.*", F.col("_v").alias(value))
+    w = Window.partitionBy("entity").orderBy(F.col("_t").desc(), "_asked", F.col("_v").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return asked.unionByName(facts).withColumn("_v", F.last("_v", ignorenulls=True).over(w)).where("_asked = 1").select("_row.*", F.col("_v").alias(value))
 
 
 def members(changes: DataFrame, t) -> DataFrame:
