@@ -45,14 +45,15 @@ LATE_RULES = {"insider_form4": ("month", 5, 60, "shares"), "holdings_13f": ("qua
 
 def p4_totals(spark: SparkSession, root: str) -> DataFrame:
     """Totals by entity and period of both tables: final, corrected and dropped."""
-    parts = [late_corrected(table(spark, root, name), *rule).select(F.lit(name).alias("table_name"), "*") for name, rule in LATE_RULES.items()]
+    shown = [F.date_format("period_start", "yyyy-MM-dd").alias("period_start"), "outcome", "n_rows", *(F.round(c, 4).alias(c) for c in ("total", "published_total"))]
+    parts = [late_corrected(table(spark, root, name), *rule).select(F.lit(name).alias("table_name"), "entity", *shown) for name, rule in LATE_RULES.items()]
     return parts[0].unionByName(parts[1])
 
 
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
     """The periods that late rows corrected, or from which they were dropped."""
     late = p4_totals(spark, root).where("outcome != 'final'")
-    return late.select("table_name", "entity", F.date_format("period_start", "yyyy-MM-dd").alias("period_start"), "outcome")
+    return late.select("table_name", "entity", "period_start", "outcome")
 
 
 def queries() -> dict:
@@ -108,5 +109,18 @@ FROM (SELECT entity, date_trunc('{period}', event_time AT TIME ZONE 'UTC') AS s,
 WHERE kt >= s + INTERVAL 1 {period} + INTERVAL {close} DAY"""
 
 
+def _p4_totals_sql(name: str, period: str, close: int, cutoff: int, measure: str) -> str:
+    return f"""
+SELECT '{name}' AS table_name, entity, strftime(s, '%Y-%m-%d') AS period_start, outcome,
+       CAST(CASE outcome WHEN 'final' THEN n0 + n1 WHEN 'corrected' THEN n1 ELSE n2 END AS BIGINT) AS n_rows,
+       round(CASE outcome WHEN 'dropped' THEN v2 ELSE v0 + v1 END, 4) AS total, CASE outcome WHEN 'dropped' THEN NULL ELSE round(v0, 4) END AS published_total
+FROM (SELECT entity, s, count_if(ph = 0) AS n0, count_if(ph = 1) AS n1, count_if(ph = 2) AS n2, {", ".join(f"coalesce(sum(m) FILTER (ph = {i}), 0) AS v{i}" for i in range(3))}
+  FROM (SELECT *, CASE WHEN kt < s + INTERVAL 1 {period} + INTERVAL {close} DAY THEN 0 WHEN kt < s + INTERVAL 1 {period} + INTERVAL {cutoff} DAY THEN 1 ELSE 2 END AS ph
+    FROM (SELECT entity, date_trunc('{period}', event_time AT TIME ZONE 'UTC') AS s, min(knowledge_time) AT TIME ZONE 'UTC' AS kt, {measure} AS m
+          FROM {name} WHERE event_time IS NOT NULL GROUP BY content_hash, entity, event_time, {measure} HAVING event_time <= min(knowledge_time))) GROUP BY 1, 2)
+CROSS JOIN (VALUES ('final'), ('corrected'), ('dropped')) o(outcome)
+WHERE CASE outcome WHEN 'final' THEN n0 + n1 WHEN 'corrected' THEN n1 ELSE n2 END > 0"""
+
+
 def sql() -> dict:
-    return {"p1_found": P1_SQL, "p3_found": P3_SQL, "p4_found": "\nUNION ALL".join(_p4_sql(n, p, a, b) for n, (p, a, b, _) in LATE_RULES.items())}
+    return {"p1_found": P1_SQL, "p3_found": P3_SQL, "p4_found": "\nUNION ALL".join(_p4_sql(n, p, a, b) for n, (p, a, b, _) in LATE_RULES.items()), "p4_totals": "\nUNION ALL".join(_p4_totals_sql(n, *r) for n, r in LATE_RULES.items())}
