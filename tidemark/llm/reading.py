@@ -112,7 +112,7 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null and text is not null").select("doc_id", "text").mapInPandas(run, MEASURES)
 
 
-ENGLISH_FROM = 0.03
+ENGLISH_FROM = 0.015
 HARD = 4
 
 
