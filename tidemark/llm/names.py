@@ -58,7 +58,7 @@ for _kind in sorted(KINDS):
 BY_LENGTH = sorted(KINDS, key=lambda k: (-len(k), k))
 LEGAL = {
     "inc": "inc", "incorporated": "inc", "corp": "corp", "corporation": "corp", "cp": "corp", "co": "co", "cos": "co", "company": "co", "ltd": "ltd",
-    "limited": "ltd", "lim": "ltd", "lp": "lp", "partnership": "lp", "llc": "llc", "ll": "llc", "pl": "plc", "plc": "plc", "sa": "sa", "nv": "nv", "ag": "ag", "se": "se", "gmbh": "gmbh",
+    "limited": "ltd", "lim": "ltd", "li": "ltd", "lp": "lp", "partnership": "lp", "llc": "llc", "ll": "llc", "pl": "plc", "plc": "plc", "sa": "sa", "nv": "nv", "ag": "ag", "se": "se", "gmbh": "gmbh",
 }
 SHORT_KINDS = {"pptys": "properties", "ppty": "properties", "svcs": "services", "svc": "services", "mgmt": "management", "natl": "national", "fdn": "foundation", "assn": "associates"}
 LONG_LEGAL = ("incorporated", "corporation", "company", "limited", "partnership")
