@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
@@ -51,13 +53,26 @@ def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
+def unescape(text: Column) -> Column:
+    """Character references decoded once: numbers and the names of HTML 4. Those of spaces give a blank, unknown ones stay."""
+    names = F.create_map(*(F.lit(x) for pair in {**name2codepoint, "apos": 39}.items() for x in pair))
+
+    def one(piece: Column) -> Column:
+        ref = F.regexp_extract(piece, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{0,30});", 1)
+        code = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10).try_cast("int")).when(ref.startswith("#"), F.substring(ref, 2, 7).try_cast("int")).otherwise(F.try_element_at(names, ref))
+        code = F.when((code == 160) | code.between(8192, 8202) | code.isin(8239, 8287, 12288), 32).when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), code)
+        sign = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(code.isNull(), F.concat(F.lit("&"), piece)).otherwise(F.concat(sign, F.substr(piece, F.length(ref) + 2)))
+
+    pieces = F.split(text, "&")
+    after = F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), one), "")
+    return F.when(F.contains(text, F.lit("&")), F.concat(F.element_at(pieces, 1), after)).otherwise(text)
+
+
 def html_text(html: Column, most: int | None = None) -> Column:
-    """The text of a HTML page: scripts, styles, comments and tags out, common entities decoded, white space collapsed."""
+    """The text of a HTML page: scripts, styles, comments and tags out, character references decoded, white space collapsed."""
     text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
-    text = F.regexp_replace(text, r"(?s)<[^>]*>", " ")
-    for entity, sign in (("&nbsp;|&#160;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;|&#34;", '"'), ("&#39;|&apos;", "'"), ("&amp;", "&")):
-        text = F.regexp_replace(text, entity, sign)
-    text = collapse(text)
+    text = collapse(unescape(F.regexp_replace(text, r"(?s)<[^>]*>", " ")))
     return F.substring(text, 1, most) if most else text
 
 

@@ -422,8 +422,7 @@ def merge_dedupe(s, d):
 
 @query(r"SELECT doc_id, trim(regexp_replace(regexp_replace(text, '<[^>]*>', ' ', 'gs'), '[ \t\n\r\f\v]+', ' ', 'g'), ' ') AS plain FROM documents WHERE text IS NOT NULL AND NOT contains(text, '&') AND NOT contains(text, '<!--') AND NOT contains(lower(text), '<script') AND NOT contains(lower(text), '<style')")
 def html_plain(s, d):
-    df = table(s, d, "documents").where("text is not null and not contains(text, '&') and not contains(text, '<!--') and not contains(lower(text), '<script') and not contains(lower(text), '<style')")
-    return df.select("doc_id", html_text(F.col("text")).alias("plain"))
+    return table(s, d, "documents").where("text is not null").select("doc_id", html_text(F.col("text")).alias("plain"))
 
 
 @query("SELECT event_id, cast(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
