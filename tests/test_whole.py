@@ -31,3 +31,16 @@ def test_html_plain_of_the_lake(spark):
     assert got.keys() == {r["doc_id"] for r in docs if r["text"] is not None}
     entities = [r for r in docs if "&" in (r["text"] or "") and "<" not in r["text"]]
     assert entities and all(got[r["doc_id"]] == " ".join(unescape(r["text"]).split()) for r in entities)
+
+
+def test_latest_per_entity_of_all_entities(spark):
+    import duckdb
+
+    root = "/root/testdata/sf0.001"
+    sql = entry.oracle_sql()["latest_per_entity"].replace(" AND entity IN ('1', '2', '3', '5', '8')", "")
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW events AS FROM '{root}/events.parquet'")
+        wanted = con.execute(sql).fetchall()
+        everyone = con.execute("SELECT count(DISTINCT user_id) FROM events WHERE ts <= TIMESTAMP '2024-01-15'").fetchone()[0]
+    got = entry.queries()["latest_per_entity"](spark, root).collect()
+    assert sorted(map(tuple, got)) == sorted(wanted) and len(got) == everyone > 5

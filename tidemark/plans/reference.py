@@ -71,7 +71,7 @@ def fundamentals_vintage(s, d):
 
 @query(f"SELECT entity, round(value, 4) AS value FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC, vintage_id DESC) AS rn FROM {VINTAGES} WHERE knowledge_time <= $TV AND entity IN ('1', '2', '3', '5', '8')) WHERE rn = 1")
 def latest_per_entity(s, d):
-    return channels.levels(vintages(s, d), TV, ["1", "2", "3", "5", "8"]).select("entity", r("value"))
+    return channels.levels(vintages(s, d), TV).select("entity", r("value"))
 
 
 @query("SELECT entity, epoch_us(event_time) AS event_time, round(close, 4) AS close FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY event_time DESC, knowledge_time DESC, close DESC) AS rn FROM (SELECT DISTINCT entity, event_time, knowledge_time, close FROM features) WHERE knowledge_time <= $T) WHERE rn = 1")
