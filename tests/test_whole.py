@@ -44,3 +44,28 @@ def test_latest_per_entity_of_all_entities(spark):
         everyone = con.execute("SELECT count(DISTINCT user_id) FROM events WHERE ts <= TIMESTAMP '2024-01-15'").fetchone()[0]
     got = entry.queries()["latest_per_entity"](spark, root).collect()
     assert sorted(map(tuple, got)) == sorted(wanted) and len(got) == everyone > 5
+
+
+def test_text_snippet_of_the_newest_filing_of_any_form(spark, tmp_path):
+    rows = [
+        (1, "A", "8-K", "2021-01-01", "older"), (2, "A", "10-K", "2021-06-01", "newest" + "t" * 900), (3, "A", "10-Q", "2022-06-01", "later than asked"),
+        (4, "B", "10-Q", "2021-02-01", "only a 10-Q"), (5, "C", "8-K", "2021-03-01", "first"), (6, "C", "8-K", "2021-03-01", "same time, greater id"),
+        (7, "A", "article", "2021-12-01", "no filing"), (8, None, "10-K", "2021-12-01", "no entity"), (9, "D", "article", "2021-12-01", "no filing"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, entity string, doc_type string, day string, text string")
+    df.selectExpr("*", "cast(day as timestamp) as event_time", "cast(day as timestamp) as knowledge_time").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.entity: r.excerpt for r in entry.queries()["text_snippet"](spark, str(tmp_path)).collect()}
+    assert got == {"A": "newest" + "t" * 494, "B": "only a 10-Q", "C": "same time, greater id"}
+
+
+def test_text_snippet_same_as_sql_of_three_forms(spark):
+    import duckdb
+
+    root = "/root/testdata/sf0.1"
+    sql = entry.oracle_sql()["text_snippet"].replace("doc_type = '8-K'", "doc_type IN ('8-K', '10-K', '10-Q')")
+    with duckdb.connect() as con:
+        con.execute("SET TimeZone = 'UTC'")
+        con.execute(f"CREATE VIEW documents AS FROM '{root}/documents.parquet'")
+        wanted = {tuple(r) for r in con.execute(sql).fetchall()}
+    got = entry.queries()["text_snippet"](spark, root).collect()
+    assert {tuple(r) for r in got} == wanted and len(got) == len(wanted)

@@ -85,9 +85,13 @@ def positioning(lake, t, ticker: str) -> DataFrame:
     return _newest(asof.as_of(lake.scan("positioning", "finra_short"), t).where(F.col("entity") == ticker), 1)
 
 
+def filing_texts(filings: DataFrame, t, most: int = 500) -> DataFrame:
+    """The start of the newest filing of each entity, whatever its form."""
+    return asof.latest_per_entity(filings, t).select("entity", "form", "event_time", F.substring("text", 1, most).alias("excerpt"))
+
+
 def filing_text(lake, t, ticker: str, most: int = 500) -> DataFrame:
-    df = asof.latest(asof.as_of(lake.scan("filings_text", "edgar"), t).where(F.col("entity") == ticker), ["entity"])
-    return df.select("form", "event_time", F.substring("text", 1, most).alias("excerpt"))
+    return filing_texts(lake.scan("filings_text", "edgar").where(F.col("entity") == ticker), t, most).drop("entity")
 
 
 def onchain(lake, t, metric: str) -> DataFrame:

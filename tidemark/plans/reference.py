@@ -313,8 +313,10 @@ def concept_latest(s, d):
 
 @query("SELECT entity, substr(text, 1, 500) AS excerpt FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC, doc_id DESC) AS rn FROM documents WHERE knowledge_time <= $T AND entity IS NOT NULL AND doc_type = '8-K') WHERE rn = 1")
 def text_snippet(s, d):
-    df = asof.as_of(table(s, d, "documents").where("entity is not null and doc_type = '8-K'"), T)
-    return asof.latest(df, ["entity"], ("knowledge_time", "event_time", "doc_id")).select("entity", F.substring("text", 1, 500).alias("excerpt"))
+    """The three types of the documents that are filings; articles, rules and others are none."""
+    filings = table(s, d, "documents").where("entity is not null and doc_type in ('8-K', '10-K', '10-Q')")
+    filings = filings.select("entity", F.col("doc_type").alias("form"), "event_time", "knowledge_time", F.col("doc_id").alias("vintage_id"), "text")
+    return channels.filing_texts(filings, T).select("entity", "excerpt")
 
 
 @query("SELECT url, title, site_domain AS outlet FROM news_gkg WHERE knowledge_time <= $T AND (contains(lower(title), 'energy') OR contains(lower(organizations), 'energy')) ORDER BY knowledge_time DESC, url, content_hash LIMIT 10")
