@@ -1,8 +1,8 @@
 """Matching entities across sources without a key, each match with a confidence.
 
 Candidates come from MinHash blocking over several attributes: the character n-grams of a name's own words, its own words
-in whole, and the words of its whole spelling. Each pair of a spelling and a company gets similarity features; those of an entity's
-spellings are averaged with their counts, and the implied price of a holding is held against closing prices of the
+in whole, and the words of its whole spelling. Spellings that meet no company there go through wider n-gram blocks. Each
+pair of a spelling and a company gets similarity features; those of an entity's spellings are averaged with their counts, and the implied price of a holding is held against closing prices of the
 company's tickers. A logistic classifier is trained on weak labels: pairs of equal names that nothing else fits count as
 true, pairs whose trade or prices contradict as false. It is calibrated on a held-out half by isotonic regression. An
 entity is matched to its best company if that is the only one within reach and its probability is at least one half.
@@ -25,6 +25,7 @@ from tidemark.operators.asof import ranked
 from tidemark.session import cut, spread
 
 HASHES, ROWS = 40, 3
+WIDE_ROWS = 2
 MOST_TRAINING = 100_000
 FEATURES = ("own", "exact", "kinds", "kinds_clash", "legal", "legal_clash", "gram_jaccard", "price_near", "price_far")
 
@@ -44,8 +45,9 @@ def _signature(items: list[str], seed: np.ndarray) -> np.ndarray:
     return (h[:, None] * seed[None, :] ^ (h[:, None] >> np.uint64(31))).min(axis=0)
 
 
-def block_keys(names: DataFrame) -> DataFrame:
-    """`id, name, key` for each block of each distinct name (`id, name`)."""
+def block_keys(names: DataFrame, wide: bool = False) -> DataFrame:
+    """`id, name, key` for each block of each distinct name (`id, name`); wide: n-gram blocks of fewer rows, and no others."""
+    rows = WIDE_ROWS if wide else ROWS
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -57,9 +59,10 @@ def block_keys(names: DataFrame) -> DataFrame:
                 own = organisation(name)[0]
                 text = " ".join(own)
                 sig = _signature(grams(text), seed)
-                keys = [f"g{b}:{sig[ROWS * b : ROWS * b + ROWS].tobytes().hex()}" for b in range(HASHES)]
-                keys += [f"o:{text}"]
-                words = sorted(set(plain(name).replace(".", "").replace(",", " ").split()))
+                keys = [f"g{b}:{sig[rows * b : rows * b + rows].tobytes().hex()}" for b in range(len(sig) // rows)]
+                if not wide:
+                    keys += [f"o:{text}"]
+                words = [] if wide else sorted(set(plain(name).replace(".", "").replace(",", " ").split()))
                 if words:
                     keys.append("w:" + _signature(words, seed[:4]).tobytes().hex())
                 out += [(i, name, xxhash.xxh64_intdigest(k) - 2**63) for k in keys]
@@ -89,17 +92,22 @@ def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     """`l, r` and name features of candidate pairs: left and right are `entity, name, n`, names of entities with counts."""
     ids = lambda df, n: cut(df.select("name").distinct().withColumn("id", F.monotonically_increasing_id()), n)
     ln, rn = ids(left, "left"), ids(right, "right")
-    lk, rk = block_keys(ln.select("id", "name")), block_keys(rn.select("id", "name"))
-    # the size of what Python gives is unknown to the planner, so nothing of it may be broadcast
-    pairs = lk.select("key", F.col("id").alias("lid")).hint("merge").join(rk.select("key", F.col("id").alias("rid")), "key").select("lid", "rid").distinct()
-    named = pairs.join(ln.withColumnsRenamed({"id": "lid", "name": "ln"}), "lid").join(rn.withColumnsRenamed({"id": "rid", "name": "rn"}), "rid").select("ln", "rn")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             got = pd.DataFrame([name_features(a, b) for a, b in zip(pdf["ln"], pdf["rn"])], columns=list(FEATURES[:7]), index=pdf.index, dtype=float)
             yield pdf.join(got)[lambda d: (d["own"] > 0.3)]
 
-    scored = cut(spread(named).mapInPandas(run, "ln string, rn string, " + ", ".join(f"{f} double" for f in FEATURES[:7])), "scored")
+    def pass_over(ln: DataFrame, wide: bool, name: str) -> DataFrame:
+        lk, rk = block_keys(ln.select("id", "name"), wide), block_keys(rn.select("id", "name"), wide)
+        # the size of what Python gives is unknown to the planner, so nothing of it may be broadcast
+        pairs = lk.select("key", F.col("id").alias("lid")).hint("merge").join(rk.select("key", F.col("id").alias("rid")), "key").select("lid", "rid").distinct()
+        named = pairs.join(ln.withColumnsRenamed({"id": "lid", "name": "ln"}), "lid").join(rn.withColumnsRenamed({"id": "rid", "name": "rn"}), "rid").select("ln", "rn")
+        return cut(spread(named).mapInPandas(run, "ln string, rn string, " + ", ".join(f"{f} double" for f in FEATURES[:7])), name)
+
+    scored = pass_over(ln, False, "scored")
+    without = cut(ln.join(scored.select(F.col("ln").alias("name")).distinct(), "name", "left_anti"), "without")
+    scored = scored.unionByName(pass_over(without, True, "scored_wide"))
     l = left.select(F.col("entity").alias("l"), F.col("name").alias("ln"), F.col("n").alias("n"))
     r = right.select(F.col("entity").alias("r"), F.col("name").alias("rn")).distinct()
     full = scored.join(l, "ln").join(r, "rn")
