@@ -69,3 +69,11 @@ def test_text_snippet_same_as_sql_of_three_forms(spark):
         wanted = {tuple(r) for r in con.execute(sql).fetchall()}
     got = entry.queries()["text_snippet"](spark, root).collect()
     assert {tuple(r) for r in got} == wanted and len(got) == len(wanted)
+
+
+def test_long_tails_by_join_equal_broadcast(spark):
+    from tidemark.operators.packed import split_packed
+
+    df = spark.createDataFrame([("1", '"A, b, c, d, e, f, g";B'), ("2", "A, b, c, d, e, f, g;C"), ("3", "x, y")], "k string, f string")
+    got = [sorted(map(tuple, split_packed(df, "f", ["k"], **bound).collect())) for bound in ({}, {"tail_bound": 0})]
+    assert got[0] == got[1] == [("1", 1, "A, b, c, d, e, f, g"), ("1", 2, "B"), ("2", 1, "A, b, c, d, e, f, g"), ("2", 2, "C"), ("3", 1, "x"), ("3", 2, "y")]

@@ -247,7 +247,9 @@ def split_packed(df: DataFrame, field: str, keep: list[str], separators: str = "
 def _with_row_tails(src: DataFrame, tails: DataFrame) -> DataFrame:
     """`src` with `_tails`, those tails of the lexicon that follow a comma somewhere in the row; by joins alone."""
     texts = src.where(F.col("_packed").contains(",")).select("_packed").distinct()
-    ends = F.expr("flatten(transform(sequence(1, size(split(_packed, ','))), i -> transform(sequence(i, least(size(split(_packed, ',')), i + 3)), j -> array_join(slice(split(_packed, ','), i, j - i + 1), ','))))")
+    # as many pieces as the longest tail has
+    most = tails.agg(F.max(F.size(F.split("tail", ",")))).first()[0] or 1
+    ends = F.expr(f"flatten(transform(sequence(1, size(split(_packed, ','))), i -> transform(sequence(i, least(size(split(_packed, ',')), i + {most - 1})), j -> array_join(slice(split(_packed, ','), i, j - i + 1), ','))))")
     cuts = texts.select("_packed", F.explode(F.array_distinct(ends)).alias("tail")).select("_packed", F.explode(F.array(F.rtrim("tail"), F.rtrim(F.regexp_replace("tail", "[;|].*$", "")))).alias("tail"))
     own = cuts.join(tails, "tail", "left_semi").groupBy("_packed").agg(F.collect_set("tail").alias("_tails"))
     return src.join(own, "_packed", "left")
