@@ -7,7 +7,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.operators.packed import split_buffer, split_packed, values_of
+from tidemark.operators.packed import Marked, Tails, _gather, split_buffer, split_packed, values_of
 
 TAILS = (" Inc.", " Ltd.", " Type 1", " Myeloid, Acute", " Premature, Diseases")
 
@@ -118,3 +118,38 @@ def test_whole_field_of_the_lake():
     for p, v in zip(parents.tolist(), values.to_pylist()):
         out[p].append(v)
     assert out == [read_plainly(t, tails=tuple(tails)) for t in texts]
+
+
+TAIL_PARTS = [" Inc.", " A", " B", " C", " D", " E", " Type 1", "x"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.lists(st.sampled_from(TAIL_PARTS), min_size=1, max_size=5).map(",".join), min_size=1, max_size=4),
+    st.lists(st.lists(st.sampled_from(["Foo", "Bar/", ",", ";", "|", "/", " ", '"', ", Inc.", ", A, B, C, D, E", ", A, B", "x"]), max_size=10).map("".join), max_size=8),
+    st.sampled_from([";|,", ";|,/"]),
+)
+def test_own_spans_bind_like_the_whole_lexicon(lexicon, texts, separators):
+    """What the join brings to a row, its spans within the lexicon, binds the commas that the whole lexicon binds."""
+    tails = Tails(lexicon)
+    whole = [c.tolist() for c in split_buffer(pa.array(texts, pa.string()), separators, tails)]
+    found = [[], [], []]
+    for i, text in enumerate(texts):
+        marked = Marked(pa.array([text]), separators)
+        _, _, lo, hi = marked.spans(tails.most)
+        own = {t for t in _gather(marked.buf, lo, hi).to_pylist() if t in lexicon}
+        got = split_buffer(pa.array([text]), separators, Tails(own))
+        for out, c in zip(found, (got[0] + i, got[1], got[2])):
+            out += c.tolist()
+    assert found == whole
+
+
+def test_long_tails_and_slashes(spark):
+    rows = [("a", '"Foo, A, B, C, D, E"'), ("b", "Foo, A, B, C, D, E; Y"), ("c", '"Bar, Inc."'), ("d", "Bar, Inc./Qux"), ("e", None), ("f", "Foo, A, Bee/ Cee")]
+    df = spark.createDataFrame(rows, "k string, f string")
+    want = {"a": ["Foo, A, B, C, D, E"], "b": ["Foo, A, B, C, D, E", "Y"], "c": ["Bar, Inc."], "d": ["Bar, Inc.", "Qux"], "f": ["Foo", "A", "Bee", "Cee"]}
+    for bound in (0, 20_000):
+        got = {}
+        for r in sorted(split_packed(df, "f", ["k"], ";|,/", tail_bound=bound).collect(), key=lambda r: (r.k, r.item_pos)):
+            got.setdefault(r.k, []).append(r.item_value)
+        assert got == want

@@ -28,27 +28,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import cut
+
 QUOTE, COMMA, SLASH, BACKSLASH, OPEN, CLOSE = (ord(c) for c in '",/\\[]')
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
-#: Tails are sent to the tasks while there are at most this many; beyond it they reach the rows by a join.
-TAIL_BOUND = 20_000
+#: Tails are sent to the tasks while there are at most so many, of so many bytes; beyond it they reach the rows by a join.
+TAIL_BOUND, TAIL_BYTES = 20_000, 4_000_000
 
 
 def _trim(buf: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bounds without outer blanks, for all pieces at once; one pass per blank of the most indented piece."""
-    lo, hi = lo.copy(), hi.copy()
+    lo = lo.copy()
     todo = np.flatnonzero(lo < hi)
     while todo.size:
         todo = todo[BLANK[buf[lo[todo]]]]
         lo[todo] += 1
         todo = todo[lo[todo] < hi[todo]]
+    return lo, _rtrim(buf, lo, hi)
+
+
+def _rtrim(buf: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Ends without the blanks before them."""
+    hi = hi.copy()
     todo = np.flatnonzero(lo < hi)
     while todo.size:
         todo = todo[BLANK[buf[hi[todo] - 1]]]
         hi[todo] -= 1
         todo = todo[lo[todo] < hi[todo]]
-    return lo, hi
+    return hi
 
 
 def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -69,37 +77,93 @@ def _gather(buf: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(lo), pa.py_buffer(offsets), pa.py_buffer(buf[index].tobytes())).cast(pa.string())
 
 
-def split_buffer(texts: pa.Array, separators: str = ";|,", tails=frozenset(), row_tails: list | None = None) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """(ordinal of the parent row, position from 1, value) of every value in `texts`.
-
-    `tails`: texts (UTF-8 bytes, with their leading blank) that bind to the comma before them; `row_tails` has a
-    set of them for each row instead."""
-    buf, offsets = _bytes_of(texts)
-    n = len(offsets) - 1
-    lo, hi = _trim(buf, offsets[:-1], offsets[1:])
-    full = lo < hi
-    as_json = np.zeros(n, bool)
-    at = np.flatnonzero(full & (hi - lo >= 2))
-    as_json[at] = (buf[lo[at]] == OPEN) & (buf[hi[at] - 1] == CLOSE)
-    lo, hi = lo + as_json, hi - as_json
-
-    quote = buf == QUOTE
-    if as_json.any() and (buf == BACKSLASH).any():
-        quote &= ~_escaped(buf, offsets, as_json)
-    running = np.concatenate([[0], np.cumsum(quote)])
-    per_row = running[offsets[1:]] - running[offsets[:-1]]
-    odd = per_row % 2 == 1
-    row_of = np.repeat(np.arange(n), np.diff(offsets))
-    outside = ((running[:-1] - running[offsets[:-1]][row_of]) % 2 == 0) | odd[row_of] if buf.size else np.zeros(0, bool)
-
-    lut = np.zeros(256, bool)
-    lut[[ord(c) for c in separators]] = True
-    marks = np.flatnonzero(lut[buf] & outside & ~quote) if buf.size else np.zeros(0, np.int64)
-    marks = marks[(marks >= lo[row_of[marks]]) & (marks < hi[row_of[marks]])]
-    if marks.size and "/" in separators:
-        marks = marks[~_single_letters(buf, marks, row_of, lo, hi)]
-    if marks.size and (tails or row_tails is not None):
-        marks = marks[~_bound_commas(buf, marks, row_of, hi, tails, row_tails)]
+class Marked:
+    """The bytes of a batch with its rows' bounds and delimiter marks, before tails bind any comma."""
+
+    def __init__(self, texts: pa.Array, separators: str):
+        self.buf, self.offsets = buf, offsets = _bytes_of(texts)
+        self.n = n = len(offsets) - 1
+        lo, hi = _trim(buf, offsets[:-1], offsets[1:])
+        self.as_json = np.zeros(n, bool)
+        at = np.flatnonzero(hi - lo >= 2)
+        self.as_json[at] = (buf[lo[at]] == OPEN) & (buf[hi[at] - 1] == CLOSE)
+        self.lo, self.hi = lo, hi = lo + self.as_json, hi - self.as_json
+        self.row_of = row_of = np.repeat(np.arange(n), np.diff(offsets))
+
+        quote = buf == QUOTE
+        if self.as_json.any() and (buf == BACKSLASH).any():
+            quote &= ~_escaped(buf, offsets, self.as_json)
+        running = np.concatenate([[0], np.cumsum(quote)])
+        per_row = running[offsets[1:]] - running[offsets[:-1]]
+        self.odd = odd = per_row % 2 == 1
+        outside = ((running[:-1] - running[offsets[:-1]][row_of]) % 2 == 0) | odd[row_of] if buf.size else np.zeros(0, bool)
+
+        lut = np.zeros(256, bool)
+        lut[[ord(c) for c in separators]] = True
+        marks = np.flatnonzero(lut[buf] & outside & ~quote) if buf.size else np.zeros(0, np.int64)
+        marks = marks[(marks >= lo[row_of[marks]]) & (marks < hi[row_of[marks]])]
+        if marks.size and "/" in separators:
+            marks = marks[~_single_letters(buf, marks, row_of, lo, hi)]
+        self.marks = marks
+
+    def spans(self, most: int, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(index of the comma's mark, number of commas, start, end) of all that may be a tail: what follows a comma, up to
+        the next mark, or further over at most `most` commas in a row; `first` masks the bytes a tail begins with."""
+        marks, rows, buf = self.marks, self.row_of[self.marks], self.buf
+        comma = buf[marks] == COMMA
+        at = np.flatnonzero(comma & (marks + 1 < self.hi[rows]))
+        if first is not None:
+            at = at[first[buf[marks[at] + 1]]]
+        found = []
+        for k in range(1, most + 1):
+            if k > 1:
+                at = at[at + k - 1 < len(marks)]
+                at = at[comma[at + k - 1] & (rows[at + k - 1] == rows[at])]
+            if not at.size:
+                break
+            after = np.minimum(at + k, len(marks) - 1)
+            end = np.where((at + k < len(marks)) & (rows[after] == rows[at]), marks[after], self.hi[rows[at]])
+            found.append((at, np.full(len(at), k), marks[at] + 1, _rtrim(buf, marks[at] + 1, end)))
+        return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 4
+
+
+class Tails:
+    """Texts (strings or UTF-8 bytes, with their leading blank) that bind to the comma before them, ready for whole batches."""
+
+    def __init__(self, tails):
+        raw = sorted({t.encode() if isinstance(t, str) else t for t in tails if t})
+        self.texts = pa.array([t.decode() for t in raw], pa.string())
+        self.most = 1 + max((t.count(b",") for t in raw), default=0)
+        self.longest = max(map(len, raw), default=0)
+        self.first = np.zeros(256, bool)
+        self.first[[t[0] for t in raw]] = True
+
+    def bound(self, marked: Marked) -> np.ndarray:
+        """Which marks are commas of a name: the longest tail wins, and its own commas bind no further ones."""
+        drop = np.zeros(len(marked.marks), bool)
+        if not len(self.texts) or not drop.size:
+            return drop
+        at, k, lo, hi = marked.spans(self.most, self.first)
+        short = (hi > lo) & (hi - lo <= self.longest)
+        at, k, lo, hi = at[short], k[short], lo[short], hi[short]
+        hit = pc.is_in(_gather(marked.buf, lo, hi), self.texts).to_numpy(zero_copy_only=False)
+        reach = np.zeros(len(drop), np.int64)
+        np.maximum.at(reach, at[hit], k[hit])
+        drop = reach > 0
+        free = 0
+        for i in np.flatnonzero(reach > 1).tolist():
+            if i >= free:
+                free = i + int(reach[i])
+                drop[i:free] = True
+        return drop
+
+
+def split_buffer(texts: pa.Array, separators: str = ";|,", tails: Tails | frozenset[bytes] = frozenset()) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(ordinal of the parent row, position from 1, value) of every value in `texts`; `tails` bind to the comma before them."""
+    m = Marked(texts, separators)
+    buf, n, lo, hi, odd, as_json, row_of, marks = m.buf, m.n, m.lo, m.hi, m.odd, m.as_json, m.row_of, m.marks
+    if tails:
+        marks = marks[~(tails if isinstance(tails, Tails) else Tails(tails)).bound(m)]
 
     counts = np.bincount(row_of[marks], minlength=n)[:n] + 1 if n else np.zeros(0, np.int64)
     starts = np.sort(np.concatenate([lo, marks + 1]), kind="stable")
@@ -112,10 +176,7 @@ def split_buffer(texts: pa.Array, separators: str = ";|,", tails=frozenset(), ro
     wide = np.flatnonzero((ends - starts >= 2) & ~odd[parents])
     quoted = np.zeros(len(starts), bool)
     quoted[wide] = (buf[starts[wide]] == QUOTE) & (buf[ends[wide] - 1] == QUOTE)
-    bare = _gather(buf, starts + quoted, ends - quoted)
-    if quoted.any():
-        bare = _unquote(bare, buf, starts, ends, quoted, as_json[parents])
-    values = pc.utf8_trim_whitespace(bare)
+    values = pc.utf8_trim_whitespace(_unquote(_gather(buf, starts + quoted, ends - quoted), quoted, as_json[parents]))
     some = pc.greater(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
     values, parents = values.filter(pa.array(some)), parents[some]
     first = np.searchsorted(parents, parents, side="left")
@@ -144,51 +205,28 @@ def _single_letters(buf, marks, row_of, lo, hi) -> np.ndarray:
     return (buf[marks] == SLASH) & ((b - a == 1) | (d - c == 1))
 
 
-def _bound_commas(buf, marks, row_of, hi, tails, row_tails) -> np.ndarray:
-    """Commas whose following text is a known tail; a tail with commas of its own binds those too, longest first."""
-    drop = np.zeros(len(marks), bool)
-    every = tails if row_tails is None else set().union(*(t for t in row_tails if t))
-    if not every:
-        return drop
-    most = 1 + max(t.count(b",") for t in every)
-    first = np.zeros(256, bool)
-    first[[t[0] for t in every]] = True
-    after = np.minimum(marks + 1, len(buf) - 1)
-    rows = row_of[marks]
-    ahead = np.flatnonzero((buf[marks] == COMMA) & (marks + 1 < hi[rows]) & first[buf[after]])
-    data = buf.tobytes()
-    for i in ahead.tolist():
-        if drop[i]:
-            continue
-        row, known, reach = rows[i], tails if row_tails is None else row_tails[rows[i]], 1
-        if not known:
-            continue
-        while reach < most and i + reach < len(marks) and rows[i + reach] == row and buf[marks[i + reach]] == COMMA:
-            reach += 1
-        for k in range(reach, 0, -1):
-            end = marks[i + k] if i + k < len(marks) and rows[i + k] == row else hi[row]
-            if data[marks[i] + 1 : end].rstrip() in known:
-                drop[i : i + k] = True
-                break
-    return drop
-
-
-def _unquote(bare: pa.Array, buf, starts, ends, quoted, from_json) -> pa.Array:
-    texts = bare.to_pylist() if from_json.any() or pc.any(pc.match_substring(bare, '"')).as_py() or pc.any(pc.match_substring(bare, "\\")).as_py() else None
-    if texts is None:
-        return bare
-    for i in np.flatnonzero(quoted).tolist():
-        text = texts[i]
-        if from_json[i]:
-            if "\\" in text:
-                try:
-                    texts[i] = str(json.loads(f'"{text}"'))
-                except ValueError:
-                    pass
-        elif '"' in text:
-            single = text.replace('""', "\0")
-            texts[i] = f'"{text}"' if '"' in single else single.replace("\0", '"')
-    return pa.array(texts, pa.string())
+def _unquote(bare: pa.Array, quoted: np.ndarray, from_json: np.ndarray) -> pa.Array:
+    """Values without the quoting of the list: doubled quotes become one, unless single ones stand among them, which
+    makes the outer quotes a part of the value; backslash escapes of JSON are decoded, value by value, where there are any."""
+    inner = pc.match_substring(bare, '"').to_numpy(zero_copy_only=False) & quoted & ~from_json
+    if inner.any():
+        some = bare.filter(pa.array(inner))
+        single = pc.replace_substring(some, '""', "\0")
+        plain = pc.replace_substring(single, "\0", '"')
+        kept = pc.binary_join_element_wise('"', some, '"', "")
+        bare = pc.replace_with_mask(bare, pa.array(inner), pc.if_else(pc.match_substring(single, '"'), kept, plain))
+    escaped = pc.match_substring(bare, "\\").to_numpy(zero_copy_only=False) & quoted & from_json
+    if escaped.any():
+        decoded = [_json_text(t) for t in bare.filter(pa.array(escaped)).to_pylist()]
+        bare = pc.replace_with_mask(bare, pa.array(escaped), pa.array(decoded, pa.string()))
+    return bare
+
+
+def _json_text(text: str) -> str:
+    try:
+        return str(json.loads(f'"{text}"'))
+    except ValueError:
+        return text
 
 
 def quoted_tails(df: DataFrame, field: str) -> DataFrame:
@@ -198,7 +236,7 @@ def quoted_tails(df: DataFrame, field: str) -> DataFrame:
         df.where(F.col(field).contains(",") & F.col(field).contains('"'))
         .select(F.explode(values).alias("value"))
         .where(F.col("value").contains(","))
-        .select(F.rtrim(F.expr("substring(value, locate(',', value) + 1)")).alias("tail"))
+        .select(F.regexp_replace(F.expr("substring(value, locate(',', value) + 1)"), r"[ \t\n\x0B\f\r]+$", "").alias("tail"))
         .where("trim(tail) != '' and trim(tail) not rlike '^[\\\\],;|]'")
         .distinct()
     )
@@ -214,13 +252,16 @@ def split_packed(df: DataFrame, field: str, keep: list[str], separators: str = "
         raise ValueError(f"columns {sorted(clash)} clash with those of the result")
     kept = [F.col(k) for k in dict.fromkeys(keep)]
     src = df.select(*kept, F.col(field).cast("string").alias("_packed"))
-    known: frozenset | None = frozenset()
+    known: Tails | frozenset = frozenset()
+    by_row = False
     if learn:
-        tails = quoted_tails(src, "_packed")
-        got = tails.limit(tail_bound + 1).collect()
-        known = frozenset(r.tail.encode() for r in got) if len(got) <= tail_bound else None
-    if known is None:
-        src = _with_row_tails(src, tails)
+        tails = cut(quoted_tails(src, "_packed"), "tails")
+        count, size, commas = tails.agg(F.count("*"), F.sum(F.octet_length("tail")), F.max(F.size(F.split("tail", ",")))).first()
+        by_row = count > tail_bound or (size or 0) > TAIL_BYTES
+        if by_row:
+            src = _with_row_tails(src, tails, separators, commas)
+        elif count:
+            known = Tails([r.tail for r in tails.collect()])
     schema = T.StructType([f for f in src.schema if f.name not in ("_packed", "_tails")])
     if flat:
         out_schema = T.StructType([*schema.fields, T.StructField("item_pos", T.IntegerType(), False), T.StructField("item_value", T.StringType(), False)])
@@ -229,10 +270,9 @@ def split_packed(df: DataFrame, field: str, keep: list[str], separators: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = None
-            if known is None:
-                own = [{x.encode() for x in t} if t else None for t in batch.column("_tails").to_pylist()]
-            parents, pos, values = split_buffer(batch.column("_packed"), separators, known or frozenset(), own)
+            # a row's own tails are those of the lexicon among all its spans, so one lookup serves the whole batch
+            own = Tails(pc.unique(batch.column("_tails").flatten()).to_pylist()) if by_row else known
+            parents, pos, values = split_buffer(batch.column("_packed"), separators, own)
             rest = batch.select([f.name for f in schema])
             if flat:
                 rest = rest.take(pa.array(parents))
@@ -244,15 +284,22 @@ def split_packed(df: DataFrame, field: str, keep: list[str], separators: str = "
     return src.mapInArrow(run, out_schema)
 
 
-def _with_row_tails(src: DataFrame, tails: DataFrame) -> DataFrame:
-    """`src` with `_tails`, those tails of the lexicon that follow a comma somewhere in the row; by joins alone."""
+def _with_row_tails(src: DataFrame, tails: DataFrame, separators: str, most: int) -> DataFrame:
+    """`src` with `_tails`, the tails of the lexicon among the spans of the row's text.
+
+    The spans are those that the kernel looks up where the lexicon is sent to it, so both ways bind the same commas."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marked = Marked(batch.column(0), separators)
+            at, _, lo, hi = marked.spans(most)
+            rows = marked.row_of[marked.marks[at]]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), _gather(marked.buf, lo, hi)], names=["_packed", "tail"])
+
     texts = src.where(F.col("_packed").contains(",")).select("_packed").distinct()
-    # as many pieces as the longest tail has
-    most = tails.agg(F.max(F.size(F.split("tail", ",")))).first()[0] or 1
-    ends = F.expr(f"flatten(transform(sequence(1, size(split(_packed, ','))), i -> transform(sequence(i, least(size(split(_packed, ',')), i + {most - 1})), j -> array_join(slice(split(_packed, ','), i, j - i + 1), ','))))")
-    cuts = texts.select("_packed", F.explode(F.array_distinct(ends)).alias("tail")).select("_packed", F.explode(F.array(F.rtrim("tail"), F.rtrim(F.regexp_replace("tail", "[;|].*$", "")))).alias("tail"))
-    own = cuts.join(tails, "tail", "left_semi").groupBy("_packed").agg(F.collect_set("tail").alias("_tails"))
-    return src.join(own, "_packed", "left")
+    spans = texts.mapInArrow(run, "_packed string, tail string").where("tail != ''").distinct()
+    own = spans.hint("merge").join(tails, "tail", "left_semi").groupBy("_packed").agg(F.collect_set("tail").alias("_tails"))
+    return src.join(own.hint("merge"), "_packed", "left")
 
 
 def values_of(df: DataFrame, field: str, key: str, field_name: str, separators: str = ";|,") -> DataFrame:
