@@ -107,3 +107,31 @@ def test_latest_known_handles_null_ranks():
     ev = pa.table({"entity": ["A"], "at": [5]})
     ve = pa.table({"entity": ["A", "A"], "series": ["x", "x"], "known": [1, 2], "r1": pa.array([None, 1], pa.int64()), "r2": [1, 1], "payload": ["a", "b"]})
     assert latest_known(ev, ve, ["x"]).column("x").to_pylist() == ["b"]
+
+
+def test_late_outcomes_follow_the_tree():
+    """Against the rule in closed form; and without eviction nothing is dropped, without the tree's totals nothing corrected."""
+    from unittest import mock
+
+    from tidemark.operators.late import period_of, run_entity
+
+    rnd = random.Random(11)
+    rows = sorted((d + rnd.choice([0, 3, 20, 40, 45, 70, 95, 200]), d, 1, float(rnd.randrange(9))) for d in (rnd.randrange(900) for _ in range(800)))
+    want = {}
+    for known, d, n, v in rows:
+        start, end = period_of(d, "quarter")
+        phase = (known >= end + 46) + (known >= end + 150)
+        want.setdefault(start, [[0, 0.0], [0, 0.0], [0, 0.0]])
+        want[start][phase][0] += n
+        want[start][phase][1] += v
+    plain = set()
+    for s, ((n0, v0), (n1, v1), (n2, v2)) in want.items():
+        plain |= {(s, "final", n0 + n1, v0 + v1, v0)} if n0 + n1 else set()
+        plain |= {(s, "corrected", n1, v0 + v1, v0)} if n1 else set()
+        plain |= {(s, "dropped", n2, v2)} if n2 else set()
+    cut_nan = lambda out: {r[:4] if r[1] == "dropped" else r for r in out}
+    assert cut_nan(run_entity(rows, "quarter", 46, 150)) == plain
+    with mock.patch.object(FingerTree, "evict", lambda self, before: None):
+        assert not [r for r in run_entity(rows, "quarter", 46, 150) if r[1] == "dropped"]
+    with mock.patch.object(FingerTree, "total", lambda self, low, high: None):
+        assert not [r for r in run_entity(rows, "quarter", 46, 150) if r[1] == "corrected"]

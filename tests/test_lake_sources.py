@@ -131,3 +131,31 @@ def test_late_totals_stream(spark, tmp_path):
         q = S.late_totals(spark.readStream.schema(schema).parquet(f"file://{src}"), 10, 5, 60, "value").writeStream.outputMode("append").option("checkpointLocation", f"file://{tmp_path}/cp").trigger(availableNow=True)
         q.foreachBatch(lambda df, _: out.extend(map(tuple, df.collect()))).start().awaitTermination()
     assert out == [("A", 0, "corrected", 2, 3.0), ("A", 0, "dropped", 1, 4.0)]
+
+
+def test_late_totals_stream_counts_a_hash_once(spark, tmp_path):
+    from tidemark.streaming import stream as S
+
+    src, schema = f"{tmp_path}/in", "entity string, event_time timestamp, knowledge_time timestamp, content_hash string, value double"
+    batches = [[("1970-01-05", "1970-01-06", "a", 1.0), ("1970-01-05", "1970-01-07", "a", 1.0)], [("1970-01-05", "1970-01-21", "a", 1.0), ("1970-01-06", "1970-01-22", "b", 2.0), ("1970-01-06", "1970-01-22", None, 3.0)]]
+    out = []
+    for b in batches:
+        spark.createDataFrame([("A", t(a), t(k), h, v) for a, k, h, v in b], schema).coalesce(1).write.mode("append").parquet(f"file://{src}")
+        q = S.late_totals(spark.readStream.schema(schema).parquet(f"file://{src}"), 10, 5, 60, "value").writeStream.outputMode("append").option("checkpointLocation", f"file://{tmp_path}/cp").trigger(availableNow=True)
+        q.foreachBatch(lambda df, _: out.extend(map(tuple, df.collect()))).start().awaitTermination()
+    assert out == [("A", 0, "corrected", 3, 6.0)]
+
+
+def test_late_totals_stream_ends_idle_states(spark, tmp_path):
+    from tidemark.streaming import stream as S
+
+    src, schema = f"{tmp_path}/in", "entity string, event_time timestamp, knowledge_time timestamp, value double"
+    batches = [[("A", "1970-01-05", "1970-01-06")], [("B", "1971-01-05", "1971-01-06")], [("B", "1971-01-05", "1971-01-06")]]
+    kept = []
+    for e in batches:
+        spark.createDataFrame([(n, t(a), t(k), 1.0) for n, a, k in e], schema).coalesce(1).write.mode("append").parquet(f"file://{src}")
+        q = S.late_totals(spark.readStream.schema(schema).parquet(f"file://{src}"), 10, 5, 60, "value", "7 days").writeStream.outputMode("append").option("checkpointLocation", f"file://{tmp_path}/cp").trigger(availableNow=True)
+        run = q.foreachBatch(lambda df, _: df.count()).start()
+        run.awaitTermination()
+        kept.append(run.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert kept[0] == 1 and kept[-1] == 1

@@ -2,7 +2,8 @@
 
 Leaves hold (time, partial) pairs, and each node the combined partial of its subtree. Two fingers point at the outermost
 leaves: an insert climbs from the nearer one only as far as its time lies away, then changes the partials of its
-ancestors, so it costs O(log distance). `evict` drops whole subtrees left of a cut-off.
+ancestors, so it costs O(log distance). `evict` drops whole subtrees left of a cut-off, and `offer` takes nothing from
+before it any more.
 
 A partial is a tuple of numbers that add up elementwise. It can be pickled, and so kept in a stream's state.
 """
@@ -43,6 +44,14 @@ def _position(times: list, t) -> int:
 class FingerTree:
     def __init__(self) -> None:
         self.root = self.left = self.right = Node(True)
+        self.floor = None
+
+    def offer(self, t, partial: tuple) -> bool:
+        """Inserts unless t lies in what was evicted; whether it did."""
+        if self.floor is not None and t < self.floor:
+            return False
+        self.insert(t, partial)
+        return True
 
     def insert(self, t, partial: tuple) -> None:
         """Adds a partial at time t."""
@@ -131,6 +140,7 @@ class FingerTree:
 
     def evict(self, before) -> None:
         """Drops all entries with time < before, whole subtrees at a time."""
+        self.floor = before if self.floor is None else max(self.floor, before)
         self._evict(self.root, before)
         while self.root.kids is not None and len(self.root.kids) == 1:
             self.root = self.root.kids[0]
@@ -174,9 +184,10 @@ class FingerTree:
         return out
 
     def __getstate__(self):
-        return self.items()
+        return self.floor, self.items()
 
-    def __setstate__(self, items) -> None:
+    def __setstate__(self, state) -> None:
         self.__init__()
+        self.floor, items = state
         for t, v in items:
             self.insert(t, v)

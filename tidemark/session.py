@@ -63,6 +63,13 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(2 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
+def buckets_for(df: DataFrame, rows_each: int) -> int:
+    """How many hash buckets hold about `rows_each` rows of `df` each, and at least two for each shuffle partition; `df`
+    should be what `cut` gave, whose rows are counted from the files' footers."""
+    least = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-df.count() // rows_each))
+
+
 def _remove(spark: SparkSession, path: str, pid: int) -> None:
     if os.getpid() != pid:
         return

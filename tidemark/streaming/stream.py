@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemark.operators.finger import FingerTree
+from tidemark.operators.late import LateTotals
 
 
 def read_lake(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -34,34 +34,51 @@ def windowed(stream: DataFrame, value: str, size: str = "1 day", slide: str | No
 
 
 LATE_OUT = "entity string, period_start long, outcome string, n_rows long, total double"
-LATE_STATE = "tree binary"
+LATE_STATE = "kept binary"
 
 
-def late_totals(stream: DataFrame, period_days: int, close_days: int, cutoff_days: int, measure: str) -> DataFrame:
-    """Totals by entity and period of `period_days` days since 1970, as `late.late_corrected` defines them, kept as a finger
-    tree in each entity's state. A batch gives the periods that it changed: `corrected` with the new totals, and
-    `dropped` with what came after the cut-off. What lies beyond the cut-off is evicted from the state."""
+def late_totals(stream: DataFrame, period_days: int, close_days: int, cutoff_days: int, measure: str, disorder: str | None = None) -> DataFrame:
+    """Totals by entity and period of `period_days` days since 1970, by the same `late.LateTotals` as a batch, kept in each
+    entity's state. A batch gives the periods that it changed: `corrected` with the new totals of a period published
+    before, and `dropped` with what the tree refused, as its period was evicted.
+
+    Where the stream has a content_hash, a row sent again counts once while its period is kept; hashes leave the state
+    with their period, so what is sent again later than that counts as dropped.
+
+    `disorder`: by how much knowledge times may be out of order from batch to batch (such as `7 days`). With it, an
+    entity's state ends once the stream's clock has passed the cut-off of all that it holds; rows more out of order than
+    that are not taken. Without it states of idle entities stay."""
+    hashed = "content_hash" in stream.columns
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        tree = pickle.loads(state.get[0]) if state.exists else FingerTree()
+        if state.hasTimedOut:
+            state.remove()
+            return
+        totals, seen = pickle.loads(state.get[0]) if state.exists else (LateTotals(period_days, close_days, cutoff_days), {})
         pdf = pd.concat(list(batches)).sort_values("known", kind="stable")
-        changed, dropped, oldest = {}, {}, None
-        for day, known, value in zip(pdf["day"].tolist(), pdf["known"].tolist(), pdf["measure"].fillna(0.0).tolist()):
+        changed = set()
+        for day, known, value, digest in zip(pdf["day"].tolist(), pdf["known"].tolist(), pdf["measure"].fillna(0.0).tolist(), pdf["hash"].tolist()):
+            for start, *_ in totals.advance(known):
+                seen.pop(start, None)
             start = day - day % period_days
-            end = start + period_days
-            if known >= end + cutoff_days:
-                n, total = dropped.get(start, (0, 0.0))
-                dropped[start] = (n + 1, total + value)
+            if digest is not None and digest in seen.get(start, ()):
                 continue
-            tree.insert(day, (1, value))
-            if known >= end + close_days:
-                changed[start] = end
-            oldest = known - cutoff_days - period_days
-        rows = [(key[0], s, "corrected", *tree.total(s, e)) for s, e in changed.items()] + [(key[0], s, "dropped", *v) for s, v in dropped.items()]
-        if oldest is not None:
-            tree.evict(oldest - oldest % period_days)
-        state.update((pickle.dumps(tree),))
+            if totals.add(day, 1, value):
+                if digest is not None:
+                    seen.setdefault(start, set()).add(digest)
+                if totals.held[start] is not None:
+                    changed.add(start)
+        rows = [(key[0], s, "corrected", *totals.total(s)) for s in sorted(changed) if s in totals.held]
+        rows += [(key[0], s, "dropped", *v) for s, v in sorted(totals.dropped.items())]
+        totals.dropped = {}
+        state.update((pickle.dumps((totals, seen)),))
+        if disorder and totals.held:
+            empty_ms = (max(totals.held) + period_days + cutoff_days + 1) * 86_400_000
+            state.setTimeoutTimestamp(max(empty_ms, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(rows, columns=["entity", "period_start", "outcome", "n_rows", "total"])
 
-    src = stream.where("event_time <= knowledge_time").select("entity", F.unix_date(F.col("event_time").cast("date")).alias("day"), F.unix_date(F.col("knowledge_time").cast("date")).alias("known"), F.col(measure).cast("double").alias("measure"))
-    return src.groupBy("entity").applyInPandasWithState(run, LATE_OUT, LATE_STATE, "append", GroupStateTimeout.NoTimeout)
+    day = lambda c: F.unix_date(F.col(c).cast("date"))
+    digest = F.unhex(F.sha2(F.col("content_hash").cast("string"), 256)) if hashed else F.lit(None).cast("binary")
+    src = (stream.withWatermark("knowledge_time", disorder) if disorder else stream).where("event_time <= knowledge_time")
+    src = src.select(*(["knowledge_time"] if disorder else []), "entity", day("event_time").alias("day"), day("knowledge_time").alias("known"), F.col(measure).cast("double").alias("measure"), digest.alias("hash"))
+    return src.groupBy("entity").applyInPandasWithState(run, LATE_OUT, LATE_STATE, "append", GroupStateTimeout.EventTimeTimeout if disorder else GroupStateTimeout.NoTimeout)
