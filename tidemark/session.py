@@ -6,6 +6,7 @@ import atexit
 import os
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,10 @@ SPEED_CONF = {
 }
 
 
+#: Paths of what `cut` gave, by identity.
+_CUT: dict[int, tuple] = {}
+
+
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; `conf` takes names with `_` for `.` or a full dict under `conf`."""
     builder = SparkSession.builder.appName(app)
@@ -49,12 +54,28 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     """`df` written as Parquet to the shared folder and read again.
 
     The plan of the result starts at those files, so it survives the loss of executors and nothing before it runs
-    twice. Files are removed when the driver ends."""
+    twice. Files are removed when the driver ends, or by `release`."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _CUT[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, removed when the driver ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     atexit.register(_remove, spark, path, os.getpid())
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def release(*frames: DataFrame) -> None:
+    """Removes the files of frames that `cut` gave and no plan that is still to run reads."""
+    for df in frames:
+        held, path = _CUT.pop(id(df), (lambda: None, ""))
+        if held() is df:
+            _remove(df.sparkSession, path, os.getpid())
 
 
 def spread(df: DataFrame) -> DataFrame:
