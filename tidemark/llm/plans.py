@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import repeats
+from tidemark.llm.batches import cleared
 from tidemark.llm.bpe import token_ids
 from tidemark.llm.matching import check_digit_fits, matched
 from tidemark.llm.mixing import mixed
@@ -14,6 +14,7 @@ from tidemark.llm.reading import ENGLISH_FROM, reading_levels
 from tidemark.llm.variants import linked, variant_pairs
 from tidemark.operators.packed import split_packed
 from tidemark.plans.problems import split_sql, tails_sql
+from tidemark.session import scratch
 from tidemark.tables import table
 
 
@@ -86,8 +87,8 @@ def p6_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of Form 4 that report a transaction again, with its first row."""
-    return repeats(table(spark, root, "insider_form4"))
+    """Rows of Form 4 that report a transaction again, with its first row: batches of days through a history that begins empty."""
+    return cleared(table(spark, root, "insider_form4"), scratch(spark, "history"))
 
 
 def p8_ids(spark: SparkSession, root: str) -> DataFrame:
