@@ -1,4 +1,5 @@
 import itertools
+import random
 
 import pytest
 
@@ -64,3 +65,53 @@ def test_components_and_roots(spark):
     links = spark.createDataFrame([(i, i - 1) for i in range(1, 30)] + [(50, 40)], "id long, parent long")
     assert {r.id: r.root for r in roots(links).collect()} == {**{i: 0 for i in range(1, 30)}, 50: 40}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_similar_pairs_equal_brute_force(spark):
+    """The prefixes of rare grams lose no pair above the threshold, whatever shares a common gram."""
+    import math
+    import random
+
+    from tidemark.llm.names import grams
+    from tidemark.llm.variants import SMOOTH, similar_pairs
+
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choice("abc") for _ in range(rnd.randrange(3, 9))) for _ in range(70)]
+    texts += [t[:-1] + "x" for t in texts[:20]] + texts[:10] + ["hot " + t for t in texts[:30]]
+    rows = [(i, "f", rnd.choice(["", "S"]), t) for i, t in enumerate(texts)]
+    nodes = spark.createDataFrame(rows, "id long, field_name string, scope_key string, text string")
+    distinct = {(s, t) for _, _, s, t in rows}
+    df = {}
+    for _, t in distinct:
+        for g in grams(t):
+            df[g] = df.get(g, 0) + 1
+    weight = {g: math.log1p(len(distinct) / (n + SMOOTH * len(distinct))) for g, n in df.items()}
+    vector = lambda t: {g: weight[g] for g in grams(t)}
+    norm = lambda v: math.sqrt(sum(w * w for w in v.values()))
+    want = {}
+    for i, _, s, t in rows:
+        for j, _, z, u in rows:
+            if i < j and s == z:
+                a, b = vector(t), vector(u)
+                c = sum(w * b.get(g, 0) for g, w in a.items()) / norm(a) / norm(b)
+                if c >= 0.4:
+                    want[(i, j)] = round(c, 6)
+    assert {(r.a, r.b): round(r.cosine, 6) for r in similar_pairs(nodes, (3,), 0.4).collect()} == want
+
+
+def test_words_that_a_corpus_shares(spark):
+    """A trade that no list has is told from names of their own, and parts or joins companies as listed trades do."""
+    from tidemark.llm.variants import shared_words
+
+    rnd = random.Random(9)
+    own = ["".join(rnd.choice("bcdfglmnprst") + rnd.choice("aeiou") for _ in range(5)) for _ in range(24)]
+    names = [n for i, o in enumerate(own) for n in (f"{o} Zeppelins Inc", f"{o.upper()} ZEPPELINS", f"{o} {'Quarries' if i % 2 else 'Foods'} Ltd")]
+    df = spark.createDataFrame([("o", "", n) for n in names], "field_name string, scope_key string, name string")
+    shared = shared_words(df)
+    assert "zeppelins" in shared and not set(own) & set(shared)
+    got = {(r.name_a, r.name_b) for r in variant_pairs(linked(df, False, (3,), 0.3)).collect()}
+    assert got == {(f"{o.upper()} ZEPPELINS", f"{o} Zeppelins Inc") for o in own}
+
+
+def test_names_of_signs_alone():
+    assert same_organisation("***", "###") == 0 and same_organisation("***", "***") == 1

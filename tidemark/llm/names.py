@@ -13,13 +13,13 @@ FILLERS = frozenset("the of for and com cl class ord shs adr ads new grp group o
 
 # Short forms of first names.
 NICKNAMES = {
-    "alex": "alexander", "sandy": "alexander", "sasha": "alexander", "lex": "alexander", "andy": "andrew", "drew": "andrew", "anne": "anneliese", "ann": "anneliese", "tony": "anthony", "ben": "benjamin",
+    "alex": "alexander", "sandy": "alexander", "sasha": "alexander", "lex": "alexander", "andy": "andrew", "drew": "andrew", "tony": "anthony", "ben": "benjamin",
     "benny": "benjamin", "chas": "charles", "charlie": "charles", "chuck": "charles", "chris": "christopher", "topher": "christopher",
     "dan": "daniel", "danny": "daniel", "dave": "david", "deb": "deborah", "debbie": "deborah", "don": "donald", "ed": "edward", "eddie": "edward",
     "ned": "edward", "nell": "eleanor", "ellie": "eleanor", "nora": "eleanor", "liz": "elizabeth", "beth": "elizabeth", "betsy": "elizabeth",
     "betty": "elizabeth", "eliza": "elizabeth", "frank": "francis", "fred": "frederick", "geo": "george", "greg": "gregory", "hank": "henry",
     "harry": "henry", "jas": "james", "jim": "james", "jimmy": "james", "jen": "jennifer", "jenny": "jennifer", "jenn": "jennifer",
-    "joe": "joseph", "jos": "joseph", "jon": "jonathan", "john": "jonathan", "johnny": "jonathan", "kate": "katherine", "kathy": "katherine",
+    "joe": "joseph", "jos": "joseph", "jon": "jonathan", "kate": "katherine", "kathy": "katherine",
     "katie": "katherine", "kat": "katherine", "ken": "kenneth", "larry": "lawrence", "maggie": "margaret", "meg": "margaret", "peggy": "margaret",
     "matt": "matthew", "mike": "michael", "mick": "michael", "nick": "nicholas", "pat": "patricia", "patty": "patricia", "trish": "patricia",
     "tricia": "patricia", "phil": "philip", "becky": "rebecca", "becca": "rebecca", "dick": "richard", "rich": "richard", "rick": "richard",
@@ -35,7 +35,7 @@ INITIALS: dict[str, set[str]] = {}
 for _short, _full in [*NICKNAMES.items(), *ALSO.items()]:
     INITIALS.setdefault(_full, {_full[0]}).add(_short[0])
 
-# Words of trade and kind that many names share.
+# Words of trade and kind that many names share; a corpus adds its own (`variants.shared_words`).
 KINDS = frozenset(
     """advisors aerospace agency airlines alliance analytics associates automotive bancorp bank beverages bioscience biosciences biotech board brands
     broadcasting building cancer capital center centre chemical chemicals children childrens clinic college communications construction consulting
@@ -48,19 +48,12 @@ KINDS = frozenset(
     steel stores systems technologies technology telecom textiles therapeutics transport transportation trust union university utilities ventures
     water workers""".split()
 )
-DELETED: dict[str, set[str]] = {}
-LONG_KINDS: dict[str, list[str]] = {}
-for _kind in sorted(KINDS):
-    for _i in range(len(_kind)):
-        DELETED.setdefault(_kind[:_i] + _kind[_i + 1 :], set()).add(_kind)
-    if len(_kind) >= 9:
-        LONG_KINDS.setdefault(_kind[0], []).append(_kind)
-BY_LENGTH = sorted(KINDS, key=lambda k: (-len(k), k))
 LEGAL = {
     "inc": "inc", "incorporated": "inc", "corp": "corp", "corporation": "corp", "cp": "corp", "co": "co", "cos": "co", "company": "co", "ltd": "ltd",
-    "limited": "ltd", "lim": "ltd", "li": "ltd", "lp": "lp", "partnership": "lp", "llc": "llc", "ll": "llc", "pl": "plc", "plc": "plc", "sa": "sa", "nv": "nv", "ag": "ag", "se": "se", "gmbh": "gmbh",
+    "limited": "ltd", "lp": "lp", "partnership": "lp", "llc": "llc", "plc": "plc", "sa": "sa", "nv": "nv", "ag": "ag", "se": "se", "gmbh": "gmbh",
 }
 SHORT_KINDS = {"pptys": "properties", "ppty": "properties", "svcs": "services", "svc": "services", "mgmt": "management", "natl": "national", "fdn": "foundation", "assn": "associates"}
+CUT_LEGAL = ("incorporated", "limited", "partnership", "llc", "plc", "gmbh")
 LONG_LEGAL = ("incorporated", "corporation", "company", "limited", "partnership")
 
 
@@ -136,6 +129,8 @@ def _first_names(a: str, b: str) -> float:
     if _formal(a) & _formal(b):
         return 2.0
     shortest = min(len(a), len(b))
+    if shortest >= 3 and (a.startswith(b) or b.startswith(a)):
+        return 2.0
     if shortest >= 4 and edits(a, b, 2) <= (1 if shortest < 7 else 2):
         return 2.0
     for x, y in ((a, b), (b, a)):
@@ -185,44 +180,115 @@ def same_person(a: str, b: str) -> float:
 # Organisations
 
 
-@lru_cache(200_000)
-def kinds_of(word: str) -> tuple[frozenset[str], str]:
-    """Words of trade that `word` may stand for, and what is left of it as a name of its own."""
-    if word in KINDS or word in SHORT_KINDS:
-        return frozenset([_one(SHORT_KINDS.get(word, word))]), ""
-    if len(word) >= 3:
-        short = {k for k in KINDS if k[0] == word[0] and len(word) < len(k) and _inside(word, k)}
-        if short:
-            starts = {k for k in short if k.startswith(word)}
-            return frozenset(map(_one, starts or short)), ""
-    if len(word) >= 5:
-        near = {k for k in _one_edit(word) if edits(word, k, 1) <= 1} | {k for k in LONG_KINDS.get(word[0], ()) if edits(word, k, 2) <= 2}
-        if near:
-            return frozenset(map(_one, near)), ""
-        for k in BY_LENGTH:
-            if len(k) >= 4 and len(word) - len(k) >= 4:
-                if word.endswith(k):
-                    return frozenset([_one(k)]), word[: -len(k)]
-                if word.startswith(k) and len(k) >= 6:
-                    return frozenset([_one(k)]), word[len(k) :]
-    return frozenset(), word
-
-
-def _one(kind: str) -> str:
-    """The singular where both are listed."""
-    kind = {"centre": "center", "laboratories": "labs", "technology": "technologies"}.get(kind, kind)
-    return kind[:-1] if kind.endswith("s") and kind[:-1] in KINDS else kind
-
-
-def _one_edit(word: str) -> set[str]:
-    """Kinds that may be one edit away: those that share the word, or what a deletion leaves of either."""
-    found = set(DELETED.get(word, ()))
-    for i in range(len(word)):
-        rest = word[:i] + word[i + 1 :]
-        found |= DELETED.get(rest, set())
-        if rest in KINDS:
-            found.add(rest)
-    return found
+class Trade:
+    """Words of trade, and the parsing of organisations by them."""
+
+    def __init__(self, words: tuple[str, ...] = ()):
+        """`words`: what a corpus shares beyond KINDS, most frequent first; those that already stand for a known one add nothing."""
+        self.kinds = set(KINDS)
+        self._index()
+        for w in words:
+            if w not in FILLERS and w not in LEGAL and not self._kinds_of(w)[0]:
+                self.kinds.add(w)
+                self._index()
+        self.kinds_of = lru_cache(200_000)(self._kinds_of)
+        self.organisation = lru_cache(200_000)(self._organisation)
+        self.same = lru_cache(200_000)(self._same)
+
+    def _index(self) -> None:
+        self.deleted: dict[str, set[str]] = {}
+        self.long: dict[str, list[str]] = {}
+        for k in sorted(self.kinds):
+            for i in range(len(k)):
+                self.deleted.setdefault(k[:i] + k[i + 1 :], set()).add(k)
+            if len(k) >= 9:
+                self.long.setdefault(k[0], []).append(k)
+        self.by_length = sorted(self.kinds, key=lambda k: (-len(k), k))
+
+    def _kinds_of(self, word: str) -> tuple[frozenset[str], str]:
+        """Words of trade that `word` may stand for, and what is left of it as a name of its own."""
+        if word in self.kinds or word in SHORT_KINDS:
+            return frozenset([self._one(SHORT_KINDS.get(word, word))]), ""
+        if len(word) >= 3:
+            short = {k for k in self.kinds if k[0] == word[0] and len(word) < len(k) and _inside(word, k)}
+            if short:
+                starts = {k for k in short if k.startswith(word)}
+                return frozenset(map(self._one, starts or short)), ""
+        if len(word) >= 5:
+            near = {k for k in self._one_edit(word) if edits(word, k, 1) <= 1} | {k for k in self.long.get(word[0], ()) if edits(word, k, 2) <= 2}
+            if near:
+                return frozenset(map(self._one, near)), ""
+            for k in self.by_length:
+                if len(k) >= 4 and len(word) - len(k) >= 4:
+                    if word.endswith(k):
+                        return frozenset([self._one(k)]), word[: -len(k)]
+                    if word.startswith(k) and len(k) >= 6:
+                        return frozenset([self._one(k)]), word[len(k) :]
+        return frozenset(), word
+
+    def _one(self, kind: str) -> str:
+        """The singular where both are listed."""
+        kind = {"centre": "center", "laboratories": "labs", "technology": "technologies"}.get(kind, kind)
+        return kind[:-1] if kind.endswith("s") and kind[:-1] in self.kinds else kind
+
+    def _one_edit(self, word: str) -> set[str]:
+        """Kinds that may be one edit away: those that share the word, or what a deletion leaves of either."""
+        found = set(self.deleted.get(word, ()))
+        for i in range(len(word)):
+            rest = word[:i] + word[i + 1 :]
+            found |= self.deleted.get(rest, set())
+            if rest in self.kinds:
+                found.add(rest)
+        return found
+
+    def _organisation(self, name: str) -> tuple[tuple[str, ...], tuple[frozenset[str], ...], str]:
+        text = re.sub(r"[/\\][A-Za-z]{2,4}[/\\]?(?=\s|$)", " ", name)
+        text = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", text)
+        text = re.sub(r"[.’']", "", plain(text))
+        words = re.findall(r"[^\W_]+", text)
+        own, kinds, legal = [], [], ""
+        for i, w in enumerate(words):
+            if len(w) == 1 and len(words) > 1 or w in FILLERS:
+                continue
+            form = _legal(w, i == len(words) - 1) if i or len(words) == 1 else _legal(w) if len(w) > 3 else None
+            if form:
+                legal = "lp" if {form, legal} == {"ltd", "lp"} else legal or form
+                continue
+            meant, rest = self.kinds_of(w)
+            if meant:
+                kinds.append(meant)
+            if rest:
+                own.append(rest)
+        if not own:
+            own = [w for w in words if w not in FILLERS and len(w) > 1] or words
+            kinds = []
+        return tuple(sorted(own)), tuple(kinds), legal
+
+    def _same(self, a: str, b: str) -> float:
+        (own_a, kinds_a, legal_a), (own_b, kinds_b, legal_b) = self.organisation(a), self.organisation(b)
+        if not own_a or not own_b:  # of signs alone
+            return float(a == b)
+        if len(own_a) != len(own_b):
+            return 0.0
+        total, left = 0, list(own_b)
+        for x in own_a:
+            d, hit = min(((edits(x, y, 2), y) for y in left), default=(3, ""))
+            if d > (2 if min(len(x), len(hit)) >= 8 else 1 if min(len(x), len(hit)) >= 4 else 0):
+                return 0.0
+            total += d
+            left.remove(hit)
+        clash = bool(legal_a and legal_b and legal_a != legal_b)
+        if bool(kinds_a) != bool(kinds_b):
+            return 0.0 if clash or total > 1 else 0.65 if legal_a and legal_a == legal_b else 0.6 if not total else 0.0
+        if not kinds_fit(kinds_a, kinds_b) or (clash and not kinds_a):
+            return 0.0
+        return 1.0 - 0.08 * min(total, 3) - 0.15 * clash
+
+
+@lru_cache(8)
+def trade(words: tuple[str, ...] = ()) -> Trade:
+    """Kept by process, as only the words are sent to it."""
+    return Trade(words)
 
 
 def _inside(short: str, word: str) -> bool:
@@ -230,9 +296,14 @@ def _inside(short: str, word: str) -> bool:
     return all(c in letters for c in short)
 
 
-def _legal(word: str) -> str | None:
+def _legal(word: str, last: bool = False) -> str | None:
+    """The legal form that a word stands for; a last word of two letters or more may be cut off."""
     if word in LEGAL:
         return LEGAL[word]
+    if last and len(word) >= 2:
+        full = next((f for f in CUT_LEGAL if f.startswith(word)), None)
+        if full:
+            return LEGAL[full]
     if len(word) >= 4:
         for full in LONG_LEGAL:
             if full.startswith(word) or (len(word) >= 6 and edits(word, full, 1) <= 1):
@@ -240,30 +311,9 @@ def _legal(word: str) -> str | None:
     return None
 
 
-@lru_cache(200_000)
 def organisation(name: str) -> tuple[tuple[str, ...], tuple[frozenset[str], ...], str]:
     """(own words in alphabetic order, words of trade as sets of what each may mean, legal form or '')."""
-    text = re.sub(r"[/\\][A-Za-z]{2,4}[/\\]?(?=\s|$)", " ", name)
-    text = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", text)
-    text = re.sub(r"[.’']", "", plain(text))
-    words = re.findall(r"[^\W_]+", text)
-    own, kinds, legal = [], [], ""
-    for i, w in enumerate(words):
-        if len(w) == 1 and len(words) > 1 or w in FILLERS:
-            continue
-        form = _legal(w) if i or len(words) == 1 else _legal(w) if len(w) > 3 else None
-        if form:
-            legal = "lp" if {form, legal} == {"ltd", "lp"} else legal or form
-            continue
-        meant, rest = kinds_of(w)
-        if meant:
-            kinds.append(meant)
-        if rest:
-            own.append(rest)
-    if not own:
-        own = [w for w in words if w not in FILLERS and len(w) > 1] or words
-        kinds = []
-    return tuple(sorted(own)), tuple(kinds), legal
+    return trade().organisation(name)
 
 
 def kinds_fit(a: tuple[frozenset[str], ...], b: tuple[frozenset[str], ...]) -> bool:
@@ -279,22 +329,6 @@ def kinds_fit(a: tuple[frozenset[str], ...], b: tuple[frozenset[str], ...]) -> b
     return True
 
 
-@lru_cache(200_000)
 def same_organisation(a: str, b: str) -> float:
     """How sure two spellings mean one organisation: 0 to 1. 0.6 where only one of them tells its trade."""
-    (own_a, kinds_a, legal_a), (own_b, kinds_b, legal_b) = organisation(a), organisation(b)
-    if len(own_a) != len(own_b):
-        return 0.0
-    total, left = 0, list(own_b)
-    for x in own_a:
-        d, hit = min(((edits(x, y, 2), y) for y in left), default=(3, ""))
-        if d > (2 if min(len(x), len(hit)) >= 8 else 1 if min(len(x), len(hit)) >= 4 else 0):
-            return 0.0
-        total += d
-        left.remove(hit)
-    clash = bool(legal_a and legal_b and legal_a != legal_b)
-    if bool(kinds_a) != bool(kinds_b):
-        return 0.0 if clash or total > 1 else 0.65 if legal_a and legal_a == legal_b else 0.6 if not total else 0.0
-    if not kinds_fit(kinds_a, kinds_b) or (clash and not kinds_a):
-        return 0.0
-    return 1.0 - 0.08 * min(total, 3) - 0.15 * clash
+    return trade().same(a, b)

@@ -55,7 +55,7 @@ def p5_spellings(spark: SparkSession, root: str) -> DataFrame:
         .unionByName(names(table(spark, root, "clinical_trials"), "clinical_trials.sponsor", "sponsor", F.lit("")))
         .unionByName(names(orgs, "news_gkg.organizations", "item_value", F.lit("")))
     )
-    return linked(persons, True, (2, 3), 0.2).unionByName(linked(firms, False, (3,), 0.2))
+    return linked(persons, True, (2, 3), 0.2).unionByName(linked(firms, False, (3,), 0.3))
 
 
 def p5_found(spark: SparkSession, root: str) -> DataFrame:

@@ -1,16 +1,19 @@
 """Variant spellings of names: link all spellings of one person or organisation.
 
 Distinct spellings become nodes (spellings that differ in case, signs and titles only share one). Each node is a vector of
-its character n-grams, weighted by inverse document frequency over all nodes of its field; a sparse join on the grams
-gives every pair with a cosine of at least `least_cosine` within a block. An exact check of words (`names`) scores these
-pairs, and average-linkage clustering within connected components groups them. Weak links (one side tells less) join a
-group only where no other group could be meant.
-
-Blocks keep the join sparse and lose no pair that the check would accept: persons are compared within their scope;
-organisations where their words of trade may be the same, or their own words are.
-
-Defined cases: null and blank names are no spellings; equal spellings are one; a name of signs alone is compared as it
-is; ties in linkage go to the pair of clusters that comes first. Scopes may be empty.
+the character n-grams of its own words, weighted by inverse document frequency over all nodes of its field; words of trade,
+which tell little, are left out of it. A sparse join gives, within a field and scope, every pair with a cosine of at least
+`least_cosine`: the top-n of a node are all its partners above the threshold, as any smaller n would lose links. The join
+meets nodes only on the rarest grams of each, those without which the rest of the vector could not reach the threshold, so
+it loses no pair. An exact check of words (`names`) follows and strikes out pairs that contradict each other; average-linkage
+clustering of the cosines left groups each connected component. Weak links (one side tells less) join a group only where no
+other group could be meant.
+
+Words of trade are a fixed list and, beyond it, the words that a corpus shares: those in at least `SHARED` of its names and
+seldom the rarest word of a name. There are at most 1/SHARED times the mean number of words of a name of them.
+
+Defined cases: null and blank names are no spellings; equal spellings are one; names of signs alone are like none but
+themselves; ties in linkage go to the pair of clusters that comes first. Scopes may be empty.
 """
 
 from __future__ import annotations
@@ -23,88 +26,121 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.names import grams, organisation, person_words, same_organisation, same_person
-from tidemark.session import cut, spread
+from tidemark.llm.names import grams, person_words, same_person, trade
+from tidemark.session import buckets_for, cut, release, spread
 
 STRONG = 0.7
-NODES = "field_name string, scope_key string, name string, form string, blocks array<string>, text string"
+#: A word is shared if so many of the names have it, and at least so many, and in so many of them it isn't the rarest.
+SHARED, SHARED_LEAST, SHARED_LED = 0.004, 12, 0.7
+#: Grams weigh log(1 + total / (df + SMOOTH * total)), so that the grams of a typing error don't outweigh all others.
+SMOOTH = 0.03
+NODES = "field_name string, scope_key string, name string, form string, text string"
 
 
-def _person(name: str) -> tuple[str, list[str], str]:
+def _person(name: str) -> tuple[str, str]:
     words = person_words(name)
     text = " ".join(w for w in words if len(w) > 1)
-    return " ".join(words) or name.lower(), [""], text or name.lower()
+    return " ".join(words) or name.lower(), text or name.lower()
 
 
-def _organisation(name: str) -> tuple[str, list[str], str]:
-    own, kinds, legal = organisation(name)
+def _organisation(name: str, shared: tuple[str, ...]) -> tuple[str, str]:
+    own, kinds, legal = trade(shared).organisation(name)
     text = " ".join(own)
     form = "|".join([text, *sorted("/".join(sorted(k)) for k in kinds), legal])
-    return form, ["=", *sorted(set().union(*kinds))] if kinds else ["=", ""], text or name.lower()
+    return (form, text) if text else (name, name)
+
 
+def shared_words(names: DataFrame) -> tuple[str, ...]:
+    """The words that many of the distinct names share, most frequent first."""
+    text = F.lower(F.regexp_replace(F.regexp_replace("name", r"(?<=\p{Ll})(?=\p{Lu})", " "), r"[.’']", ""))
+    named = names.select("name").distinct().select(F.monotonically_increasing_id().alias("id"), F.array_distinct(F.regexp_extract_all(text, F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))).alias("words"))
+    words = cut(named.select("id", F.explode("words").alias("word")), "words")
+    total = words.select("id").distinct().count()
+    df = words.groupBy("word").agg(F.count("*").alias("n"))
+    rarest = words.join(df, "word").groupBy("id").agg(F.min("n").alias("least"))
+    often = df.where((F.col("n") >= max(SHARED_LEAST, SHARED * total)) & (F.length("word") >= 3) & ~F.col("word").rlike("[0-9]"))
+    led = words.join(often, "word").join(rarest, "id").groupBy("word", "n").agg(F.avg((F.col("n") > F.col("least")).cast("double")).alias("led"))
+    found = led.where(F.col("led") >= SHARED_LED).orderBy(F.col("n").desc(), "word").collect()
+    release(words)
+    return tuple(r.word for r in found)
 
-def spelling_nodes(names: DataFrame, persons: bool) -> DataFrame:
-    """Distinct spellings (field_name, scope_key, name) with their form, blocks and the text of their vector."""
-    distinct = names.where("name is not null and trim(name) != ''").select("field_name", "scope_key", "name").distinct()
-    describe = _person if persons else _organisation
+
+def spelling_nodes(names: DataFrame, persons: bool, shared: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct spellings (field_name, scope_key, name) with their form and the text of their vector."""
+    describe = _person if persons else lambda n: _organisation(n, shared)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             got = [describe(n) for n in pdf["name"]]
-            yield pdf.assign(form=[g[0] for g in got], blocks=[g[1] for g in got], text=[g[2] for g in got])
+            yield pdf.assign(form=[g[0] for g in got], text=[g[1] for g in got])
 
-    return spread(distinct).mapInPandas(run, NODES)
+    return spread(names).mapInPandas(run, NODES)
 
 
 def similar_pairs(nodes: DataFrame, sizes: tuple[int, ...], least_cosine: float) -> DataFrame:
-    """Distinct `a, b` (a < b) of nodes `id, field_name, scope_key, blocks, text` whose vectors are that near in a block."""
+    """`a, b, cosine` (a < b) of the pairs of nodes `id, field_name, scope_key, text` of a field and scope that are that near.
+
+    A node's grams are taken from the rarest on; once the rest of its vector is shorter than the threshold, no further gram
+    can be the rarest common one of a pair that reaches it, so only the grams before that point are join keys."""
 
     @F.pandas_udf("array<string>")
     def cut_up(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: grams(t, sizes))
 
-    base = nodes.select("id", "field_name", "scope_key", "blocks", "text").withColumn("grams", cut_up("text"))
-    exploded = base.select("id", "field_name", "scope_key", "blocks", F.explode("grams").alias("gram"))
-    total = nodes.groupBy("field_name").agg(F.count("*").alias("total"))
-    df = exploded.groupBy("field_name", "gram").agg(F.count("*").alias("df")).join(total, "field_name")
-    weighed = exploded.join(df.select("field_name", "gram", F.log1p(F.col("total") / F.col("df")).alias("w")), ["field_name", "gram"])
-    norms = weighed.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    unit = weighed.join(norms, "id").select("id", "scope_key", "field_name", "gram", (F.col("w") / F.col("norm")).alias("w"), F.explode(F.filter("blocks", lambda b: b != "=")).alias("block"))
-    key = F.xxhash64("field_name", "scope_key", "block", "gram")
-    unit = cut(unit.select(key.alias("k"), F.xxhash64("block").alias("block"), "id", F.col("w").cast("float").alias("w")), "grams")
-    left, right = (unit.select("k", "block", F.col("id").alias(n), F.col("w").alias(f"w_{n}")) for n in ("a", "b"))
-    near = left.hint("merge").join(right, ["k", "block"]).where("a < b").groupBy("a", "b", "block").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("cosine"))
-    near = near.where(F.col("cosine") >= least_cosine).select("a", "b")
-    same = base.where(F.array_contains("blocks", "=")).select(F.xxhash64("field_name", "scope_key", "text").alias("k"), "id")
-    same = same.withColumnRenamed("id", "a").hint("merge").join(same.withColumnRenamed("id", "b"), "k").where("a < b").select("a", "b")
-    return near.unionByName(same).distinct()
-
-
-def linked(names: DataFrame, persons: bool, sizes: tuple[int, ...], least_cosine: float, buckets: int | None = None) -> DataFrame:
+    texts = nodes.groupBy("field_name", "scope_key", "text").agg(F.min("id").alias("node"))
+    exploded = texts.select("node", "field_name", "scope_key", F.explode(cut_up("text")).alias("gram")).select("node", "scope_key", "field_name", F.xxhash64("field_name", "gram").alias("gram"))
+    exploded = cut(exploded, "grams")
+    total = texts.groupBy("field_name").agg(F.count("*").alias("total"))
+    df = exploded.groupBy("field_name", "gram").agg(F.count("*").alias("df")).join(F.broadcast(total), "field_name")  # one row a field
+    weighed = exploded.join(df.select("gram", "df", F.log1p(F.col("total") / (F.col("df") + SMOOTH * F.col("total"))).alias("w")), "gram")
+    vectors = weighed.groupBy("node", "scope_key").agg(F.array_sort(F.collect_list(F.struct("df", "gram", "w"))).alias("v"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
+    vectors = vectors.withColumn("norm", norm).select("node", "scope_key", F.transform("v", lambda x: F.struct(x["gram"].alias("gram"), (x["w"] / F.col("norm")).alias("w"))).alias("v"))
+    vectors = cut(vectors, "vectors")
+    # the squared length of what comes before each gram, from the rarest on
+    before = F.aggregate("v", F.array(F.lit(0.0)), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x["w"] * x["w"])))
+    keys = vectors.withColumn("before", before).select("node", "scope_key", F.expr(f"filter(transform(v, (x, i) -> if(1 - before[i] >= {least_cosine**2 - 1e-9}, x.gram, null)), g -> g is not null)").alias("keys"))
+    keys = keys.select("node", "scope_key", F.explode("keys").alias("g")).select("node", F.xxhash64("scope_key", "g").alias("k"))
+    keys = cut(keys, "keys")
+    met = keys.withColumnRenamed("node", "a").hint("merge").join(keys.withColumnRenamed("node", "b"), "k").where("a < b").select("a", "b").distinct()
+    side = lambda n: vectors.select(F.col("node").alias(n), F.col("v").alias(f"v_{n}"))
+    both = met.join(side("a"), "a").join(side("b"), "b")
+    cosine = F.expr("aggregate(v_a, 0D, (s, x) -> s + x.w * aggregate(v_b, 0D, (t, y) -> if(y.gram = x.gram, y.w, t)))")
+    near = both.select("a", "b", cosine.alias("cosine")).where(F.col("cosine") >= least_cosine)
+    # from texts back to nodes: those of one text have cosine 1
+    own = nodes.join(texts, ["field_name", "scope_key", "text"]).select("id", "node")
+    x, y = own.select(F.col("node").alias("a"), F.col("id").alias("x")), own.select(F.col("node").alias("b"), F.col("id").alias("y"))
+    same = x.join(y.withColumnRenamed("b", "a"), "a").where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b"), F.lit(1.0).alias("cosine"))
+    return near.join(x, "a").join(y, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "cosine").unionByName(same)
+
+
+def linked(names: DataFrame, persons: bool, sizes: tuple[int, ...], least_cosine: float, rows_each: int = 50_000) -> DataFrame:
     """`field_name, scope_key, name, cluster`: each distinct spelling with the group it belongs to."""
-    buckets = buckets or 4 * int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spelled = cut(spelling_nodes(names, persons), "spellings")
-    nodes = spelled.groupBy("field_name", "scope_key", "form").agg(F.min("name").alias("name"), F.first("blocks").alias("blocks"), F.first("text").alias("text"))
+    distinct = cut(names.where("name is not null and trim(name) != ''").select("field_name", "scope_key", "name").distinct(), "names")
+    shared = () if persons else shared_words(distinct)
+    spelled = cut(spelling_nodes(distinct, persons, shared), "spellings")
+    nodes = spelled.groupBy("field_name", "scope_key", "form").agg(F.min("name").alias("name"), F.first("text").alias("text"))
     nodes = cut(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
     pairs = similar_pairs(nodes, sizes, least_cosine)
     shown = lambda n: nodes.select(F.col("id").alias(n), F.col("name").alias(f"name_{n}"))
-    same = same_person if persons else same_organisation
-    telling = (lambda n: sum(map(len, person_words(n)))) if persons else (lambda n: (len(organisation(n)[1]), len(n)))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        same = same_person if persons else trade(shared).same
+        telling = (lambda n: sum(map(len, person_words(n)))) if persons else (lambda n: (len(trade(shared).organisation(n)[1]), len(n)))
         for pdf in batches:
             got = [same(x, y) for x, y in zip(pdf["name_a"], pdf["name_b"])]
             sim = [-s if s < STRONG and telling(y) < telling(x) else s for s, x, y in zip(got, pdf["name_a"], pdf["name_b"])]
-            yield pdf[["a", "b"]].assign(sim=sim)[lambda d: d["sim"] != 0]
+            yield pdf[["a", "b", "cosine"]].assign(sim=sim)[lambda d: d["sim"] != 0]
 
-    edges = spread(pairs.join(shown("a"), "a").join(shown("b"), "b").select("a", "b", "name_a", "name_b")).mapInPandas(score, "a long, b long, sim double")
+    edges = spread(pairs.join(shown("a"), "a").join(shown("b"), "b").select("a", "b", "cosine", "name_a", "name_b")).mapInPandas(score, "a long, b long, cosine double, sim double")
     edges = cut(edges, "links")
-    grouped = edges.join(components(edges).withColumnRenamed("id", "a"), "a").withColumn("part", F.pmod(F.xxhash64("component"), F.lit(buckets)))
+    grouped = cut(edges.join(components(edges).withColumnRenamed("id", "a"), "a"), "grouped")
+    grouped = grouped.withColumn("part", F.pmod(F.xxhash64("component"), F.lit(buckets_for(grouped, rows_each))))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, g in pdf.groupby("component", sort=False):
-            out += cluster(list(zip(g["a"].tolist(), g["b"].tolist(), g["sim"].tolist())))
+            out += cluster(list(zip(g["a"].tolist(), g["b"].tolist(), g["sim"].tolist())), cosines=g["cosine"].tolist())
         return pd.DataFrame(out, columns=["id", "cluster"])
 
     clusters = grouped.groupBy("part").applyInPandas(run, "id long, cluster long")
@@ -112,14 +148,16 @@ def linked(names: DataFrame, persons: bool, sizes: tuple[int, ...], least_cosine
     return spelled.select("field_name", "scope_key", "name", "form").join(told, ["field_name", "scope_key", "form"]).drop("form")
 
 
-def cluster(edges: list[tuple[int, int, float]], least: float = 0.15) -> list[tuple[int, int]]:
-    """(node, cluster) of one component: average linkage over strong edges, then unambiguous weak ones.
+def cluster(edges: list[tuple[int, int, float]], least: float = 0.15, cosines: list[float] | None = None) -> list[tuple[int, int]]:
+    """(node, cluster) of one component: average linkage over strong edges by their cosines, then unambiguous weak ones.
 
-    A weak edge has the similarity's sign turned if its second node tells less than its first. The group that tells less
-    joins the other one if no further group fits it as well."""
+    An edge's third value is how sure the check of words is; it stands for the cosine where none are given. A weak edge
+    has its sign turned if its second node tells less than its first. The group that tells less joins the other one if no
+    further group fits it as well."""
     ids = sorted({x for e in edges for x in e[:2]})
     at = {x: i for i, x in enumerate(ids)}
-    group = _average_linkage(len(ids), [(at[a], at[b], s) for a, b, s in edges if s >= STRONG], least)
+    near = cosines or [abs(e[2]) for e in edges]
+    group = _average_linkage(len(ids), [(at[a], at[b], c) for (a, b, s), c in zip(edges, near) if s >= STRONG], least)
     choices: dict[int, dict[int, float]] = {}
     for a, b, s in edges:
         less, more = (group[at[a]], group[at[b]])[:: -1 if s < 0 else 1]
