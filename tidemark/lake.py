@@ -85,7 +85,7 @@ class Lake:
             counted = files.groupBy("domain", "source", "f", "b").agg(F.count("*").alias("n"))
             per_file = counted if per_file is None else per_file.unionByName(counted)
         out = per_file.groupBy("domain", "source").agg(F.count("*").alias("files"), F.sum("b").alias("bytes"), F.sum("n").alias("rows"))
-        return out.join(F.broadcast(registry(self.spark)), ["domain", "source"], "left").withColumn("pit_class", F.coalesce("pit_class", F.lit("unknown"))).drop("safe")
+        return out.join(F.broadcast(registry(self.spark)), ["domain", "source"], "left").withColumn("pit_class", F.coalesce("pit_class", F.lit("unknown"))).drop("safe", "paid")
 
     def healthy(self) -> bool:
         """Whether a row can be read; raises what hinders it."""

@@ -1,7 +1,7 @@
 """Pure parsers: what a source delivers, as a DataFrame, to rows of the lake (envelope and payload).
 
 Each parser takes the frame that a Spark reader makes of landed files (JSON, CSV, text, XML in a text column) and gives
-one projection of it. None fetches anything. `SOURCES` lists them with their place in the lake and their lag rule.
+one projection of it. None fetches anything, cuts a text or leaves out old rows unless it is told to (`most`, `since`). `SOURCES` lists them with their place in the lake and their lag rule.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from tidemark.functions.scalar import collapse, epoch, html_text, number, ratio
 
 c = F.col
 ts = lambda x, fmt=None: F.try_to_timestamp(x, F.lit(fmt)) if fmt else F.try_to_timestamp(x)
+cut = lambda x, most: F.substring(x, 1, most) if most else x
+since_day = lambda df, at, since: df.where(at >= F.lit(since).cast("timestamp")) if since else df.where(at.isNotNull())
 num = lambda *names: {n: number(c(n)) for n in names}
 txt = lambda *names: {n: c(n).cast("string") for n in names}
 
@@ -88,7 +90,7 @@ def edgar_index(put, raw):
 
 
 @source("edgar_fulltext", "filings_text", "edgar", "ticker", "acceptance, else filing date")
-def edgar_fulltext(put, raw, forms=("8-K", "10-K", "10-Q"), most=800_000):
+def edgar_fulltext(put, raw, forms=("8-K", "10-K", "10-Q"), most=None):
     """Filings with their HTML."""
     df = raw.where(c("form").isin(*forms))
     text = html_text(c("html"), most)
@@ -135,7 +137,8 @@ COT = {"open_interest_all": "open_interest", "noncomm_positions_long_all": "nonc
 
 @source("cftc_cot", "positioning", "cftc", "year", "event + 3 days")
 def cftc_cot(put, raw):
-    return put(raw, entity=c("market"), event_time=ts(c("report_date").cast("string")), lag="3 DAYS", payload={new: number(c(old)) for old, new in COT.items()})
+    at = ts(c("report_date_as_yyyy_mm_dd").cast("string"))
+    return put(raw.where(at.isNotNull()), entity=c("contract_market_name"), event_time=at, lag="3 DAYS", payload={new: number(c(old)) for old, new in COT.items()})
 
 
 @source("short_finra", "positioning", "finra_short", "year, month", "event + 1 day")
@@ -146,11 +149,17 @@ def short_finra(put, raw):
     return put(df, entity=c("Symbol"), event_time=ts(c("Date").cast("string"), "yyyyMMdd"), lag="1 DAY", payload={"short_volume": s, "short_exempt_volume": e, "total_volume": t, "short_ratio": ratio(s, t)})
 
 
+#: Numeric columns of an auction.
+AUCTION = ("interestRate", "highYield", "highDiscountRate", "bidToCoverRatio", "offeringAmount", "totalAccepted", "totalTendered")
+
+
 @source("treasury_auctions", "macro", "treasury", "type", "auction date")
-def treasury_auctions(put, raw, since="2000-01-01"):
-    at = ts(c("auction_date").cast("string"))
-    numbers = [n for n in ("high_yield", "interest_rate", "price_per100", "offering_amt", "total_tendered", "total_accepted", "bid_to_cover_ratio") if n in raw.columns]
-    return put(raw.where(at >= F.lit(since).cast("timestamp")), entity=c("security_type"), event_time=at, payload={**txt("cusip", "security_term", "maturity_date"), **num(*numbers)})
+def treasury_auctions(put, raw, since=None):
+    """Auctions with the type they were asked for (`type`); numbers that the source left out are null."""
+    at = ts(c("auctionDate").cast("string"))
+    numbers = {n: number(c(n)) if n in raw.columns else F.lit(None).cast("double") for n in AUCTION}
+    texts = {"cusip": c("cusip"), "security_term": c("securityTerm"), "maturity_date": c("maturityDate")}
+    return put(since_day(raw, at, since), entity=c("type"), event_time=at, payload={**{n: x.cast("string") for n, x in texts.items()}, **numbers})
 
 
 #: Tags of the ownership form.
@@ -178,12 +187,12 @@ def insider_form4(put, raw):
 
 
 @source("fed_text", "policy", "fomc", "all", "minutes + 21 days, statements + 0")
-def fed_text(put, raw, most=400_000):
+def fed_text(put, raw, most=None):
     """doc_type, url, date and HTML; char_len counts the text before it is cut to `most`."""
     text = html_text(c("html"))
     at = ts(c("date").cast("string"))
     known = at + F.when(c("doc_type") == "minutes", F.expr("INTERVAL 21 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
-    return put(raw, entity="FOMC", event_time=at, knowledge_time=known, url=c("url"), payload={**txt("doc_type", "url"), "text": F.substring(text, 1, most), "char_len": F.length(text).cast("long")})
+    return put(raw, entity="FOMC", event_time=at, knowledge_time=known, url=c("url"), payload={**txt("doc_type", "url"), "text": cut(text, most), "char_len": F.length(text).cast("long")})
 
 
 def fed_links(pages: DataFrame, pattern: str = r'href="([^"]*(?:monetary|fomcminutes)\d{8}[^"]*)"') -> DataFrame:
@@ -231,10 +240,13 @@ def index_changes(changes: DataFrame, index_name: str = "SP500") -> DataFrame:
 
 
 @source("defillama", "crypto_defi", "defillama", "series", "event + 1 day")
-def defillama(put, raw):
-    """series, date, tvl or totalCirculating.peggedUSD."""
-    value = F.coalesce(*(number(c(n)) for n in ("tvl", "totalCirculating.peggedUSD", "totalLiquidityUSD") if n.split(".")[0] in raw.columns))
-    return put(raw, entity=c("series"), event_time=epoch(c("date")), lag="1 DAY", payload={"metric": F.lit("tvl"), "value": value})
+def defillama(put, raw, since=None):
+    """series, date and tvl; of the series `stablecoins` totalCirculatingUSD.peggedUSD. Points without date or value are left out."""
+    stable = c("series") == "stablecoins"
+    value = F.when(stable, number(c("totalCirculatingUSD.peggedUSD"))).otherwise(number(c("tvl")))
+    at = epoch(c("date"))
+    df = since_day(raw, at, since).where(value.isNotNull())
+    return put(df, entity=c("series"), event_time=at, lag="1 DAY", payload={"metric": F.when(stable, "stablecoin_mcap_usd").otherwise("tvl_usd"), "value": value})
 
 
 @source("defillama_flows", "crypto_defi", "defillama_flows", "metric", "event + 1 day")
@@ -249,14 +261,14 @@ def usgs_quakes(put, raw):
     """GeoJSON features; coordinates by place in their array."""
     p, xyz = "properties.", c("geometry.coordinates")
     at = lambda i: F.get(xyz, F.lit(i)).cast("double")
-    return put(raw, entity=c("id"), event_time=epoch(c(p + "time"), "ms"), lag="20 MINUTES", url=c(p + "url"), payload={"magnitude": number(c(p + "mag")), "place": c(p + "place"), "longitude": at(0), "latitude": at(1), "depth_km": at(2), "url": c(p + "url")})
+    return put(raw.where(c(p + "time").isNotNull()), entity="EARTHQUAKE", event_time=epoch(c(p + "time"), "ms"), lag="20 MINUTES", url=c(p + "url"), payload={"magnitude": number(c(p + "mag")), "place": c(p + "place"), "longitude": at(0), "latitude": at(1), "depth_km": at(2), "url": c(p + "url")})
 
 
 @source("arxiv_papers", "research", "arxiv", "category", "publication")
-def arxiv_papers(put, raw):
+def arxiv_papers(put, raw, most_authors=None, most=None):
     """Atom entries: id, title, summary, published, author array, category."""
-    authors = F.substring(F.array_join(F.transform("author", lambda a: a["name"]), ", "), 1, 500)
-    return put(raw, entity=c("category"), event_time=ts(c("published").cast("string")), url=c("id"), payload={"arxiv_id": F.regexp_extract("id", r"abs/(.+)$", 1), "title": collapse(c("title")), "abstract": F.substring(collapse(c("summary")), 1, 3000), "authors": authors, "primary_category": c("category")})
+    authors = cut(F.array_join(F.transform("author", lambda a: a["name"]), ", "), most_authors)
+    return put(raw, entity=c("category"), event_time=ts(c("published").cast("string")), url=c("id"), payload={"arxiv_id": F.regexp_extract("id", r"abs/(.+)$", 1), "title": collapse(c("title")), "abstract": cut(collapse(c("summary")), most), "authors": authors, "primary_category": c("category")})
 
 
 def _last_of_day(df: DataFrame, keys: list[str], at: Column, value: Column, keep: dict[str, Column]) -> DataFrame:
@@ -266,19 +278,21 @@ def _last_of_day(df: DataFrame, keys: list[str], at: Column, value: Column, keep
 
 @source("predict_manifold", "predictions", "manifold", "topic", "day")
 def predict_manifold(put, raw):
-    """Bets (market_id, question, createdTime in ms, probAfter, volume): the last of each day."""
-    df = _last_of_day(raw, ["market_id"], epoch(c("createdTime"), "ms"), number(c("probAfter")), {"question": c("question"), "volume": number(c("volume"))})
-    return put(df, entity=c("market_id"), event_time=c("day"), payload={"question": c("question"), **num("probability", "volume")})
+    """Bets (market_id, slug?, question, createdTime in ms, probAfter, volume): the last of each day; the slug names the market."""
+    name = F.coalesce(*(c(n) for n in ("slug", "market_id") if n in raw.columns)).cast("string")
+    df = _last_of_day(raw, ["market_id"], epoch(c("createdTime"), "ms"), number(c("probAfter")), {"name": name, "question": c("question"), "volume": F.coalesce(number(c("volume")), F.lit(0.0))})
+    return put(df, entity=c("name"), event_time=c("day"), payload={"question": c("question"), **num("probability", "volume")})
 
 
 @source("predict_polymarket", "predictions", "polymarket", "page", "day")
-def predict_polymarket(put, raw):
-    """Markets with JSON lists of outcomes and tokens in strings, and price points by token (token, t, p)."""
-    markets, points = raw if isinstance(raw, tuple) else (raw, None)
+def predict_polymarket(put, markets, points):
+    """Markets (slug, id, question, volume, and JSON lists of outcomes and tokens in strings), and price points by token
+    (token, t in seconds, p) of each market's first token. A market without a name for its outcome has `Yes`."""
     tokens, names = F.from_json("clobTokenIds", "array<string>"), F.from_json("outcomes", "array<string>")
-    df = markets.select("question", number(c("volume")).alias("volume"), F.get(tokens, F.lit(0)).alias("token"), F.get(names, F.lit(0)).alias("outcome"))
-    daily = _last_of_day(points.join(df, "token"), ["token"], epoch(c("t")), number(c("p")), {n: c(n) for n in ("question", "outcome", "volume")})
-    return put(daily, entity=c("token"), event_time=c("day"), payload={**txt("question"), "probability": c("probability"), **txt("outcome"), "volume": c("volume")})
+    name = F.coalesce(*(c(n).cast("string") for n in ("slug", "id") if n in markets.columns))
+    df = markets.select(name.alias("name"), "question", F.coalesce(number(c("volume")), F.lit(0.0)).alias("volume"), F.get(tokens, F.lit(0)).alias("token"), F.coalesce(F.get(names, F.lit(0)), F.lit("Yes")).alias("outcome"))
+    daily = _last_of_day(points.join(df, "token"), ["token"], epoch(c("t")), number(c("p")), {n: c(n) for n in ("name", "question", "outcome", "volume")})
+    return put(daily, entity=c("name"), event_time=c("day"), payload={**txt("question"), "probability": c("probability"), **txt("outcome"), "volume": c("volume")})
 
 
 def contract_probability(close: Column, mean: Column, previous: Column, bid: Column, ask: Column) -> Column:
@@ -288,22 +302,26 @@ def contract_probability(close: Column, mean: Column, previous: Column, bid: Col
 
 
 @source("predict_kalshi", "predictions", "kalshi", "category", "day")
-def predict_kalshi(put, raw, top=8):
-    """Candles of markets; the `top` markets of each series by volume, the last candle of each day."""
+def predict_kalshi(put, raw, top=None):
+    """Candles of markets; the `top` markets of each series by volume (all if not told), the last candle of each day."""
     from tidemark.operators.asof import ranked
 
-    best = ranked(raw.groupBy("series", "ticker").agg(F.max(number(c("volume"))).alias("v")), ["series"], [c("v").desc_nulls_last(), c("ticker").asc()], top)
+    if top:
+        best = ranked(raw.groupBy("series", "ticker").agg(F.max(number(c("volume"))).alias("v")), ["series"], [c("v").desc_nulls_last(), c("ticker").asc()], top)
+        raw = raw.join(best.select("ticker"), "ticker", "left_semi")
     p = contract_probability(*(number(c(n)) for n in ("close", "mean", "previous", "yes_bid", "yes_ask")))
-    df = _last_of_day(raw.join(best.select("ticker"), "ticker", "left_semi").withColumn("_p", p).where("_p is not null"), ["ticker"], epoch(c("end_period_ts")), c("_p"), {"title": c("title"), "series": c("series")})
+    df = _last_of_day(raw.withColumn("_p", p).where("_p is not null"), ["ticker"], epoch(c("end_period_ts")), c("_p"), {"title": c("title"), "series": c("series")})
     return put(df, entity=c("ticker"), event_time=c("day"), payload={"title": c("title"), "probability": c("probability"), "series": c("series")})
 
 
 @source("nasa_events", "events", "nasa_eonet", "year", "event + 1 day")
 def nasa_events(put, raw):
-    """Events with an array of dated geometries: a row for each."""
-    df = raw.select("id", "title", F.get(c("categories"), F.lit(0))["title"].alias("category"), F.explode("geometry").alias("g"))
+    """Events with an array of dated geometries: a row for each point; polygons (no pair of numbers) are left out."""
+    df = raw.select("id", "title", F.coalesce(F.get(c("categories"), F.lit(0))["id"], F.lit("")).alias("category"), F.explode("geometry").alias("g"))
     xy = lambda i: F.get(c("g.coordinates"), F.lit(i)).cast("double")
-    return put(df, entity=c("category"), event_time=ts(c("g.date")), lag="1 DAY", payload={"category": c("category"), "title": c("title"), "longitude": xy(0), "latitude": xy(1), "magnitude_value": c("g.magnitudeValue").cast("double"), "magnitude_unit": c("g.magnitudeUnit").cast("string"), "event_id": c("id")})
+    at = ts(c("g.date"))
+    df = df.where(at.isNotNull() & (F.size("g.coordinates") >= 2))
+    return put(df, entity=c("category"), event_time=at, lag="1 DAY", payload={"category": c("category"), "title": c("title"), "longitude": xy(0), "latitude": xy(1), "magnitude_value": c("g.magnitudeValue").cast("double"), "magnitude_unit": F.coalesce(c("g.magnitudeUnit").cast("string"), F.lit("")), "event_id": c("id")})
 
 
 @source("crypto_funding", "crypto_deriv", "okx", "instrument", "settlement")
@@ -320,38 +338,41 @@ def crypto_vol(put, raw):
 
 @source("crypto_fng", "sentiment", "alt_fng", "all", "event + 1 day")
 def crypto_fng(put, raw):
-    return put(raw, entity="CRYPTO_FNG", event_time=epoch(c("timestamp")), lag="1 DAY", payload={"fng_value": number(c("value")), "classification": c("value_classification")})
+    return put(raw, entity="crypto_market", event_time=epoch(c("timestamp")), lag="1 DAY", payload={"fng_value": number(c("value")), "classification": c("value_classification")})
 
 
 @source("fed_register", "policy", "federal_register", "year", "publication")
 def fed_register(put, raw):
     agencies = F.array_join(F.transform("agencies", lambda a: a["name"]), ", ")
-    return put(raw, entity=c("document_number"), event_time=ts(c("publication_date").cast("string")), url=c("html_url"), payload={**txt("title", "type", "abstract", "document_number"), "agencies": agencies, "url": c("html_url")})
+    at = ts(c("publication_date").cast("string"))
+    return put(raw.where(at.isNotNull()), entity=c("type"), event_time=at, url=c("html_url"), payload={**txt("title", "type", "abstract", "document_number"), "agencies": agencies, "url": c("html_url")})
 
 
 @source("fda_events", "events", "openfda", "year", "report date")
-def fda_events(put, raw):
+def fda_events(put, raw, most=None):
     at = ts(c("report_date").cast("string"), "yyyyMMdd")
-    return put(raw.where(at.isNotNull()), entity=c("recalling_firm"), event_time=at, payload={**txt("classification", "recalling_firm"), "product_description": F.substring("product_description", 1, 500), "reason": F.substring("reason_for_recall", 1, 500), **txt("status")})
+    return put(raw.where(at.isNotNull()), entity=c("recalling_firm"), event_time=at, payload={**txt("classification", "recalling_firm"), "product_description": cut(c("product_description"), most), "reason": cut(c("reason_for_recall"), most), **txt("status")})
 
 
 @source("epu_index", "sentiment", "epu", "region", "event + 1 month")
 def epu_index(put, raw):
-    """Year, Month and two indices; the footer has no month."""
+    """Year, Month and two indices, told by their names; the footer has no month."""
     df = raw.where(number(c("Year")).isNotNull() & number(c("Month")).isNotNull())
     at = F.make_date(number(c("Year")).cast("int"), number(c("Month")).cast("int"), F.lit(1)).cast("timestamp")
-    return put(df, entity="US_EPU", event_time=at, lag="1 MONTH", payload=num("epu_3component", "epu_news_based"))
+    index = lambda *parts: next((number(c(f"`{n}`")) for n in raw.columns if any(x in n for x in parts)), F.lit(None).cast("double"))
+    return put(df, entity="US", event_time=at, lag="1 MONTH", payload={"epu_3component": index("Three_Component", "3component"), "epu_news_based": index("News_Based", "news_based")})
 
 
 @source("clinical_trials", "research", "clinicaltrials", "year", "first post")
-def clinical_trials(put, raw, most_conditions=5):
+def clinical_trials(put, raw, most_conditions=None):
     """protocolSection of studies."""
     p = "protocolSection."
     sponsor = c(p + "sponsorCollaboratorsModule.leadSponsor")
-    conditions = F.array_join(F.slice(c(p + "conditionsModule.conditions"), 1, most_conditions), ", ")
+    conditions = c(p + "conditionsModule.conditions")
+    conditions = F.array_join(F.slice(conditions, 1, most_conditions) if most_conditions else conditions, ", ")
     at = ts(c(p + "statusModule.studyFirstPostDateStruct.date").cast("string"))
     payload = {"nct_id": c(p + "identificationModule.nctId"), "title": c(p + "identificationModule.briefTitle"), "status": c(p + "statusModule.overallStatus"), "phase": F.array_join(c(p + "designModule.phases"), ", "), "sponsor": sponsor["name"], "sponsor_class": sponsor["class"], "conditions": conditions}
-    return put(raw, entity=sponsor["name"], event_time=at, payload=payload)
+    return put(raw.where(at.isNotNull()), entity=sponsor["name"], event_time=at, payload=payload)
 
 
 @source("news_gkg", "news", "gdelt_gkg", "year, month", "publication")
@@ -364,19 +385,20 @@ def news_gkg(put, raw):
     at = ts(c("f")[1], "yyyyMMddHHmmss")
     parts = {n: F.get(tone, F.lit(i)).try_cast("double") for i, n in enumerate(("tone", "positive", "negative", "polarity"))}
     payload = {"title": F.regexp_extract(c("f")[26], "<PAGE_TITLE>(.*?)</PAGE_TITLE>", 1), "url": c("url"), "site_domain": c("f")[3], "themes": F.array_join(F.filter(F.split(c("f")[7], ";"), lambda x: x != ""), ", "), "organizations": names(13), "persons": names(11), **parts}
-    return put(df, entity=c("f")[3], event_time=at, url=c("url"), payload=payload)
+    return put(df.where(at.isNotNull()), entity=c("f")[3], event_time=at, url=c("url"), payload=payload)
 
 
 @source("market_fng", "sentiment", "cnn_fng", "all", "event + 1 day")
 def market_fng(put, raw):
-    """component, and data as points of ms, score and rating; a component and time once."""
-    df = raw.select("component", F.inline("data")).select("component", epoch(c("x"), "ms").alias("at"), c("y").cast("double").alias("score"), "rating").dropDuplicates(["component", "at"])
-    return put(df, entity=c("component"), event_time=c("at"), lag="1 DAY", payload={"score": c("score"), "rating": c("rating")})
+    """component, and data as points of ms, score and rating: the first point of a component and day."""
+    points = raw.select("component", F.inline("data")).select("component", F.date_trunc("day", epoch(c("x"), "ms")).alias("at"), F.struct("x", c("y").cast("double").alias("score"), "rating").alias("p"))
+    df = points.groupBy("component", "at").agg(F.min_by("p", "p.x").alias("p"))
+    return put(df, entity=c("component"), event_time=c("at"), lag="1 DAY", payload={"score": c("p.score"), "rating": c("p.rating")})
 
 
 for _name, _domain, _source in (("features", "features", "derived"), ("entity_graph", "graph", "derived"), ("surprise_index", "derived", "surprise")):
     SOURCES[_name] = Source(_name, _domain, _source, "kind", "greatest of its inputs", None)
-for _name, _domain, _source in (("options_polygon", "options", "polygon"), ("intraday_polygon", "intraday", "polygon"), ("transcripts_fmp", "transcripts", "fmp"), ("estimates_fmp", "estimates", "fmp"), ("news_tiingo", "news", "tiingo"), ("shipping_ais", "shipping", "ais")):
+for _name, _domain, _source in (("options_polygon", "options", "polygon"), ("intraday_polygon", "market", "polygon_intraday"), ("transcripts_fmp", "fundamentals", "fmp_transcripts"), ("estimates_fmp", "fundamentals", "fmp_estimates"), ("news_tiingo", "news", "tiingo"), ("shipping_ais", "alt", "shipping_ais")):
     SOURCES[_name] = Source(_name, _domain, _source, "", "needs a key; no data", None)
 
 
