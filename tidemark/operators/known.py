@@ -1,9 +1,11 @@
 """Attributes as known at event time: each event gets the version that was valid and recorded by then.
 
 Events and versions are co-grouped by entity, and a vectorised binary search over the versions' recording times finds the
-best version known at each event. Many entities share a group (a hash bucket), so that the cost per group vanishes; an
-entity with more events than `slice_rows` is split by time into slices, each with the versions recorded in its span and
-one carried-in row, the best version of all earlier slices. So no task ever holds an unbounded entity.
+best version known at each event. Many entities share a group (a hash bucket), so that the cost per group vanishes; the
+number of groups follows the number of rows. An entity with more events and versions than `slice_rows` is split by time
+into slices, each with the versions recorded in its span and one carried-in row, the best version of all earlier slices.
+Of versions recorded at one moment only the best is kept, and events are distinct, so slices can be cut at any moment and
+no task holds an unbounded entity (up to `SLICES` slices are cut; an entity beyond that many times `slice_rows` has larger ones).
 
 Defined cases: events without entity or time get no row; versions without entity, series or recording time are never
 known; a version recorded at exactly the event's time is known; ties in recording time are settled by the rank columns,
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BEFORE_ALL = -(2**63)
+SLICES = 1024
 
 
 def _codes(*arrays: pa.ChunkedArray) -> list[np.ndarray]:
@@ -65,18 +68,20 @@ def latest_known(events: pa.Table, versions: pa.Table, series: list[str]) -> pa.
     return pa.table(out)
 
 
-def attributes_as_known(events: DataFrame, versions: DataFrame, series: list[str], slice_rows: int = 200_000, buckets: int | None = None) -> DataFrame:
+def attributes_as_known(events: DataFrame, versions: DataFrame, series: list[str], slice_rows: int = 200_000, rows_each: int = 500_000, buckets: int | None = None) -> DataFrame:
     """Distinct `entity, at` of `events`, with a string column for each name in `series`.
 
     events: `entity string, at timestamp`. versions: `entity, series string, known timestamp` (from when it may be
     used), `r1, r2 timestamp` (greatest wins among the known), `payload string`. Extra columns are ignored."""
-    spark = events.sparkSession
-    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:
+        least = 2 * int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(least, -(-(events.count() + versions.count()) // rows_each))
     ev = events.where("entity is not null and at is not null").select("entity", F.unix_micros("at").alias("at")).distinct()
     ve = versions.where("entity is not null and series is not null and known is not null").select("entity", "series", *(F.unix_micros(c).alias(c) for c in ("known", "r1", "r2")), "payload")
-    day = F.floor(F.col("at") / F.lit(86_400_000_000))
-    bounds = _slice_bounds(ev.select("entity", day.alias("day")), slice_rows)
-    slice_of = lambda t: F.coalesce(F.size(F.filter("starts", lambda s: s * F.lit(86_400_000_000) <= t)), F.lit(0))
+    # of what is recorded at one moment the best wins at any later one too
+    ve = ve.groupBy("entity", "series", "known").agg(F.max(F.struct("r1", "r2", "payload")).alias("best")).select("entity", "series", "known", "best.*")
+    bounds = _slice_bounds(ev.select("entity", F.col("at").alias("t")).unionByName(ve.select("entity", F.col("known").alias("t"))), slice_rows)
+    slice_of = lambda t: F.coalesce(F.size(F.filter("starts", lambda s: s <= t)), F.lit(0))
     ev = ev.join(bounds, "entity", "left").select("entity", "at", slice_of(F.col("at")).alias("slice"))
     ve_all = ve.join(bounds, "entity", "left").select("*", slice_of(F.col("known")).alias("slice"))
     ve = ve_all.drop("starts").unionByName(_carried(ve_all.where("starts is not null")))
@@ -94,14 +99,15 @@ def attributes_as_known(events: DataFrame, versions: DataFrame, series: list[str
     return joined.withColumn("at", F.timestamp_micros("at"))
 
 
-def _slice_bounds(days: DataFrame, slice_rows: int) -> DataFrame:
-    """`entity, starts`: first days of the slices after the first, for entities with more rows than a slice holds."""
-    per_day = days.groupBy("entity", "day").count()
-    hot = per_day.groupBy("entity").agg(F.sum("count").alias("total")).where(F.col("total") > slice_rows).select("entity")
-    before = Window.partitionBy("entity").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    cut = per_day.join(hot, "entity", "left_semi").withColumn("no", F.floor(F.coalesce(F.sum("count").over(before), F.lit(0)) / slice_rows))
-    starts = cut.groupBy("entity", "no").agg(F.min("day").alias("start")).where("no > 0")
-    return starts.groupBy("entity").agg(F.sort_array(F.collect_list("start")).alias("starts"))
+def _slice_bounds(times: DataFrame, slice_rows: int) -> DataFrame:
+    """`entity, starts`: first moments of the slices after the first, for entities with more rows than a slice holds.
+
+    They are quantiles of the entity's times, sketched before the shuffle, so a hot entity costs as little as any other."""
+    share = [(i + 1) / SLICES for i in range(SLICES - 1)]
+    hot = times.groupBy("entity").agg(F.count("*").alias("total"), F.percentile_approx("t", share, 10 * SLICES).alias("q")).where(F.col("total") > slice_rows)
+    slices = F.least(F.lit(SLICES), F.ceil(F.col("total") / slice_rows)).cast("int")
+    picked = F.transform(F.sequence(F.lit(1), slices - 1), lambda i: F.element_at("q", F.greatest(F.lit(1), F.floor(i * SLICES / slices).cast("int"))))
+    return hot.select("entity", F.array_sort(F.array_distinct(picked)).alias("starts"))
 
 
 def _carried(hot: DataFrame) -> DataFrame:
