@@ -58,6 +58,8 @@ def block_keys(names: DataFrame, wide: bool = False) -> DataFrame:
             for i, name in zip(pdf["id"].tolist(), pdf["name"].tolist()):
                 own = organisation(name)[0]
                 text = " ".join(own)
+                if not text:  # of signs alone
+                    continue
                 sig = _signature(grams(text), seed)
                 keys = [f"g{b}:{sig[rows * b : rows * b + rows].tobytes().hex()}" for b in range(len(sig) // rows)]
                 if not wide:

@@ -1,6 +1,7 @@
 """Mixing sources to target weights, with capped repetition and overlapping sources.
 
-Documents with the same text are one unit; the sources that hold it are its membership pattern. Token capacities are added
+Documents of several sources with the same text are one unit; the sources that hold it are its membership pattern. Further
+copies of a text within a source are units of their own, so each document counts once. Token capacities are added
 up by pattern, and a min-cost flow routes them to the sources' quotas: a pattern supplies its tokens once for free, a
 second time at cost 1, a third time at cost 2 and so on, up to the greatest number of repeats of its sources, and a source
 takes at most its own number of repeats from each pattern. The greatest total for which all quotas can be met is found by
@@ -102,11 +103,18 @@ def route(capacity: dict[tuple[str, ...], int], shares: dict[str, float], repeat
 
 
 def units(docs: DataFrame, targets: list[str], tokenizer: str, folder: str) -> DataFrame:
-    """`unit, tokens, ids`: each distinct text of the target sources, with the first document of each source that has it."""
+    """`unit, tokens, ids`: each distinct text of the target sources, with the first document of each source that has it;
+    every further copy of a text within a source is a unit of that source alone."""
     sized = docs.where(F.col("source").isin(targets) & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "source", F.unhex(F.sha2("text", 256)).alias("unit"), token_count(F.col("text"), tokenizer, folder).alias("tokens"))
+    sized = cut(sized.where("tokens > 0"), "sized")
     first = [F.min(F.when(F.col("source") == s, F.col("doc_id"))).alias(f"d{i}") for i, s in enumerate(targets)]
-    one = sized.where("tokens > 0").groupBy("unit", "tokens").agg(*first)
-    return one.select("unit", "tokens", F.array(*(F.col(f"d{i}") for i in range(len(targets)))).alias("ids"))
+    ids = F.array(*(F.col(f"d{i}") for i in range(len(targets))))
+    one = cut(sized.groupBy("unit", "tokens").agg(*first).select("unit", "tokens", ids.alias("ids")), "firsts")
+    # by doc_id, which is unique, so copies of one text don't meet in a task
+    taken = one.select(F.explode("ids").alias("doc_id")).where("doc_id is not null")
+    own = F.array(*(F.when(F.col("source") == s, F.col("doc_id")) for s in targets))
+    copies = sized.join(taken, "doc_id", "left_anti").select(F.unhex(F.sha2(F.concat_ws(":", F.hex("unit"), "doc_id"), 256)).alias("unit"), "tokens", own.alias("ids"))
+    return one.unionByName(copies)
 
 
 def mixed(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 0, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZERS, ranges: int = 256) -> tuple[DataFrame, DataFrame]:

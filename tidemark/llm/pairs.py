@@ -4,7 +4,7 @@ Rows of a basket are gathered into one; items get numbers from a dictionary of t
 item under the threshold has no pair and loses none), and from there on only numbers are shuffled. Equal deduplicated
 item arrays are collapsed into one weighted basket, pairs are made once for each different basket, and their weights are
 added up. Baskets over `wide` items, and baskets of more than `wide` rows, are not held as arrays: their items stay rows,
-and their pairs come from a join.
+and their pairs come from a join, one side of it in chunks, so no task makes all pairs of a wide basket.
 
 Defined cases: rows without basket or item count for nothing; repeated items of a basket count once; a basket with one
 item has no pair; names are compared as they are written; item_a < item_b by code points.
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import cut
 
-#: Dictionaries of up to so many items are sent to all tasks; larger ones are joined.
-BROADCAST_ITEMS = 500_000
+#: Dictionaries of up to so many bytes of names and numbers are sent to all tasks; larger ones are joined.
+BROADCAST_BYTES = 32_000_000
 
 
 @dataclass
@@ -31,10 +31,18 @@ class Baskets:
     total: int
 
 
-def gather(df: DataFrame, key: str, part: str, items: str, wide: int = 1000) -> Baskets:
-    """Baskets by `key` of rows with an array of items; `part` tells apart rows of a basket by which counts are kept apart."""
+def _sent(words: DataFrame) -> DataFrame:
+    """A dictionary, marked for broadcast if its size as counted allows it."""
+    size = words.agg(F.sum(F.octet_length("name") + 24)).first()[0] or 0
+    return F.broadcast(words) if size <= BROADCAST_BYTES else words
+
+
+def gather(df: DataFrame, key: str, part: str, items: str, wide: int = 1000, keys: DataFrame | None = None) -> Baskets:
+    """Baskets by `key` of rows with an array of items; `part` tells apart rows of a basket by which counts are kept apart.
+
+    `keys`: the column `key` of the same rows, where it can be had without making the arrays."""
     src = df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.coalesce(F.col(part), F.lit("")).alias("part"), F.array_sort(F.array_distinct(F.array_compact(items))).alias("items"))
-    per_key = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
+    per_key = (df if keys is None else keys).where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
     total, over = per_key.agg(F.count("*"), F.count_if(F.col("n") > wide)).first()
     src = src.where("size(items) > 0")
     many = None
@@ -59,9 +67,8 @@ def numbered(baskets: Baskets, least: int, also: DataFrame | None = None) -> tup
     else:
         counts = counts.where(F.col("n") >= least)
     words = cut(counts.select(F.monotonically_increasing_id().alias("number"), F.col("item").alias("name"), "n"), "items")
-    known = words.select(F.col("name").alias("item"), "number")
-    small = words.count() <= BROADCAST_ITEMS
-    rows = baskets.rows.join(F.broadcast(known) if small else known, "item").select("basket", "part", F.col("number").alias("item"), "several")
+    known = _sent(words.select("name", "number")).withColumnRenamed("name", "item")
+    rows = baskets.rows.join(known, "item").select("basket", "part", F.col("number").alias("item"), "several")
     return cut(rows, "numbers"), words.withColumnRenamed("number", "item")
 
 
@@ -81,9 +88,12 @@ def pair_counts(rows: DataFrame, within: list[str], wide: int = 1000) -> DataFra
     first = collapsed.select(*within, "w", "items", F.posexplode("items").alias("i", "item_a"))
     pairs = first.select(*within, "w", "item_a", F.explode(F.expr("slice(items, i + 2, size(items))")).alias("item_b"))
     if over:
-        big = rows.join(sized.where(F.col("n") > wide).select(*group), group, "left_semi")
-        left, right = big.withColumnRenamed("item", "item_a"), big.withColumnRenamed("item", "item_b")
-        pairs = pairs.unionByName(left.join(right, group).where("item_a < item_b").select(*within, F.lit(1).cast("long").alias("w"), "item_a", "item_b"))
+        # one side of a wide basket in chunks of about `wide` items, each with a copy of the other side
+        chunks = sized.where(F.col("n") > wide).select(*group, F.ceil(F.col("n") / wide).cast("int").alias("chunks"))
+        big = rows.join(chunks, group)
+        left = big.select(*group, F.pmod(F.xxhash64("item"), F.col("chunks")).cast("int").alias("chunk"), F.col("item").alias("item_a"))
+        right = big.select(*group, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("item").alias("item_b"))
+        pairs = pairs.unionByName(left.join(right, [*group, "chunk"]).where("item_a < item_b").select(*within, F.lit(1).cast("long").alias("w"), "item_a", "item_b"))
     return pairs.groupBy(*within, "item_a", "item_b").agg(F.sum("w").alias("together"))
 
 
@@ -99,8 +109,8 @@ def conviction(together: Column, n_a: Column, n_b: Column, total: Column) -> Col
 
 def associations(rows: DataFrame, words: DataFrame, total: int, least: int = 8) -> DataFrame:
     """`item_a, item_b, together, n_a, n_b, total, lift, conviction` of pairs with `least` baskets in common, by name."""
-    frequent = words.where(F.col("n") >= least).select("item")
-    pairs = pair_counts(_once(rows.join(F.broadcast(frequent) if frequent.count() <= BROADCAST_ITEMS else frequent, "item", "left_semi")), []).where(F.col("together") >= least)
+    frequent = _sent(words.where(F.col("n") >= least).select("item", "name")).select("item")
+    pairs = pair_counts(_once(rows.join(frequent, "item", "left_semi")), []).where(F.col("together") >= least)
     out = _named(pairs, words).withColumn("total", F.lit(total).cast("long"))
     four = [F.col(c) for c in ("together", "n_a", "n_b", "total")]
     return out.withColumns({"lift": lift(*four), "conviction": conviction(*four)})

@@ -23,7 +23,7 @@ def co_mentions(spark: SparkSession, root: str) -> Baskets:
     news = table(spark, root, "news_gkg").where("url is not null")
     quarter = F.date_format(F.date_trunc("quarter", "event_time"), "yyyy-MM-dd")
     src = news.select(F.col("url").alias("basket"), quarter.alias("quarter"), "organizations")
-    return gather(split_packed(src, "organizations", ["basket", "quarter"], flat=False), "basket", "quarter", "items")
+    return gather(split_packed(src, "organizations", ["basket", "quarter"], flat=False), "basket", "quarter", "items", keys=src)
 
 
 def p2_associations(spark: SparkSession, root: str) -> DataFrame:

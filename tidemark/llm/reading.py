@@ -19,7 +19,11 @@ are not used; with fewer than five labels, or labels of one side of the cut-off
 
 from __future__ import annotations
 
+import re
+import unicodedata
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -32,19 +36,26 @@ from tidemark.session import cut
 # Frequent function words of each language, none shared with English.
 ENGLISH = frozenset("the of and to in that for on with as is was by it are this be its or from which at not an were has have after because while so they when had no if but more may up than".split())
 OTHERS = frozenset("der die das und ist nicht ein eine den dem mit von zu für auf im des wurde werden sich bei le la les des et est une dans pour que qui sur pas du au par avec ne sont ont el los las una en por con para del se su fue y al más lo como".split()) - ENGLISH
-WORD = regex.compile(r"\p{L}+(?:['’\-]\p{L}+)*")
+WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
 SENTENCE_END = regex.compile(r"(?<=[.!?…。！？])[\"'”’)\]]*\s+(?=[\p{Lu}\p{N}\"'“‘(\[*#>\p{S}-])|[。！？]|\n+")
 # Abbreviations whose full stop ends no sentence.
 SHORT = frozenset("cf ex art no nos fig figs sec secs reg regs note tier ie eg i.e e.g vs per par para ch pt vol pp al approx inc corp ltd co dr mr ms mrs st jr sr u.s see".split())
+CAPITAL = re.compile("[A-Z]")
+LETTER_STOP = re.compile(r"[^\W\d_]\.\s*\Z")
 URL = regex.compile(r"(?i)\b(?:https?://|www\.)\S+")
 TAG = regex.compile(r"<[^<>]{1,200}>|&(?:[a-z]{2,8}|#\d+);")
 
 
-def clean(text: str) -> str:
-    import unicodedata
+FORMAT = regex.compile(r"\p{Cf}+")
+
 
-    text = unicodedata.normalize("NFKC", URL.sub(" ", TAG.sub(" ", text)))
-    return regex.sub(r"\p{Cf}", "", text)
+def clean(text: str) -> str:
+    """Without markup, addresses and invisible signs, compatibility forms resolved."""
+    if "<" in text or "&" in text:
+        text = TAG.sub(" ", text)
+    if "://" in text or "www." in text.lower():
+        text = URL.sub(" ", text)
+    return text if text.isascii() else FORMAT.sub("", unicodedata.normalize("NFKC", text))
 
 
 def sentences(text: str) -> list[list[str]]:
@@ -56,9 +67,8 @@ def sentences(text: str) -> list[list[str]]:
         if not words:
             continue
         words = open_piece + words
-        low = [w.lower() for w in words]
-        ends_short = low[-1] in SHORT and regex.search(r"\p{L}\.\s*\Z", piece) is not None
-        if ends_short or all(w in SHORT or len(w) < 4 and w.upper() == v for w, v in zip(low, words)):
+        ends_short = words[-1].lower() in SHORT and LETTER_STOP.search(piece) is not None
+        if ends_short or all(w.lower() in SHORT or len(w) < 4 and w.isupper() for w in words):
             open_piece = words
             continue
         out.append(words)
@@ -68,22 +78,19 @@ def sentences(text: str) -> list[list[str]]:
     return [s for s in out if len(s) > 1]
 
 
-def english_share(words: list[str]) -> float:
-    """Share of English function words less that of other languages'."""
-    low = [w.lower() for w in words]
-    return (sum(w in ENGLISH for w in low) - sum(w in OTHERS for w in low)) / max(1, len(low))
+def english_share(counts: dict[str, int], total: int) -> float:
+    """Share of English function words less that of other languages', from the counts of words in lower case."""
+    return (sum(counts[w] for w in ENGLISH & counts.keys()) - sum(counts[w] for w in OTHERS & counts.keys())) / max(1, total)
 
 
-def vocabulary(sents: list[list[str]]) -> list[str]:
-    """The words that count for familiarity, lower case, with repeats."""
-    letters = sum(len(w) for s in sents for w in s)
-    capital = sum(c.isupper() for s in sents for w in s for c in w) > 0.5 * max(1, letters)
-    out = []
-    for s in sents:
-        for i, w in enumerate(s):
-            if capital or (i and not w[0].isupper()):
-                out.append(w.lower())
-    return out
+def vocabulary(words: list[str], low: list[str], starts: list[int]) -> list[str]:
+    """The words that count for familiarity, lower case, with repeats; `starts`: where sentences begin."""
+    letters = "".join(words)
+    capitals = len(CAPITAL.findall(letters)) if letters.isascii() else sum(map(str.isupper, letters))
+    if capitals > 0.5 * max(1, len(letters)):
+        return low
+    first = dict.fromkeys(starts)
+    return [x for i, (w, x) in enumerate(zip(words, low)) if w[0] == x[0] and i not in first]
 
 
 #: The formula where labels are too few, or of easy or of hard texts alone: only corpus frequency and sentence length tell.
@@ -100,13 +107,13 @@ def measured(docs: DataFrame) -> DataFrame:
             for doc, text in zip(pdf["doc_id"].tolist(), pdf["text"].tolist()):
                 body = clean(text)
                 sents = sentences(body)
-                words = [w for s in sents for w in s]
+                words = list(chain.from_iterable(sents))
                 if not words:
                     continue
-                counts: dict[str, int] = {}
-                for w in vocabulary(sents):
-                    counts[w] = counts.get(w, 0) + 1
-                rows.append((doc, len(words), len(text.split()), english_share(words), len(sents), sum(counts.values()), sum(map(len, words)), list(counts), list(counts.values())))
+                low = "\n".join(words).lower().split("\n")
+                counts = Counter(vocabulary(words, low, list(accumulate(map(len, sents), initial=0))))
+                english = english_share(Counter(low), len(words))
+                rows.append((doc, len(words), len(text.split()), english, len(sents), sum(counts.values()), sum(map(len, words)), list(counts), list(counts.values())))
             yield pd.DataFrame(rows, columns=["doc_id", "words", "pieces", "english", "sentences", "counted", "letters", "terms", "term_counts"])
 
     return docs.where("doc_id is not null and text is not null").select("doc_id", "text").mapInPandas(run, MEASURES)

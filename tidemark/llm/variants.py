@@ -3,7 +3,7 @@
 Distinct spellings become nodes (spellings that differ in case, signs and titles only share one). Each node is a vector of
 the character n-grams of its own words, weighted by inverse document frequency over all nodes of its field; words of trade,
 which tell little, are left out of it. A sparse join gives, within a field and scope, every pair with a cosine of at least
-`least_cosine`: the top-n of a node are all its partners above the threshold, as any smaller n would lose links. The join
+`least_cosine` whose words of trade could be the same (what the check below asks for, pushed into the join): the top-n of a node are all its partners above the threshold, as any smaller n would lose links. The join
 meets nodes only on the rarest grams of each, those without which the rest of the vector could not reach the threshold, so
 it loses no pair. An exact check of words (`names`) follows and strikes out pairs that contradict each other; average-linkage
 clustering of the cosines left groups each connected component. Weak links (one side tells less) join a group only where no
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -34,20 +34,20 @@ STRONG = 0.7
 SHARED, SHARED_LEAST, SHARED_LED = 0.004, 12, 0.7
 #: Grams weigh log(1 + total / (df + SMOOTH * total)), so that the grams of a typing error don't outweigh all others.
 SMOOTH = 0.03
-NODES = "field_name string, scope_key string, name string, form string, text string"
+NODES = "field_name string, scope_key string, name string, form string, text string, blocks array<string>"
 
 
-def _person(name: str) -> tuple[str, str]:
+def _person(name: str) -> tuple[str, str, list[str]]:
     words = person_words(name)
     text = " ".join(w for w in words if len(w) > 1)
-    return " ".join(words) or name.lower(), text or name.lower()
+    return " ".join(words) or name.lower(), text or name.lower(), []
 
 
-def _organisation(name: str, shared: tuple[str, ...]) -> tuple[str, str]:
+def _organisation(name: str, shared: tuple[str, ...]) -> tuple[str, str, list[str]]:
     own, kinds, legal = trade(shared).organisation(name)
     text = " ".join(own)
     form = "|".join([text, *sorted("/".join(sorted(k)) for k in kinds), legal])
-    return (form, text) if text else (name, name)
+    return (form, text, sorted(set().union(*kinds))) if text else (name, name, [])
 
 
 def shared_words(names: DataFrame) -> tuple[str, ...]:
@@ -72,7 +72,7 @@ def spelling_nodes(names: DataFrame, persons: bool, shared: tuple[str, ...] = ()
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             got = [describe(n) for n in pdf["name"]]
-            yield pdf.assign(form=[g[0] for g in got], text=[g[1] for g in got])
+            yield pdf.assign(form=[g[0] for g in got], text=[g[1] for g in got], blocks=[g[2] for g in got])
 
     return spread(names).mapInPandas(run, NODES)
 
@@ -81,34 +81,55 @@ def similar_pairs(nodes: DataFrame, sizes: tuple[int, ...], least_cosine: float)
     """`a, b, cosine` (a < b) of the pairs of nodes `id, field_name, scope_key, text` of a field and scope that are that near.
 
     A node's grams are taken from the rarest on; once the rest of its vector is shorter than the threshold, no further gram
-    can be the rarest common one of a pair that reaches it, so only the grams before that point are join keys."""
+    can be the rarest common one of a pair that reaches it, so only the grams before that point are join keys. What a pair
+    has in common there and the longer of both rests, as all else that it shares lies in the rest of one, bound its cosine;
+    it is computed where the bound allows it.
+
+    Where nodes have `blocks`, pairs without a common one are not asked for, unless just one of them has none."""
 
     @F.pandas_udf("array<string>")
     def cut_up(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: grams(t, sizes))
 
-    texts = nodes.groupBy("field_name", "scope_key", "text").agg(F.min("id").alias("node"))
-    exploded = texts.select("node", "field_name", "scope_key", F.explode(cut_up("text")).alias("gram")).select("node", "scope_key", "field_name", F.xxhash64("field_name", "gram").alias("gram"))
-    exploded = cut(exploded, "grams")
+    blocks = F.array_distinct(F.flatten(F.collect_list("blocks"))) if "blocks" in nodes.columns else F.first(F.array().cast("array<string>"))
+    texts = cut(nodes.groupBy("field_name", "scope_key", "text").agg(F.min("id").alias("node"), blocks.alias("blocks")), "texts")
+    exploded = cut(texts.select("node", "field_name", F.explode(cut_up("text")).alias("gram")).select("node", "field_name", F.xxhash64("field_name", "gram").alias("gram")), "grams")
     total = texts.groupBy("field_name").agg(F.count("*").alias("total"))
     df = exploded.groupBy("field_name", "gram").agg(F.count("*").alias("df")).join(F.broadcast(total), "field_name")  # one row a field
     weighed = exploded.join(df.select("gram", "df", F.log1p(F.col("total") / (F.col("df") + SMOOTH * F.col("total"))).alias("w")), "gram")
-    vectors = weighed.groupBy("node", "scope_key").agg(F.array_sort(F.collect_list(F.struct("df", "gram", "w"))).alias("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
-    vectors = vectors.withColumn("norm", norm).select("node", "scope_key", F.transform("v", lambda x: F.struct(x["gram"].alias("gram"), (x["w"] / F.col("norm")).alias("w"))).alias("v"))
-    vectors = cut(vectors, "vectors")
-    # the squared length of what comes before each gram, from the rarest on
-    before = F.aggregate("v", F.array(F.lit(0.0)), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x["w"] * x["w"])))
-    keys = vectors.withColumn("before", before).select("node", "scope_key", F.expr(f"filter(transform(v, (x, i) -> if(1 - before[i] >= {least_cosine**2 - 1e-9}, x.gram, null)), g -> g is not null)").alias("keys"))
-    keys = keys.select("node", "scope_key", F.explode("keys").alias("g")).select("node", F.xxhash64("scope_key", "g").alias("k"))
-    keys = cut(keys, "keys")
-    met = keys.withColumnRenamed("node", "a").hint("merge").join(keys.withColumnRenamed("node", "b"), "k").where("a < b").select("a", "b").distinct()
-    side = lambda n: vectors.select(F.col("node").alias(n), F.col("v").alias(f"v_{n}"))
-    both = met.join(side("a"), "a").join(side("b"), "b")
+    own = Window.partitionBy("node")
+    before = F.coalesce(F.sum(F.col("w") * F.col("w")).over(own.orderBy("df", "gram").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    ranked = weighed.select("node", "gram", "w", F.sum(F.col("w") * F.col("w")).over(own).alias("all"), before.alias("before"))
+    unit = ranked.select("node", "gram", (F.col("w") / F.sqrt("all")).alias("w"), (1 - F.col("before") / F.col("all") >= least_cosine**2 - 1e-9).alias("key"))
+    rest = F.sqrt(F.greatest(F.lit(0.0), 1 - F.sum(F.when(F.col("key"), F.col("w") * F.col("w")).otherwise(0.0))))
+    vectors = unit.groupBy("node").agg(F.collect_list(F.struct("gram", "w", "key")).alias("v"), rest.alias("rest"))
+    vectors = cut(vectors.join(texts.select("node", "scope_key", "blocks"), "node"), "vectors")
+
+    def keys(df: DataFrame, n: str, blocks: Column) -> DataFrame:
+        rows = df.select("node", "scope_key", "rest", blocks.alias("blocks"), F.explode(F.filter("v", lambda x: x["key"])).alias("x"))
+        rows = rows.select("node", "scope_key", "rest", "x.gram", "x.w", F.explode("blocks").alias("block"))
+        return rows.select(F.xxhash64("scope_key", "gram", "block").alias("k"), F.col("node").alias(n), F.col("w").cast("float").alias(f"w_{n}"), F.col("rest").cast("float").alias(f"rest_{n}"))
+
+    none = F.size("blocks") == 0
+    within = F.when(none, F.array(F.lit(""))).otherwise(F.col("blocks"))
+    inner = cut(keys(vectors, "a", within), "keys")
+    met = inner.hint("merge").join(inner.withColumnsRenamed({"a": "b", "w_a": "w_b", "rest_a": "rest_b"}), "k").where("a < b")
+    if "blocks" in nodes.columns:
+        bare, other = keys(vectors.where(none), "x", F.array(F.lit(""))), keys(vectors.where(~none), "y", F.array(F.lit("")))
+        across = bare.hint("merge").join(other, "k")
+        first = F.col("x") < F.col("y")
+        pick = lambda p, q: F.when(first, F.col(p)).otherwise(F.col(q))
+        across = across.select("k", pick("x", "y").alias("a"), pick("w_x", "w_y").alias("w_a"), pick("rest_x", "rest_y").alias("rest_a"), pick("y", "x").alias("b"), pick("w_y", "w_x").alias("w_b"), pick("rest_y", "rest_x").alias("rest_b"))
+        met = met.unionByName(across)
+    # a pair of several common blocks is counted for each, which only raises the bound
+    held = met.groupBy("a", "b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("held"), F.max(F.greatest("rest_a", "rest_b")).alias("rest"))
+    held = held.where(F.col("held") + F.col("rest") >= least_cosine - 1e-5).select("a", "b")
+    side = lambda n: vectors.select(F.col("node").alias(n), F.transform("v", lambda x: F.struct(x["gram"].alias("gram"), x["w"].alias("w"))).alias(f"v_{n}"))
+    both = held.join(side("a"), "a").join(side("b"), "b")
     cosine = F.expr("aggregate(v_a, 0D, (s, x) -> s + x.w * aggregate(v_b, 0D, (t, y) -> if(y.gram = x.gram, y.w, t)))")
-    near = both.select("a", "b", cosine.alias("cosine")).where(F.col("cosine") >= least_cosine)
+    near = cut(both.select("a", "b", cosine.alias("cosine")).where(F.col("cosine") >= least_cosine), "near")
     # from texts back to nodes: those of one text have cosine 1
-    own = nodes.join(texts, ["field_name", "scope_key", "text"]).select("id", "node")
+    own = nodes.join(texts.drop("blocks"), ["field_name", "scope_key", "text"]).select("id", "node")
     x, y = own.select(F.col("node").alias("a"), F.col("id").alias("x")), own.select(F.col("node").alias("b"), F.col("id").alias("y"))
     same = x.join(y.withColumnRenamed("b", "a"), "a").where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b"), F.lit(1.0).alias("cosine"))
     return near.join(x, "a").join(y, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "cosine").unionByName(same)
@@ -119,7 +140,7 @@ def linked(names: DataFrame, persons: bool, sizes: tuple[int, ...], least_cosine
     distinct = cut(names.where("name is not null and trim(name) != ''").select("field_name", "scope_key", "name").distinct(), "names")
     shared = () if persons else shared_words(distinct)
     spelled = cut(spelling_nodes(distinct, persons, shared), "spellings")
-    nodes = spelled.groupBy("field_name", "scope_key", "form").agg(F.min("name").alias("name"), F.first("text").alias("text"))
+    nodes = spelled.groupBy("field_name", "scope_key", "form").agg(F.min("name").alias("name"), F.first("text").alias("text"), *([] if persons else [F.first("blocks").alias("blocks")]))
     nodes = cut(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
     pairs = similar_pairs(nodes, sizes, least_cosine)
     shown = lambda n: nodes.select(F.col("id").alias(n), F.col("name").alias(f"name_{n}"))
