@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.asof import ranked
 from tidemark.provenance import registry, strict
 
 
@@ -93,9 +94,11 @@ class Lake:
 
 
 def merge_rows(old: DataFrame | None, new: DataFrame) -> DataFrame:
-    """Rows of old and new, each content_hash once: of old if there, else that known first. Rows without hash all stay."""
-    new = new.where("content_hash is null").unionByName(new.where("content_hash is not null").dropDuplicates(["content_hash"]))
-    if old is None:
-        return new
-    fresh = new.join(old.where("content_hash is not null").select("content_hash"), "content_hash", "left_anti")
-    return old.unionByName(fresh.select(*new.columns), allowMissingColumns=True)
+    """Rows of old and new, each content_hash once: of old if there, else that known first (then the least vintage, then by
+    all its values). Rows without hash all stay. Rows of a task are sorted by event time and entity."""
+    order = [F.col(c).asc_nulls_last() for c in ("knowledge_time", "vintage_id") if c in new.columns] + [F.xxhash64(*new.columns)]
+    new = new.where("content_hash is null").unionByName(ranked(new.where("content_hash is not null"), ["content_hash"], order))
+    if old is not None:
+        fresh = new.join(old.where("content_hash is not null").select("content_hash"), "content_hash", "left_anti")
+        new = old.unionByName(fresh.select(*new.columns), allowMissingColumns=True)
+    return new.sortWithinPartitions(*(c for c in ("event_time", "entity") if c in new.columns))

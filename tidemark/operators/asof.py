@@ -79,6 +79,18 @@ def forward_value(bars: DataFrame, moments: DataFrame, value: str = "close") ->
     return asked.unionByName(facts).withColumn("_v", F.last("_v", ignorenulls=True).over(w)).where("_asked = 1").select("_row.*", F.col("_v").alias(value))
 
 
+def known_value(bars: DataFrame, moments: DataFrame, value: str = "close") -> DataFrame:
+    """moments (entity, at, ...) with the `value` of the greatest event time known at `at`; null if none is.
+
+    One sweep over both sides by time of knowledge, which keeps the best fact so far."""
+    best = F.struct(F.col("event_time").cast("timestamp").alias("e"), F.col("knowledge_time").cast("timestamp").alias("k"), F.col(value).cast("double").alias("v"))
+    asked = moments.select("entity", F.col("at").alias("_t"), F.lit(1).alias("_asked"), F.struct("*").alias("_row"))
+    facts = bars.where(F.col(value).isNotNull() & F.col("knowledge_time").isNotNull()).select("entity", F.col("knowledge_time").cast("timestamp").alias("_t"), F.lit(0).alias("_asked"), best.alias("_best"))
+    w = Window.partitionBy("entity").orderBy("_t", "_asked").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = asked.unionByName(facts, allowMissingColumns=True).withColumn("_best", F.max("_best").over(w))
+    return swept.where("_asked = 1").select("_row.*", F.col("_best.v").alias(value))
+
+
 def members(changes: DataFrame, t) -> DataFrame:
     """Entities whose last change, effective and known at t, is `added`."""
     return latest(as_of(changes, t).where(F.col("event_time") <= moment(t)), ["entity"], ("event_time", "knowledge_time", "action")).where("action = 'added'").select("entity")

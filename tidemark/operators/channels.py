@@ -35,10 +35,11 @@ def levels(series: DataFrame, t, ids: list[str] | None = None, value: str = "val
     return asof.latest_per_entity(series, t, ids).select("entity", value)
 
 
-def crypto(bars: DataFrame, fear: DataFrame, vol: DataFrame, t) -> DataFrame:
-    """Rounded last values of coins (0 digits), fear and greed (0) and implied volatility (2), in one column."""
+def crypto(bars: DataFrame, fear: DataFrame, vol: DataFrame, t, digits: tuple[int, int, int] = (0, 0, 2)) -> DataFrame:
+    """Last values of coins, fear and greed, and implied volatility, rounded to `digits`, in one column; an observation
+    shows them with (1, 0, 1)."""
     one = lambda df, c, d: asof.latest_per_entity(df, t).select("entity", F.round(c, d).alias("value"))
-    return one(bars, "close", 0).unionByName(one(fear, "fng_value", 0)).unionByName(one(vol, "dvol_close", 2))
+    return one(bars, "close", digits[0]).unionByName(one(fear, "fng_value", digits[1])).unionByName(one(vol, "dvol_close", digits[2]))
 
 
 def news(articles: DataFrame, posts: DataFrame | None, t, n: int = 8) -> DataFrame:
@@ -76,9 +77,16 @@ def price_history(lake, t, ticker: str, n: int = 10) -> DataFrame:
     return _newest(asof.as_of(lake.scan("market", "yahoo"), t).where(F.col("entity") == ticker), n).select("event_time", "close", "volume")
 
 
-def fundamentals(lake, t, ticker: str, concepts: tuple[str, ...] = ("Revenues", "NetIncomeLoss", "Assets", "StockholdersEquity", "EarningsPerShareDiluted")) -> DataFrame:
-    df = asof.as_of(lake.scan("fundamentals", "sec_xbrl"), t).where((F.col("entity") == ticker) & F.col("concept").isin(*concepts))
-    return asof.latest(df, ["concept"]).select("concept", "value", "unit", "event_time")
+# Concepts that the tool reports.
+CONCEPTS = ("Revenues", "NetIncomeLoss", "Assets", "StockholdersEquity", "EarningsPerShareDiluted")
+
+
+def fundamentals(lake, t, ticker: str | None, concepts: tuple[str, ...] = CONCEPTS) -> DataFrame:
+    """The last known value of each concept, of one ticker or of all; of rows of one release the greatest unit."""
+    df = asof.as_of(lake.scan("fundamentals", "sec_xbrl"), t).where(F.col("concept").isin(*concepts))
+    df = df.where(F.col("entity") == ticker) if ticker is not None else df
+    out = asof.latest(df, ["entity", "concept"], (*asof.TIES, "unit", "value")).select("entity", "concept", "value", "unit", "event_time")
+    return out.drop("entity") if ticker is not None else out
 
 
 def positioning(lake, t, ticker: str) -> DataFrame:
@@ -105,7 +113,7 @@ def prediction_market(lake, t, words: str, n: int = 6) -> DataFrame:
         df = lake.scan("predictions", venue)
         volume = F.col("volume") if "volume" in df.columns else F.lit(0.0)
         df = asof.latest_by_event(df.where(text_contains(F.col(question), words)), t).select(F.lit(venue).alias("venue"), F.col(question).alias("question"), "probability", volume.alias("volume"))
-        df = df.orderBy(F.col("volume").desc_nulls_last(), "question").limit(n)
+        df = df.orderBy(F.col("volume").desc_nulls_last(), "question", F.col("probability").desc()).limit(n)
         out = df if out is None else out.unionByName(df)
     return out
 
@@ -118,10 +126,10 @@ def related_entities(lake, t, entity: str) -> DataFrame:
     return graph.neighbours(lake.scan("graph", "derived"), entity, t)
 
 
-def macro_series(lake, t, series: str) -> DataFrame:
-    """The last known row of a series, in the first of the four places that has it."""
+def macro_series(lake, t, series: str | None) -> DataFrame:
+    """The last known row of a series, or of all, in the first of the four places that has it."""
     places = (("macro", "alfred"), ("credit", "fred"), ("commodity", "fred"), ("real_estate", "fred"))
-    frames = [asof.latest_per_entity(lake.scan(d, s), t, [series]).select("entity", "event_time", "value", "knowledge_time") for d, s in places]
+    frames = [asof.latest_per_entity(lake.scan(d, s), t, [series] if series is not None else None).select("entity", "event_time", "value", "knowledge_time") for d, s in places]
     return asof.fallback(frames, ["entity"])
 
 
@@ -142,6 +150,7 @@ def recent_shocks(lake, t, least: float = 6.0) -> DataFrame:
     return shocks(lake.scan("events", "usgs"), t, least, 30, 5)
 
 
+# Names, tiers and costs of the tools.
 REGISTRY = {
     t.name: t
     for t in (

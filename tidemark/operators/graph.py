@@ -9,9 +9,9 @@ from tidemark.functions.scalar import text_contains
 from tidemark.operators.asof import as_of
 
 
-def nodes(identities: DataFrame) -> DataFrame:
-    """Company nodes of identity rows."""
-    return identities.where("record_type = 'identity'").select("entity", "cik", "name", "exchange", F.lit("company").alias("node_type"))
+def nodes(identities: DataFrame, times: bool = False) -> DataFrame:
+    """Company nodes of identity rows, with their times if asked for."""
+    return identities.where("record_type = 'identity'").select(*(["event_time", "knowledge_time"] if times else []), "entity", "cik", "name", "exchange", F.lit("company").alias("node_type"))
 
 
 def ownership(holdings: DataFrame) -> DataFrame:

@@ -113,11 +113,11 @@ def news_sentiment(articles: DataFrame, least_mentions: int = 200, top: int | No
     return out.withColumn("knowledge_time", F.col("week") + F.expr("INTERVAL 1 DAY")) if bucket_start else out
 
 
-def fundamentals_growth(facts: DataFrame, concepts: list[str], form: str = "10-K") -> DataFrame:
-    """Change against the period before, of values as released first."""
-    first = first_release(facts.where((F.col("form") == form) & F.col("concept").isin(concepts) & F.col("value").isNotNull()), ("entity", "concept", "event_time"))
-    before = F.lag("value").over(Window.partitionBy("entity", "concept").orderBy("event_time"))
-    return first.select("entity", "concept", "event_time", "knowledge_time", "value", growth(F.col("value"), before).alias("yoy"))
+def fundamentals_growth(facts: DataFrame, concepts: list[str], form: str = "10-K", keys: tuple[str, ...] = ("entity", "concept")) -> DataFrame:
+    """Change against the period before, of values as released first; `keys` tell the series apart."""
+    first = first_release(facts.where((F.col("form") == form) & F.col("concept").isin(concepts) & F.col("value").isNotNull()), (*keys, "event_time"))
+    before = F.lag("value").over(Window.partitionBy(*keys).orderBy("event_time"))
+    return first.select(*keys, "event_time", "knowledge_time", "value", growth(F.col("value"), before).alias("yoy"))
 
 
 def pivot_returns(bars: DataFrame, entities: list[str]) -> DataFrame:

@@ -10,10 +10,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark import envelope
 from tidemark.functions.scalar import html_text, ratio, slug
+from tidemark.lake import Lake, merge_rows
 from tidemark.operators import asof, channels, graph, tasks, windows
 from tidemark.plans.views import BARS, QUOTES, VINTAGES, bars, quotes, vintages
 from tidemark.provenance import registry
+from tidemark.session import scratch
+from tidemark.sources.parsers import SOURCES, index_changes
 from tidemark.tables import table
 
 T = "2022-01-01 00:00:00"
@@ -36,7 +40,7 @@ def query(sql: str | None = None):
     """Registers a query under its function's name; $T, $TV and $TB stand for the moments above."""
 
     def register(f):
-        name = f.__name__.rstrip("_")
+        name = f.__name__
         Q[name] = f
         if sql:
             S[name] = sql.replace("$TV", f"TIMESTAMP '{TV}'").replace("$TB", f"TIMESTAMP '{TB}'").replace("$T", f"TIMESTAMPTZ '{T}+00'")
@@ -63,13 +67,13 @@ def latest_vintage(s, d):
     return asof.latest_vintage(vintages(s, d), TV).select("entity", us("event_time"), "vintage_id", r("value"))
 
 
-@query("SELECT entity, concept, epoch_us(event_time) AS event_time, max(knowledge_time)::VARCHAR IS NOT NULL AS known, arg_max(vintage_id, (knowledge_time, vintage_id)) AS vintage_id FROM fundamentals_sec WHERE knowledge_time <= $T AND unit = 'USD' GROUP BY ALL")
+@query("SELECT entity, concept, unit, epoch_us(event_time) AS event_time, arg_max(vintage_id, (knowledge_time, vintage_id)) AS vintage_id FROM fundamentals_sec WHERE knowledge_time <= $T GROUP BY ALL")
 def fundamentals_vintage(s, d):
-    df = asof.latest_vintage(table(s, d, "fundamentals_sec").where("unit = 'USD'"), T, ("entity", "concept", "event_time"))
-    return df.select("entity", "concept", us("event_time"), F.lit(True).alias("known"), "vintage_id")
+    df = asof.latest_vintage(table(s, d, "fundamentals_sec"), T, ("entity", "concept", "unit", "event_time"))
+    return df.select("entity", "concept", "unit", us("event_time"), "vintage_id")
 
 
-@query(f"SELECT entity, round(value, 4) AS value FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC, vintage_id DESC) AS rn FROM {VINTAGES} WHERE knowledge_time <= $TV AND entity IN ('1', '2', '3', '5', '8')) WHERE rn = 1")
+@query(f"SELECT entity, round(value, 4) AS value FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC, vintage_id DESC) AS rn FROM {VINTAGES} WHERE knowledge_time <= $TV) WHERE rn = 1")
 def latest_per_entity(s, d):
     return channels.levels(vintages(s, d), TV).select("entity", r("value"))
 
@@ -212,10 +216,16 @@ def sentiment_weekly(s, d):
     return windows.news_sentiment(table(s, d, "news_gkg"), 20, None).select("entity", F.date_format("week", "yyyy-MM-dd").alias("week"), r("tone"), "n_articles")
 
 
-@query("WITH f AS (SELECT entity, concept, event_time, arg_min(value, (knowledge_time, vintage_id)) AS value FROM fundamentals_sec WHERE form = '10-K' AND unit = 'USD' AND value IS NOT NULL AND concept IN ('Revenues', 'NetIncomeLoss', 'Assets', 'StockholdersEquity') GROUP BY ALL) SELECT entity, concept, epoch_us(event_time) AS event_time, round(value / nullif(lag(value) OVER (PARTITION BY entity, concept ORDER BY event_time), 0) - 1, 6) + 0.0 AS yoy FROM f")
+@query(
+    "WITH f AS (SELECT entity, concept, unit, event_time, arg_min(value, (knowledge_time, vintage_id)) AS value FROM fundamentals_sec WHERE form = '10-K' AND value IS NOT NULL"
+    " AND concept IN ('Revenues', 'NetIncomeLoss', 'Assets', 'StockholdersEquity') GROUP BY ALL)"
+    " SELECT entity, concept, unit, epoch_us(event_time) AS event_time, round(value / nullif(lag(value) OVER (PARTITION BY entity, concept, unit ORDER BY event_time), 0) - 1, 6) + 0.0 AS yoy FROM f"
+)
 def growth_yoy(s, d):
-    facts = table(s, d, "fundamentals_sec").where("unit = 'USD'")
-    return windows.fundamentals_growth(facts, ["Revenues", "NetIncomeLoss", "Assets", "StockholdersEquity"]).select("entity", "concept", us("event_time"), r("yoy", 6))
+    """Each unit is a series of its own."""
+    facts = table(s, d, "fundamentals_sec")
+    grown = windows.fundamentals_growth(facts, ["Revenues", "NetIncomeLoss", "Assets", "StockholdersEquity"], keys=("entity", "concept", "unit"))
+    return grown.select("entity", "concept", "unit", us("event_time"), r("yoy", 6))
 
 
 _WIDE = f"WITH b AS ({_B}), w AS (SELECT event_time, max(CASE entity WHEN '1-URGENT' THEN ret_1d END) AS a, max(CASE entity WHEN '2-HIGH' THEN ret_1d END) AS b, max(CASE entity WHEN '3-MEDIUM' THEN ret_1d END) AS c FROM b GROUP BY 1 HAVING a IS NOT NULL) "
@@ -287,31 +297,39 @@ def graph_neighbours(s, d):
 
 
 class _Tables:
-    """The driver's tables under the names of a lake."""
+    """The driver's tables under the names of a lake; `own` gives frames for further names, or instead."""
 
     NAMES = {("fundamentals", "sec_xbrl"): "fundamentals_sec", ("features", "derived"): "features", ("news", "gdelt_gkg"): "news_gkg", ("graph", "derived"): "entity_graph"}
 
-    def __init__(self, s: SparkSession, d: str):
-        self.s, self.d = s, d
+    def __init__(self, s: SparkSession, d: str, own: dict | None = None):
+        self.s, self.d, self.own = s, d, own or {}
 
     def scan(self, domain: str, source: str, kind: str | None = None) -> DataFrame:
+        if (domain, source) in self.own:
+            return self.own[(domain, source)]
         df = bars(self.s, self.d) if (domain, source) == ("market", "yahoo") else table(self.s, self.d, self.NAMES[(domain, source)])
         return df.where(F.col("kind") == kind) if kind else df
 
 
+def _series(s: SparkSession, d: str, event: str) -> DataFrame:
+    return vintages(s, d).where(F.col("event_type") == event)
+
+
 @query(f"SELECT epoch_us(event_time) AS event_time, round(close, 4) AS close, volume FROM {BARS} WHERE knowledge_time <= $TB AND entity = '2-HIGH' ORDER BY event_time DESC LIMIT 10")
 def price_history(s, d):
     return channels.price_history(_Tables(s, d), TB, "2-HIGH").select(us("event_time"), r("close"), "volume")
 
 
-@query("SELECT concept, unit, epoch_us(event_time) AS event_time FROM (SELECT *, row_number() OVER (PARTITION BY concept ORDER BY knowledge_time DESC, event_time DESC, vintage_id DESC) AS rn FROM fundamentals_sec WHERE knowledge_time <= $T AND entity = (SELECT min(entity) FROM fundamentals_sec) AND concept IN ('Revenues', 'NetIncomeLoss', 'Assets', 'StockholdersEquity', 'EarningsPerShareDiluted') AND unit <> 'EUR') WHERE rn = 1")
+@query(
+    "SELECT entity, concept, unit, epoch_us(event_time) AS event_time, round(value, 4) AS value FROM (SELECT *, row_number() OVER (PARTITION BY entity, concept ORDER BY knowledge_time DESC, event_time DESC, vintage_id DESC, unit DESC) AS rn"
+    " FROM (SELECT DISTINCT entity, concept, unit, event_time, knowledge_time, vintage_id, value FROM fundamentals_sec) WHERE knowledge_time <= $T AND concept IN ('Revenues', 'NetIncomeLoss', 'Assets', 'StockholdersEquity', 'EarningsPerShareDiluted')) WHERE rn = 1"
+)
 def concept_latest(s, d):
-    first = table(s, d, "fundamentals_sec").agg(F.min("entity").alias("entity"))
-    df = table(s, d, "fundamentals_sec").where("unit != 'EUR' and concept in ('Revenues', 'NetIncomeLoss', 'Assets', 'StockholdersEquity', 'EarningsPerShareDiluted')").join(F.broadcast(first), "entity")
-    return asof.latest(asof.as_of(df, T), ["concept"]).select("concept", "unit", us("event_time"))
+    """The tool's rows for every entity; of rows of one release the greatest unit."""
+    return channels.fundamentals(_Tables(s, d), T, None).select("entity", "concept", "unit", us("event_time"), r("value"))
 
 
-@query("SELECT entity, substr(text, 1, 500) AS excerpt FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC, doc_id DESC) AS rn FROM documents WHERE knowledge_time <= $T AND entity IS NOT NULL AND doc_type = '8-K') WHERE rn = 1")
+@query("SELECT entity, substr(text, 1, 500) AS excerpt FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC, doc_id DESC) AS rn FROM documents WHERE knowledge_time <= $T AND entity IS NOT NULL AND doc_type IN ('8-K', '10-K', '10-Q')) WHERE rn = 1")
 def text_snippet(s, d):
     """The three types of the documents that are filings; articles, rules and others are none."""
     filings = table(s, d, "documents").where("entity is not null and doc_type in ('8-K', '10-K', '10-Q')")
@@ -330,10 +348,12 @@ def venue_topk(s, d):
     return channels.markets(df, TV, 6).select("question", "entity", r("volume"))
 
 
-@query("SELECT event, round(magnitude, 4) AS magnitude FROM (SELECT 'quake M' || format('{:.1f}', round(value / 30, 1)) || ' ' || event_type || ' ' || event_id AS event, round(value / 30, 1) AS magnitude, ts, event_type || ' ' || event_id AS place FROM events WHERE ts <= $TV AND ts > $TV - INTERVAL 14 DAY) WHERE magnitude >= 6 ORDER BY magnitude DESC, ts DESC, place LIMIT 3")
+@query("SELECT event, round(magnitude, 4) AS magnitude FROM (SELECT 'quake M' || format('{:.1f}', round(value / 30, 1)) || ' ' || event_type || ' ' || event_id AS event, round(value / 30, 1) AS magnitude, ts, event_type || ' ' || event_id AS place FROM events WHERE ts <= $TV AND ts > $TV - INTERVAL 30 DAY) WHERE magnitude >= 6 ORDER BY magnitude DESC, ts DESC, place LIMIT 5")
 def shocks_topk(s, d):
-    df = table(s, d, "events").select(F.col("ts").cast("timestamp").alias("knowledge_time"), F.col("ts").cast("timestamp").alias("event_time"), F.round(F.col("value") / 30, 1).alias("magnitude"), F.concat_ws(" ", "event_type", F.col("event_id").cast("string")).alias("place"))
-    return channels.shocks(df, TV).select("event", r("magnitude"))
+    """The tool of recent shocks over events as quakes."""
+    at = F.col("ts").cast("timestamp")
+    quakes = table(s, d, "events").select(at.alias("knowledge_time"), at.alias("event_time"), F.round(F.col("value") / 30, 1).alias("magnitude"), F.concat_ws(" ", "event_type", F.col("event_id").cast("string")).alias("place"))
+    return channels.recent_shocks(_Tables(s, d, {("events", "usgs"): quakes}), TV).select("event", r("magnitude"))
 
 
 @query("SELECT title, outlet, round(strength, 4) AS strength FROM (SELECT title, site_domain AS outlet, abs(tone) AS strength FROM news_gkg WHERE knowledge_time <= $T AND knowledge_time > $T - INTERVAL 2 DAY AND length(title) > 20) ORDER BY strength DESC NULLS LAST, title LIMIT 8")
@@ -341,6 +361,13 @@ def news_topk(s, d):
     return channels.news(table(s, d, "news_gkg"), None, T).select("title", "outlet", r("strength"))
 
 
+@query(f"SELECT title, outlet, round(strength, 4) AS strength FROM (SELECT event_type || ' ' || vintage_id AS title, 'hackernews' AS outlet, value AS strength FROM {VINTAGES} WHERE knowledge_time <= $TV AND knowledge_time > $TV - INTERVAL 7 DAY) ORDER BY strength DESC, title LIMIT 8")
+def news_fallback(s, d):
+    """No article of two days, so posts of seven days take their place."""
+    posts = vintages(s, d).select("knowledge_time", F.concat_ws(" ", "event_type", "vintage_id").alias("title"), F.col("value").alias("points"))
+    return channels.news(table(s, d, "news_gkg").where("false"), posts, TV).select("title", "outlet", r("strength"))
+
+
 @query("SELECT epoch_us(event_time) AS event_time, round(close, 4) AS close, round(rsi14, 4) AS rsi14 FROM features WHERE knowledge_time <= $T AND kind = 'technical' AND entity = (SELECT min(entity) FROM features) ORDER BY features.event_time DESC, knowledge_time DESC LIMIT 1")
 def feature_row(s, d):
     first = table(s, d, "features").agg(F.min("entity")).first()[0]
@@ -353,36 +380,72 @@ def watchlist_prices(s, d):
     return channels.prices(b, TB, ["1-URGENT", "2-HIGH"]).select("entity", r("close", 2))
 
 
-@query(f"SELECT entity, value FROM (SELECT entity, CAST(round(close) AS DOUBLE) AS value, row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC) AS rn FROM {BARS} WHERE knowledge_time <= $TB) WHERE rn = 1 UNION ALL SELECT entity, round(value, 2) FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC, vintage_id DESC) AS rn FROM {VINTAGES} WHERE event_type = 'click' AND knowledge_time <= $TV) WHERE rn = 1")
+_LAST = "row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC, vintage_id DESC) AS rn"
+
+
+@query(
+    f"SELECT entity, value FROM (SELECT entity, round(close, 1) AS value, row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC) AS rn FROM {BARS} WHERE knowledge_time <= $TV) WHERE rn = 1"
+    f" UNION ALL SELECT entity, round(value) FROM (SELECT *, {_LAST} FROM {VINTAGES} WHERE event_type = 'view' AND knowledge_time <= $TV) WHERE rn = 1"
+    f" UNION ALL SELECT entity, round(value, 1) FROM (SELECT *, {_LAST} FROM {VINTAGES} WHERE event_type = 'click' AND knowledge_time <= $TV) WHERE rn = 1"
+)
 def crypto_levels(s, d):
-    """Rounded last values of three kinds of series in one column; the third is empty here."""
-    v = vintages(s, d)
-    coins = channels.crypto(bars(s, d), bars(s, d).limit(0).withColumnRenamed("close", "fng_value"), v.limit(0).withColumnRenamed("value", "dvol_close"), TB)
-    return coins.unionByName(channels.levels(v.where("event_type = 'click'"), TV).select("entity", F.round("value", 2).alias("value")))
+    """Rounded last values of coins, fear and greed, and volatility in one column."""
+    fear, vol = _series(s, d, "view").withColumnRenamed("value", "fng_value"), _series(s, d, "click").withColumnRenamed("value", "dvol_close")
+    return channels.crypto(bars(s, d), fear, vol, TV, (1, 0, 1))
+
+
+@query(f"SELECT entity, round(value, 4) AS score FROM (SELECT *, {_LAST} FROM {VINTAGES} WHERE event_type = 'view' AND knowledge_time <= $TV) WHERE rn = 1")
+def market_fng_levels(s, d):
+    return channels.levels(_series(s, d, "view").withColumnRenamed("value", "score"), TV, value="score").select("entity", r("score"))
+
+
+_NEWEST = "ORDER BY event_time DESC, knowledge_time DESC, vintage_id DESC LIMIT 1"
+
+
+@query(f"SELECT entity, epoch_us(event_time) AS event_time, round(value, 4) AS short_ratio FROM (SELECT * FROM {VINTAGES} WHERE event_type = 'click' AND entity = '7' AND knowledge_time <= $TV {_NEWEST})")
+def positioning_tool(s, d):
+    lake = _Tables(s, d, {("positioning", "finra_short"): _series(s, d, "click").withColumnRenamed("value", "short_ratio")})
+    return channels.positioning(lake, TV, "7").select("entity", us("event_time"), r("short_ratio"))
+
+
+@query(f"SELECT metric, epoch_us(event_time) AS event_time, round(value, 4) AS value FROM (SELECT *, event_type AS metric FROM {VINTAGES} WHERE event_type = 'signup' AND knowledge_time <= $TV {_NEWEST})")
+def onchain_tool(s, d):
+    return channels.onchain(_Tables(s, d, {("onchain", "blockchain"): vintages(s, d).withColumn("metric", F.col("event_type"))}), TV, "signup").select("metric", us("event_time"), r("value"))
+
+
+@query(f"SELECT entity, epoch_us(event_time) AS event_time, round(value, 4) AS value FROM (SELECT * FROM {VINTAGES} WHERE entity = '5' AND knowledge_time <= $TV {_NEWEST})")
+def defi_tool(s, d):
+    return channels.defi_tvl(_Tables(s, d, {("crypto_defi", "defillama"): vintages(s, d)}), TV, "5").select("entity", us("event_time"), r("value"))
 
 
 @query(_THREE + f"SELECT epoch_us(event_time) AS event_time, CASE WHEN pct < 0.4 AND chg < 0 THEN 'risk_on' WHEN pct > 0.8 OR chg > 0.5 THEN 'risk_off' ELSE 'neutral' END AS regime FROM f WHERE event_time + INTERVAL 21 HOUR <= $TB ORDER BY f.event_time DESC LIMIT 1")
 def regime_latest(s, d):
-    return channels.regime(_three(s, d).withColumn("kind", F.lit("regime")), TB).select(us("event_time"), "regime")
+    lake = _Tables(s, d, {("features", "derived"): _three(s, d).withColumn("kind", F.lit("regime"))})
+    return channels.market_regime(lake, TB).select(us("event_time"), "regime")
+
 
+def _venue(name: str, word: str, volume: str = "volume") -> str:
+    return f"(SELECT '{name}' AS venue, question, probability, {volume} AS volume FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY event_time DESC, knowledge_time DESC, vintage_id DESC) AS rn FROM {QUOTES} WHERE question = 'Will {word} rise?' AND knowledge_time <= $TV) WHERE rn = 1 ORDER BY {'volume DESC, ' if volume == 'volume' else ''}question, probability DESC LIMIT 6)"
 
-@query(f"SELECT * FROM (SELECT 'view' AS venue, entity, round(volume, 4) AS volume, row_number() OVER (ORDER BY volume DESC, entity) AS place FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY event_time DESC, vintage_id DESC) AS rn FROM {QUOTES} WHERE question = 'Will view rise?' AND knowledge_time <= $TV) WHERE rn = 1) WHERE place <= 6 UNION ALL SELECT * FROM (SELECT 'click', entity, round(volume, 4), row_number() OVER (ORDER BY volume DESC, entity) AS place FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY event_time DESC, vintage_id DESC) AS rn FROM {QUOTES} WHERE question = 'Will click rise?' AND knowledge_time <= $TV) WHERE rn = 1) WHERE place <= 6")
+
+@query(f"SELECT venue, question, round(probability, 6) AS probability, round(volume, 4) AS volume FROM ({_venue('manifold', 'view')} UNION ALL {_venue('polymarket', 'click')} UNION ALL {_venue('kalshi', 'signup', '0.0')})")
 def venue_union(s, d):
-    """The best markets of each venue, one under the other."""
-    out = None
-    for venue in ("view", "click"):
-        top = channels.markets(quotes(s, d).where(F.col("question") == f"Will {venue} rise?"), TV, 6)
-        placed = asof.ranked(top.withColumn("venue", F.lit(venue)), ["venue"], [F.col("volume").desc(), F.col("entity").asc()], 6).withColumn("place", F.row_number().over(Window.partitionBy("venue").orderBy(F.col("volume").desc(), "entity")))
-        placed = placed.select("venue", "entity", r("volume"), "place")
-        out = placed if out is None else out.unionByName(placed)
-    return out
+    """The best markets of each venue by the tool, one under the other; the third venue has no volume."""
+    of = lambda word: quotes(s, d).where(F.col("question") == f"Will {word} rise?")
+    lake = _Tables(s, d, {("predictions", "manifold"): of("view"), ("predictions", "polymarket"): of("click"), ("predictions", "kalshi"): of("signup").withColumnRenamed("question", "title").drop("volume")})
+    return channels.prediction_market(lake, TV, "RISE?").select("venue", "question", r("probability", 6), r("volume"))
+
+
+def _macro(event: str, place: int) -> str:
+    return f"SELECT entity, event_time, value, {place} AS place FROM (SELECT *, {_LAST} FROM {VINTAGES} WHERE event_type = '{event}' AND knowledge_time <= $TV) WHERE rn = 1"
 
 
-@query(f"SELECT entity, 'alfred' AS place, round(value, 4) AS value FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC, vintage_id DESC) AS rn FROM {VINTAGES} WHERE event_type = 'signup' AND knowledge_time <= $TV) WHERE rn = 1 UNION ALL SELECT entity, 'fred', round(value, 4) FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY knowledge_time DESC, event_time DESC, vintage_id DESC) AS rn FROM {VINTAGES} WHERE event_type = 'error' AND knowledge_time <= $TV) WHERE rn = 1 AND entity NOT IN (SELECT entity FROM {VINTAGES} WHERE event_type = 'signup' AND knowledge_time <= $TV)")
+@query(f"WITH u AS ({' UNION ALL '.join(_macro(e, i) for i, e in enumerate(('signup', 'purchase', 'click', 'view')))}) SELECT entity, epoch_us(event_time) AS event_time, round(value, 4) AS value FROM (SELECT *, min(place) OVER (PARTITION BY entity) AS first FROM u) WHERE place = first")
 def macro_fallback(s, d):
-    v = vintages(s, d)
-    one = lambda e, place: asof.latest_per_entity(v.where(F.col("event_type") == e), TV).select("entity", F.lit(place).alias("place"), "value")
-    return asof.fallback([one("signup", "alfred"), one("error", "fred")], ["entity"]).select("entity", "place", r("value"))
+    """The tool's row of every series: of the first of four places that has it."""
+    places = (("macro", "alfred"), ("credit", "fred"), ("commodity", "fred"), ("real_estate", "fred"))
+    lake = _Tables(s, d, {p: _series(s, d, e) for p, e in zip(places, ("signup", "purchase", "click", "view"))})
+    return channels.macro_series(lake, TV, None).select("entity", us("event_time"), r("value"))
 
 
 @query("SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, cast(user_id AS VARCHAR) AS entity, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
@@ -405,10 +468,11 @@ def stream_windows(s, d):
 # Merges, joins, functions
 
 
-@query("SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.n, 0) AS views, coalesce(b.n, 0) AS clicks FROM (SELECT user_id, count(*) AS n FROM events WHERE event_type = 'view' GROUP BY 1) a FULL JOIN (SELECT user_id, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY 1) b ON a.user_id = b.user_id")
+@query("SELECT coalesce(a.entity, b.entity) AS entity, epoch_us(coalesce(a.day, b.day)) AS event_time, round(a.v, 4) AS volume_pct, round(b.v, 4) AS avg_tone FROM (SELECT cast(user_id AS VARCHAR) AS entity, date_trunc('day', ts) AS day, max(value) AS v FROM events WHERE event_type = 'view' GROUP BY 1, 2) a FULL JOIN (SELECT cast(user_id AS VARCHAR) AS entity, date_trunc('day', ts) AS day, max(value) AS v FROM events WHERE event_type = 'click' GROUP BY 1, 2) b ON a.entity = b.entity AND a.day = b.day")
 def timeline_full_outer(s, d):
-    one = lambda e, n: table(s, d, "events").where(F.col("event_type") == e).groupBy("user_id").agg(F.count("*").alias(n))
-    return one("view", "views").join(one("click", "clicks"), "user_id", "full").fillna(0)
+    """The news parser's full join of two timelines."""
+    one = lambda e: _series(s, d, e).groupBy(F.col("entity").alias("theme"), F.date_format("event_time", "yyyy-MM-dd").alias("date")).agg(F.max("value").alias("value"))
+    return SOURCES["news_gdelt"].parse(one("view"), one("click")).select("entity", us("event_time"), r("volume_pct"), r("avg_tone"))
 
 
 @query("SELECT entity, strftime(event_time AT TIME ZONE 'UTC', '%Y-%m') AS month, round(sum(CASE WHEN acq_disp = 'D' THEN shares END) / nullif(sum(CASE WHEN acq_disp = 'A' THEN shares END), 0), 6) AS sold_per_bought FROM insider_form4 GROUP BY 1, 2")
@@ -417,12 +481,16 @@ def ratio_nullif(s, d):
     return table(s, d, "insider_form4").groupBy("entity", F.date_format("event_time", "yyyy-MM").alias("month")).agg(F.round(ratio(part("D"), part("A")), 6).alias("sold_per_bought"))
 
 
-@query("SELECT content_hash, min(row_id) AS row_id FROM insider_form4 GROUP BY 1")
+@query("SELECT content_hash, row_id FROM (SELECT content_hash, row_id, row_number() OVER (PARTITION BY content_hash ORDER BY row_id % 2, knowledge_time, row_id) AS rn FROM insider_form4) WHERE rn = 1")
 def merge_dedupe(s, d):
-    return asof.ranked(table(s, d, "insider_form4"), ["content_hash"], [F.col("row_id").asc()]).select("content_hash", "row_id")
+    """Rows with odd ids come into a shard of those with even ids; its own repeats it has lost before."""
+    rows = table(s, d, "insider_form4").withColumn("vintage_id", F.lpad("row_id", 12, "0"))
+    return merge_rows(merge_rows(None, rows.where("row_id % 2 = 0")), rows.where("row_id % 2 = 1")).select("content_hash", "row_id")
 
 
-@query(r"SELECT doc_id, trim(regexp_replace(regexp_replace(text, '<[^>]*>', ' ', 'gs'), '[ \t\n\r\f\v]+', ' ', 'g'), ' ') AS plain FROM documents WHERE text IS NOT NULL AND NOT contains(text, '&') AND NOT contains(text, '<!--') AND NOT contains(lower(text), '<script') AND NOT contains(lower(text), '<style')")
+@query(
+    r"""SELECT doc_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(text, '<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', ' ', 'gsi'), '<[^>]*>', ' ', 'gs'), '&nbsp;', ' '), '&copy;', '©'), '&#39;', ''''), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '[ \t\n\r\f\v]+', ' ', 'g'), ' ') AS plain FROM documents WHERE text IS NOT NULL"""
+)
 def html_plain(s, d):
     return table(s, d, "documents").where("text is not null").select("doc_id", html_text(F.col("text")).alias("plain"))
 
@@ -432,15 +500,25 @@ def json_extract(s, d):
     return table(s, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("long").alias("k"))
 
 
-@query("SELECT s_name AS name, unnest(['nation', 'balance']) AS field, unnest([cast(s_nationkey AS VARCHAR), cast(cast(round(s_acctbal) AS BIGINT) AS VARCHAR)]) AS value FROM supplier")
+@query(
+    "SELECT entity, epoch_us(event_time) AS event_time, action, security FROM (SELECT a.ticker AS entity, TIMESTAMP '2021-01-04' AS event_time, a.action, a.security"
+    " FROM (SELECT unnest(['added', 'removed']) AS action, unnest([CASE WHEN s_suppkey % 3 > 0 THEN s_name ELSE '' END, CASE WHEN s_suppkey % 3 < 2 THEN 'old ' || s_name END]) AS ticker, unnest(['Acme', 'Beta']) AS security FROM supplier) a) WHERE entity IS NOT NULL AND entity <> ''"
+)
 def unpivot_changes(s, d):
-    pair = lambda n, v: F.struct(F.lit(n).alias("field"), v.cast("string").alias("value"))
-    return table(s, d, "supplier").select(F.col("s_name").alias("name"), F.inline(F.array(pair("nation", F.col("s_nationkey")), pair("balance", F.round("s_acctbal").cast("long")))))
+    """A row for each side of an index change that has a ticker."""
+    third = F.col("s_suppkey") % 3
+    changes = table(s, d, "supplier").select(
+        F.lit("2021-01-04").alias("date"), F.lit("r").alias("reason"), F.when(third > 0, F.col("s_name")).otherwise("").alias("added"), F.when(third < 2, F.concat(F.lit("old "), "s_name")).alias("removed"),
+        F.lit("Acme").alias("added_security"), F.lit("Beta").alias("removed_security"),
+    )
+    return index_changes(changes).select("entity", us("event_time"), "action", "security")
 
 
-@query("SELECT row_id, sha256(entity || chr(31) || coalesce(owner_name, '') || chr(31) || cast(row_id AS VARCHAR)) AS digest FROM insider_form4 WHERE entity IS NOT NULL")
+@query(r"SELECT row_id, sha256(coalesce(entity, '\0') || chr(31) || strftime(event_time AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S.%f') || chr(31) || coalesce(owner_name, '\0') || chr(31) || cast(row_id AS VARCHAR)) AS digest FROM insider_form4 WHERE event_time IS NOT NULL".replace("'\\0'", "chr(0)"))
 def content_hash(s, d):
-    return table(s, d, "insider_form4").where("entity is not null").select("row_id", F.sha2(F.concat_ws("\x1f", "entity", F.coalesce("owner_name", F.lit("")), F.col("row_id").cast("string")), 256).alias("digest"))
+    """The envelope's hash of entity, event time and payload."""
+    digest = envelope.content_hash(F.col("entity"), F.col("event_time"), [F.col("owner_name"), F.col("row_id")])
+    return table(s, d, "insider_form4").where("event_time is not null").select("row_id", digest.alias("digest"))
 
 
 @query("SELECT DISTINCT entity, regexp_replace(regexp_replace(lower(entity), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS slug FROM holdings_13f WHERE entity IS NOT NULL")
@@ -479,10 +557,16 @@ def cum_reward(s, d):
     return tasks.with_cumulative(log).select(F.col("episode_id").alias("entity"), us("step").alias("at"), r("cum_reward", 6))
 
 
-@query()
+_DRAWN = "SELECT *, (volume % 10) / 10.0 AS x, (volume % 7) / 7.0 AS y, (volume % 3) / 3.0 AS z FROM " + BARS
+_SHOWN = f"SELECT *, x < 0.4 AS is_bad, CASE WHEN x >= 0.4 THEN close WHEN floor(y * 4) = 0 THEN close * (3 + z * 9) WHEN floor(y * 4) = 1 THEN -close WHEN floor(y * 4) = 2 THEN 0 ELSE close END AS shown, x < 0.4 AND floor(y * 4) = 3 AS future FROM ({_DRAWN})"
+_JUDGED = f"SELECT *, CASE WHEN shown <= 0 OR future OR shown > 2.5 * close OR shown < 0.4 * close THEN 'reject' ELSE 'approve' END AS decision FROM ({_SHOWN})"
+
+
+@query(f"SELECT entity, epoch_us(event_time) AS event_time, is_bad, decision, CASE WHEN (decision = 'reject') = is_bad THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS reward FROM ({_JUDGED})")
 def approval_anomaly(s, d):
-    """Bars corrupted by a hash, judged by the rule policy and scored; no SQL, as the hash is Spark's."""
-    bad = tasks.corrupted(bars(s, d), "close", ["entity", "event_time"], seed=7)
+    """Bars corrupted by given draws, judged by the rule policy and scored."""
+    draws = [F.col("volume") % n / F.lit(float(n)) for n in (10, 7, 3)]
+    bad = tasks.corrupted(bars(s, d), "close", ["entity", "event_time"], draws=draws)
     decision = tasks.approve(F.col("shown"), F.col("close"), F.col("shown_date"))
     return bad.select("entity", us("event_time"), "is_bad", decision.alias("decision"), tasks.approval_reward(decision, F.col("is_bad")).alias("reward"))
 
@@ -493,24 +577,48 @@ def action_parse(s, d):
     return table(s, d, "insider_form4").select("row_id", F.inline(F.array(tasks.parsed_actions(raw))))
 
 
-@query("SELECT domain, source, count(*) AS n_rows FROM (SELECT domain, source FROM insider_form4 UNION ALL SELECT domain, source FROM holdings_13f UNION ALL SELECT domain, source FROM news_gkg UNION ALL SELECT domain, source FROM fundamentals_sec UNION ALL SELECT domain, source FROM clinical_trials) GROUP BY 1, 2")
+_LAKE = ("insider_form4", "holdings_13f", "news_gkg", "fundamentals_sec", "clinical_trials")
+_CLASS = "CASE source WHEN 'sec_xbrl' THEN 'vintage' WHEN 'sec_13f' THEN 'vintage' ELSE 'immutable' END"
+
+
+@query(f"SELECT domain, source, count(*) AS n_rows, {_CLASS} AS pit_class FROM ({' UNION ALL '.join(f'SELECT domain, source FROM {n}' for n in _LAKE)}) GROUP BY 1, 2")
 def inventory_counts(s, d):
-    names = ("insider_form4", "holdings_13f", "news_gkg", "fundamentals_sec", "clinical_trials")
-    out = None
-    for n in names:
-        df = table(s, d, n).groupBy("domain", "source").agg(F.count("*").alias("n_rows"))
-        out = df if out is None else out.unionByName(df)
-    return out.groupBy("domain", "source").agg(F.sum("n_rows").alias("n_rows"))
+    """The inventory of a lake that all five tables were written to."""
+    lake = Lake(s, scratch(s, "lake"))
+    for n in _LAKE:
+        lake.write_many(table(s, d, n), [])
+    return lake.inventory().select("domain", "source", F.col("rows").alias("n_rows"), "pit_class")
 
 
-@query("SELECT source, count(*) AS n_rows FROM insider_form4 WHERE source IN ('sec_form4') GROUP BY 1")
+@query("SELECT source, count(*) AS n_rows FROM (SELECT source FROM insider_form4 UNION ALL SELECT source FROM fundamentals_sec UNION ALL SELECT source FROM features) GROUP BY 1")
 def strict_scan(s, d):
+    """Four sources, of which the snapshot of the reference master is not safe about the past."""
     from tidemark.provenance import strict
 
-    return strict(table(s, d, "insider_form4")).groupBy("source").agg(F.count("*").alias("n_rows"))
+    every = None
+    for n in ("insider_form4", "fundamentals_sec", "features", "security_master"):
+        df = table(s, d, n).select("domain", "source")
+        every = df if every is None else every.unionByName(df)
+    return strict(every).groupBy("source").agg(F.count("*").alias("n_rows"))
+
+
+# Each source's class, those not safe about the past marked with *, those that need a key with $.
+_CLASSES = """
+market/yahoo immutable, crypto/yahoo immutable, onchain/blockchain immutable, macro/alfred vintage, macro/treasury immutable, events/edgar immutable, filings_text/edgar immutable,
+fundamentals/sec_xbrl vintage, positioning/cftc immutable, positioning/finra_short immutable, positioning/sec_form4 immutable, ownership/sec_13f vintage, policy/fomc immutable,
+news/gdelt immutable, news/hackernews immutable, attention/wikipedia immutable, research/arxiv immutable, events/usgs immutable, events/nasa_eonet immutable, predictions/manifold immutable,
+predictions/polymarket immutable, predictions/kalshi immutable, sentiment/cnn_fng forward_limited, sentiment/alt_fng immutable, crypto_deriv/okx forward_limited, crypto_deriv/deribit forward_limited,
+features/derived derived, graph/derived derived, derived/surprise derived, trajectories/env derived, crypto_defi/defillama revised_soft*, crypto_defi/defillama_flows revised_soft*, commodity/eia revised_soft*,
+news/gdelt_gkg immutable, research/clinicaltrials immutable, options/polygon immutable$, market/polygon_intraday immutable$, fundamentals/fmp_transcripts immutable$, fundamentals/fmp_estimates immutable$,
+news/tiingo immutable$, alt/shipping_ais immutable$, policy/federal_register immutable, events/openfda immutable, sentiment/epu revised_soft*, credit/fred vintage, real_estate/fred vintage,
+commodity/fred vintage, reference/master snapshot_forward*
+"""
 
 
-@query()
+@query(
+    f"SELECT split_part(split_part(x, ' ', 1), '/', 1) AS domain, split_part(split_part(x, ' ', 1), '/', 2) AS source, rtrim(split_part(x, ' ', 2), '*$') AS pit_class, NOT contains(x, '*') AS safe, contains(x, '$') AS paid"
+    f" FROM (SELECT trim(unnest(string_split(replace('{_CLASSES.strip()}', chr(10), ' '), ','))) AS x)"
+)
 def provenance_classes(s, d):
     return registry(s)
 
