@@ -2,10 +2,14 @@
 
 Candidates come from MinHash blocking over several attributes: the character n-grams of a name's own words, its own words
 in whole, and the words of its whole spelling. Spellings that meet no company there go through wider n-gram blocks. Each
-pair of a spelling and a company gets similarity features; those of an entity's spellings are averaged with their counts, and the implied price of a holding is held against closing prices of the
-company's tickers. A logistic classifier is trained on weak labels: pairs of equal names that nothing else fits count as
-true, pairs whose trade or prices contradict as false. It is calibrated on a held-out half by isotonic regression. An
-entity is matched to its best company if that is the only one within reach and its probability is at least one half.
+pair of a spelling and a company gets similarity features of its names; those of an entity's spellings are averaged with
+their counts. The implied price of a holding is held against closing prices of the company's tickers.
+
+Names and prices are two views, and each gets its labels from the other, so neither learns a rule about itself: a logistic
+classifier of the names is trained on pairs whose prices agree, or contradict, and calibrated on a held-out
+half by isotonic regression; how much prices weigh is counted on pairs whose names are each other's only equal ones, or of
+other trades. The confidence is the product of both odds. An entity is matched to its best company if that is the only one
+within reach and its probability is at least one half.
 
 Defined cases: entities without a usable name, and companies without a name or key, match nothing; missing prices are a
 feature of their own, not a contradiction; ties between companies match neither.
@@ -26,8 +30,11 @@ from tidemark.session import cut, spread
 
 HASHES, ROWS = 40, 3
 WIDE_ROWS = 2
-MOST_TRAINING = 100_000
-FEATURES = ("own", "exact", "kinds", "kinds_clash", "legal", "legal_clash", "gram_jaccard", "price_near", "price_far")
+MOST_TRAINING, LEAST_TRAINING = 100_000, 40
+#: What the classifier sees: how alike the names are. Prices are kept from it, as they give its labels.
+FEATURES = ("own", "exact", "kinds", "kinds_clash", "legal", "legal_clash", "gram_jaccard")
+#: Days with both prices, and the share of them, from which agreeing or contradicting prices label a pair.
+LABEL_DAYS, LABEL_SHARE = 1, 0.8
 
 
 def check_digit_fits(cusip: Column) -> Column:
@@ -97,7 +104,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got = pd.DataFrame([name_features(a, b) for a, b in zip(pdf["ln"], pdf["rn"])], columns=list(FEATURES[:7]), index=pdf.index, dtype=float)
+            got = pd.DataFrame([name_features(a, b) for a, b in zip(pdf["ln"], pdf["rn"])], columns=list(FEATURES), index=pdf.index, dtype=float)
             yield pdf.join(got)[lambda d: (d["own"] > 0.3)]
 
     def pass_over(ln: DataFrame, wide: bool, name: str) -> DataFrame:
@@ -105,7 +112,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
         # the size of what Python gives is unknown to the planner, so nothing of it may be broadcast
         pairs = lk.select("key", F.col("id").alias("lid")).hint("merge").join(rk.select("key", F.col("id").alias("rid")), "key").select("lid", "rid").distinct()
         named = pairs.join(ln.withColumnsRenamed({"id": "lid", "name": "ln"}), "lid").join(rn.withColumnsRenamed({"id": "rid", "name": "rn"}), "rid").select("ln", "rn")
-        return cut(spread(named).mapInPandas(run, "ln string, rn string, " + ", ".join(f"{f} double" for f in FEATURES[:7])), name)
+        return cut(spread(named).mapInPandas(run, "ln string, rn string, " + ", ".join(f"{f} double" for f in FEATURES)), name)
 
     scored = pass_over(ln, False, "scored")
     without = cut(ln.join(scored.select(F.col("ln").alias("name")).distinct(), "name", "left_anti"), "without")
@@ -113,29 +120,45 @@ def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     l = left.select(F.col("entity").alias("l"), F.col("name").alias("ln"), F.col("n").alias("n"))
     r = right.select(F.col("entity").alias("r"), F.col("name").alias("rn")).distinct()
     full = scored.join(l, "ln").join(r, "rn")
-    best = full.groupBy("l", "r", "ln", "n").agg(*(F.max_by(f, F.col("own") + F.col("kinds") - F.col("kinds_clash")).alias(f) for f in FEATURES[:7]))
-    mean = [(F.sum(F.col(f) * F.col("n")) / F.sum("n")).alias(f) for f in FEATURES[:7]]
+    best = full.groupBy("l", "r", "ln", "n").agg(*(F.max_by(f, F.col("own") + F.col("kinds") - F.col("kinds_clash")).alias(f) for f in FEATURES))
+    mean = [(F.sum(F.col(f) * F.col("n")) / F.sum("n")).alias(f) for f in FEATURES]
     return best.groupBy("l", "r").agg(*mean, F.sum("n").alias("support"))
 
 
 def with_prices(pairs: DataFrame, implied: DataFrame, closes: DataFrame) -> DataFrame:
-    """Adds price_near and price_far: shares of the days compared at which implied and closing price agree, or not.
+    """Adds `days`, the number of days with both prices, `price_near` and `price_far`, the shares of them at which implied and
+    closing price agree, or not, and `price`, what they tell: near, far (of one day, or of several) or none.
 
     implied: `l, day, price`. closes: `r, day, close`. Prices a thousandfold off, as by a wrong unit, count as neither."""
     days = pairs.select("l", "r").join(implied, "l").join(closes, ["r", "day"])
     off = F.abs(F.log(F.col("price") / F.col("close")))
-    told = days.groupBy("l", "r").agg(F.avg((off < 0.05).cast("double")).alias("price_near"), F.avg(((off > 0.2) & (off < 6.0)).cast("double")).alias("price_far"))
-    return pairs.join(told, ["l", "r"], "left").fillna(0.0, ["price_near", "price_far"])
+    told = days.groupBy("l", "r").agg(F.count("*").alias("days"), F.avg((off < 0.05).cast("double")).alias("price_near"), F.avg(((off > 0.2) & (off < 6.0)).cast("double")).alias("price_far"))
+    out = pairs.join(told, ["l", "r"], "left").fillna(0.0, ["price_near", "price_far"]).fillna(0, ["days"])
+    return out.withColumn("price", F.when(F.col("price_near") >= 0.5, "near").when(F.col("price_far") <= 0.5, "none").when(F.col("days") == 1, "far once").otherwise("far"))
+
+
+def price_label() -> Column:
+    """1 where prices agree, 0 where they contradict, null for all else; names have no part in it."""
+    enough = F.col("days") >= LABEL_DAYS
+    return F.when(enough & (F.col("price_near") >= LABEL_SHARE), 1.0).when(enough & (F.col("price_far") >= LABEL_SHARE), 0.0)
 
 
-def weak_label(df: DataFrame) -> DataFrame:
-    """1 for equal names that are each other's only one, 0 for contradictions, null for all else."""
+def name_label(df: DataFrame) -> DataFrame:
+    """`y`: 1 for equal names that are each other's only one, 0 for names of other trades or far apart, null for all else;
+    prices have no part in it."""
     equal = (F.col("exact") > 0.5) & (F.col("kinds") > 0.5) & (F.col("legal_clash") < 0.1)
     rivals = df.where(equal)
     once = lambda side: rivals.groupBy(side).agg(F.count("*").alias("n")).where("n = 1").select(side)
-    sure = rivals.join(once("l"), "l", "left_semi").join(once("r"), "r", "left_semi").where("price_far < 0.5").select("l", "r", F.lit(1.0).alias("y"))
-    wrong = (F.col("kinds_clash") > 0.5) | (F.col("price_far") > 0.8) | (F.col("own") < 0.5)
-    return df.join(sure, ["l", "r"], "left").withColumn("y", F.coalesce("y", F.when(wrong, 0.0)))
+    sure = rivals.join(once("l"), "l", "left_semi").join(once("r"), "r", "left_semi").select("l", "r", F.lit(1.0).alias("y"))
+    return df.join(sure, ["l", "r"], "left").withColumn("y", F.coalesce("y", F.when((F.col("kinds_clash") > 0.5) | (F.col("own") < 0.5), 0.0)))
+
+
+def price_evidence(pairs: DataFrame) -> dict[str, float]:
+    """How much likelier each reading of the prices is for pairs of one firm than for others, by labels of names alone."""
+    counts = {(r.price, r.y): r.n for r in name_label(pairs).where("y is not null").groupBy("price", "y").agg(F.count("*").alias("n")).collect()}
+    every = ("near", "far", "far once", "none")
+    share = lambda k, y: (counts.get((k, y), 0) + 0.5) / (sum(counts.get((x, y), 0) for x in every) + 2)
+    return {k: share(k, 1.0) / share(k, 0.0) for k in every}
 
 
 class Classifier:
@@ -174,22 +197,25 @@ class Classifier:
 def matched(left: DataFrame, right: DataFrame, implied: DataFrame, closes: DataFrame, least: float = 0.5, seed: int = 0) -> DataFrame:
     """`l, r, confidence, support`: the best company of each entity.
 
-    left, right: `entity, name, n`. implied: `l, day, price`; closes: `r, day, close`. At most `MOST_TRAINING` weakly
-    labelled pairs, those of the least hash, train the classifier."""
-    pairs = cut(weak_label(with_prices(candidate_pairs(left, right), implied, closes)), "pairs")
-    sample = pairs.where("y is not null").orderBy(F.xxhash64("l", "r", F.lit(seed))).limit(MOST_TRAINING).select(*FEATURES, "y").collect()
+    left, right: `entity, name, n`. implied: `l, day, price`; closes: `r, day, close`. At most `MOST_TRAINING` pairs labelled
+    by prices, those of the least hash, train the classifier."""
+    pairs = cut(with_prices(candidate_pairs(left, right), implied, closes), "pairs")
+    labelled = pairs.withColumn("y", price_label()).where("y is not null")
+    sample = labelled.orderBy(F.xxhash64("l", "r", F.lit(seed))).limit(MOST_TRAINING).select(*FEATURES, "y").collect()
     data = np.array([tuple(r) for r in sample], float)
-    if len(data) and len(set(data[:, -1])) == 2:
-        model = Classifier(data[:, :-1], data[:, -1])
-        predict = model.probability
+    if len(data) >= LEAST_TRAINING and len(set(data[:, -1])) == 2:
+        predict = Classifier(data[:, :-1], data[:, -1]).probability
     else:  # nothing to learn from: equal names alone
         predict = lambda x: np.where((x[:, 1] > 0.5) & (x[:, 3] < 0.5), 0.75, 0.25)
+    evidence = price_evidence(pairs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf[["l", "r", "support"]].assign(confidence=predict(pdf[list(FEATURES)].to_numpy(float)) if len(pdf) else [])
+            p = np.clip(predict(pdf[list(FEATURES)].to_numpy(float)), 1e-6, 1 - 1e-6) if len(pdf) else np.zeros(0)
+            odds = p / (1 - p) * pdf["price"].map(evidence).to_numpy(float)
+            yield pdf[["l", "r", "support"]].assign(confidence=odds / (1 + odds))
 
-    scored = pairs.select("l", "r", "support", *FEATURES).mapInPandas(run, "l string, r string, support double, confidence double").where(F.col("confidence") >= least)
+    scored = pairs.select("l", "r", "support", "price", *FEATURES).mapInPandas(run, "l string, r string, support double, confidence double").where(F.col("confidence") >= least)
     two = ranked(scored, ["l"], [F.col("confidence").desc(), F.col("r").asc()], 2)
     best = two.groupBy("l").agg(F.max("confidence").alias("confidence"), F.min("confidence").alias("next"), F.count("*").alias("n"), F.max_by("r", "confidence").alias("r"), F.max_by("support", "confidence").alias("support"))
     return best.where("n = 1 or confidence > next").select("l", "r", "confidence", "support")
