@@ -97,3 +97,36 @@ def test_calibrated_on_held_out():
     model = Classifier(x[:3000], y[:3000])
     guess = model.probability(x[3000:])
     assert abs(guess - p[3000:]).mean() < 0.08 and ((guess > 0.5) == (p[3000:] > 0.5)).mean() > 0.93
+
+
+def test_copies_within_a_source_count(spark):
+    """Three copies of a text in one source supply it three times, two sources share one of them; no document is lost."""
+    from tidemark.llm.mixing import units
+
+    docs = spark.createDataFrame([(1, "same words here", "a"), (2, "same words here", "a"), (3, "same words here", "a"), (4, "same words here", "b"), (5, "other", "b"), (6, "", "a"), (7, None, "a"), (8, "x", "c")], "doc_id long, text string, source string")
+    got = sorted(tuple(r.ids) for r in units(docs, ["a", "b"], "byte_bpe_50k", "/opt/tokenizers").collect() if r.ids[0] is not None)
+    assert got == [(1, 4), (2, None), (3, None)]
+    every = [i for r in units(docs, ["a", "b"], "byte_bpe_50k", "/opt/tokenizers").collect() for i in r.ids if i is not None]
+    assert sorted(every) == [1, 2, 3, 4, 5]
+
+
+def test_match_of_signs_alone(spark):
+    none = "string, day date, "
+    l = spark.createDataFrame([("l1", "---", 1), ("l2", "Gravex Foods Inc", 1)], "entity string, name string, n long")
+    r = spark.createDataFrame([("c1", "***", 1), ("c2", "GRAVEX FOODS", 1)], "entity string, name string, n long")
+    implied, closes = spark.createDataFrame([], f"l {none} price double"), spark.createDataFrame([], f"r {none} close double")
+    assert [(x.l, x.r) for x in matched(l, r, implied, closes).collect()] == [("l2", "c2")]
+
+
+def test_prices_and_names_label_each_other(spark):
+    """Look-alikes of another trade are told apart by what prices teach about names."""
+    rnd = random.Random(5)
+    stems = ["".join(rnd.choice("bdfgklmnprst") + rnd.choice("aeiou") for _ in range(4)) for _ in range(60)]
+    l = spark.createDataFrame([(f"l{i}", f"{s} {k}", 3) for i, s in enumerate(stems) for k in ("Foods",)], "entity string, name string, n long")
+    r = spark.createDataFrame([(f"c{i}{k[0]}", f"{s} {k}", 1) for i, s in enumerate(stems) for k in ("Foods", "Motors")], "entity string, name string, n long")
+    days = [f"2021-01-{d:02}" for d in (4, 5, 6)]
+    implied = spark.createDataFrame([(f"l{i}", d, 10.0 + i) for i in range(0, 60, 2) for d in days], "l string, day string, price double").withColumn("day", F.col("day").cast("date"))
+    closes = spark.createDataFrame([(f"c{i}{k}", d, (10.0 + i) * (1 if k == "F" else 2)) for i in range(60) for k in "FM" for d in days], "r string, day string, close double").withColumn("day", F.col("day").cast("date"))
+    got = {x.l: (x.r, x.confidence) for x in matched(l, r, implied, closes).collect()}
+    assert {k: v[0] for k, v in got.items()} == {f"l{i}": f"c{i}F" for i in range(60)}
+    assert min(got[f"l{i}"][1] for i in range(0, 60, 2)) > 0.9
