@@ -135,3 +135,26 @@ def test_late_outcomes_follow_the_tree():
         assert not [r for r in run_entity(rows, "quarter", 46, 150) if r[1] == "dropped"]
     with mock.patch.object(FingerTree, "total", lambda self, low, high: None):
         assert not [r for r in run_entity(rows, "quarter", 46, 150) if r[1] == "corrected"]
+
+
+def test_as_known_of_an_entity_with_many_versions_and_few_events(spark):
+    """Versions are sliced as well as events; those of one moment are settled before."""
+    rnd = random.Random(8)
+    events = [("hot", day(60 + i * 5, i)) for i in range(12)] + [("A", day(70))]
+    versions = [("hot", rnd.choice("xy"), day(rnd.randrange(120), rnd.choice([0, 7])), day(rnd.randrange(9)), day(rnd.randrange(60)), f"v{i}") for i in range(900)]
+    versions += [("hot", "x", day(61), day(3), day(4), f"tie{i}") for i in range(50)] + [("A", "x", day(1), day(1), day(1), "a")]
+    ev = spark.createDataFrame(events, "entity string, at timestamp")
+    ve = spark.createDataFrame(versions, "entity string, series string, known timestamp, r1 timestamp, r2 timestamp, payload string")
+    for slice_rows, buckets in ((40, 3), (200_000, 3)):
+        got = {tuple(r) for r in attributes_as_known(ev, ve, ["x", "y"], slice_rows, buckets=buckets).collect()}
+        assert got == brute(events, versions, ["x", "y"])
+
+
+def test_slices_of_a_hot_entity_stay_near_their_size(spark):
+    from tidemark.operators.known import _slice_bounds
+
+    times = spark.range(10_000).selectExpr("'hot' as entity", "id * 1000 as t").unionByName(spark.range(50).selectExpr("'A' as entity", "id as t"))
+    (row,) = _slice_bounds(times, 1000).collect()
+    assert row.entity == "hot" and len(row.starts) == 9
+    edges = [0, *row.starts, 10**8]
+    assert all(900 <= (b - a) / 1000 <= 1100 for a, b in zip(edges, edges[1:-1]))
