@@ -78,7 +78,8 @@ def latest_per_entity(s, d):
     return channels.levels(vintages(s, d), TV).select("entity", r("value"))
 
 
-@query("SELECT entity, epoch_us(event_time) AS event_time, round(close, 4) AS close FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY event_time DESC, knowledge_time DESC, close DESC) AS rn FROM (SELECT DISTINCT entity, event_time, knowledge_time, close FROM features) WHERE knowledge_time <= $T) WHERE rn = 1")
+@query("SELECT entity, epoch_us(event_time) AS event_time, round(close, 4) AS close FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY event_time DESC,"
+    " knowledge_time DESC, close DESC) AS rn FROM (SELECT DISTINCT entity, event_time, knowledge_time, close FROM features) WHERE knowledge_time <= $T) WHERE rn = 1")
 def latest_by_event(s, d):
     df = table(s, d, "features").select("entity", "event_time", "knowledge_time", "close").distinct().withColumn("vintage_id", F.col("close"))
     return asof.latest_by_event(df, T).select("entity", us("event_time"), r("close"))
@@ -94,7 +95,9 @@ def trailing_window(s, d):
     return asof.trailing(table(s, d, "news_gkg"), T, 14).select("url", us("knowledge_time"))
 
 
-@query(f"SELECT m.entity, epoch_us(m.ts) AS at, (SELECT round(arg_min(b.close, b.event_time), 4) FROM {BARS} b WHERE b.entity = m.entity AND b.event_time >= date_trunc('day', m.ts)) AS close FROM (SELECT p.entity, x.ts FROM (SELECT DISTINCT o_orderpriority AS entity FROM orders) p, (SELECT TIMESTAMP '1995-06-03' + INTERVAL (i * 211) HOUR AS ts FROM range(300) t(i)) x) m")
+@query(f"SELECT m.entity, epoch_us(m.ts) AS at, (SELECT round(arg_min(b.close, b.event_time), 4) FROM {BARS} b WHERE b.entity = m.entity AND b.event_time >= date_trunc('day',"
+    f" m.ts)) AS close FROM (SELECT p.entity, x.ts FROM (SELECT DISTINCT o_orderpriority AS entity FROM orders) p, (SELECT TIMESTAMP '1995-06-03' + INTERVAL (i * 211) HOUR"
+    f" AS ts FROM range(300) t(i)) x) m")
 def forward_asof(s, d):
     b = bars(s, d)
     times = F.expr("transform(sequence(0, 299), i -> timestamp'1995-06-03' + make_dt_interval(0, i * 211))")
@@ -107,7 +110,9 @@ def membership_asof(s, d):
     return asof.members(table(s, d, "security_master").where("record_type = 'change'"), T)
 
 
-@query(f"WITH a AS (SELECT entity, value, 0 AS p FROM {VINTAGES} WHERE event_type = 'signup'), b AS (SELECT entity, value, 1 AS p FROM {VINTAGES} WHERE event_type = 'purchase'), u AS (SELECT * FROM a UNION ALL SELECT * FROM b) SELECT entity, round(value, 4) AS value FROM u WHERE p = (SELECT min(p) FROM u v WHERE v.entity = u.entity)")
+@query(f"WITH a AS (SELECT entity, value, 0 AS p FROM {VINTAGES} WHERE event_type = 'signup'), b AS (SELECT entity, value, 1 AS p FROM {VINTAGES} WHERE event_type"
+    f" = 'purchase'), u AS (SELECT * FROM a UNION ALL SELECT * FROM b) SELECT entity, round(value, 4) AS value FROM u WHERE p = (SELECT min(p) FROM u v WHERE v.entity ="
+    f" u.entity)")
 def source_fallback(s, d):
     v = vintages(s, d)
     return asof.fallback([v.where(F.col("event_type") == e).select("entity", "value") for e in ("signup", "purchase")], ["entity"]).select("entity", r("value"))
@@ -118,7 +123,9 @@ def sim_clock(s, d):
     return asof.cursor_grid(s, "2021-01-04", "2024-12-31", "7 days").select(us("cursor"))
 
 
-@query(f"WITH g AS (SELECT g AS cursor FROM generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-29', INTERVAL 1 DAY) t(g)) SELECT entity, epoch_us(cursor) AS cursor, round(value, 4) AS value FROM (SELECT v.entity, g.cursor, v.value, row_number() OVER (PARTITION BY v.entity, g.cursor ORDER BY v.knowledge_time DESC, v.event_time DESC, v.vintage_id DESC) AS rn FROM {VINTAGES} v JOIN g ON v.knowledge_time <= g.cursor) WHERE rn = 1")
+@query(f"WITH g AS (SELECT g AS cursor FROM generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-29', INTERVAL 1 DAY) t(g)) SELECT entity, epoch_us(cursor)"
+    f" AS cursor, round(value, 4) AS value FROM (SELECT v.entity, g.cursor, v.value, row_number() OVER (PARTITION BY v.entity, g.cursor ORDER BY v.knowledge_time DESC,"
+    f" v.event_time DESC, v.vintage_id DESC) AS rn FROM {VINTAGES} v JOIN g ON v.knowledge_time <= g.cursor) WHERE rn = 1")
 def cursor_grid_observation(s, d):
     grid = asof.cursor_grid(s, "2024-01-02", "2024-01-29", "1 day")
     return asof.observed_on_grid(vintages(s, d), grid, ["value"]).select("entity", us("cursor"), r("value"))
@@ -180,7 +187,9 @@ f AS (SELECT n.event_time, n.vix, n.curve, n.hy, CASE WHEN m >= 30 THEN k / m EN
 """
 
 
-@query(_THREE + "SELECT epoch_us(event_time) AS event_time, round(vix, 6) AS vix, CASE WHEN curve < 0 THEN 1 ELSE 0 END AS curve_inverted, round(chg, 8) + 0.0 AS hy_chg_21, round(ra, 3) + 0.0 AS risk_appetite, CASE WHEN pct < 0.4 AND chg < 0 THEN 'risk_on' WHEN pct > 0.8 OR chg > 0.5 THEN 'risk_off' ELSE 'neutral' END AS regime FROM f")
+@query(_THREE + "SELECT epoch_us(event_time) AS event_time, round(vix, 6) AS vix, CASE WHEN curve < 0 THEN 1 ELSE 0 END AS curve_inverted, round(chg, 8) + 0.0 AS"
+    " hy_chg_21, round(ra, 3) + 0.0 AS risk_appetite, CASE WHEN pct < 0.4 AND chg < 0 THEN 'risk_on' WHEN pct > 0.8 OR chg > 0.5 THEN 'risk_off' ELSE 'neutral' END AS"
+    " regime FROM f")
 def regime_label(s, d):
     return _three(s, d).select(us("event_time"), r("vix", 6), F.col("curve_inverted").cast("int").alias("curve_inverted"), r("hy_chg_21", 8), r("risk_appetite", 3), "regime")
 
@@ -193,7 +202,10 @@ def regime_pctrank(s, d):
 _FLOW = "acq_disp = 'A' AND shares IS NOT NULL", "acq_disp = 'D' AND shares IS NOT NULL"
 
 
-@query(f"SELECT entity, strftime(date_trunc('month', event_time AT TIME ZONE 'UTC'), '%Y-%m') AS month, round(sum(CASE acq_disp WHEN 'A' THEN shares WHEN 'D' THEN -shares END), 2) + 0.0 AS net_shares, count(CASE WHEN {_FLOW[0]} THEN 1 END) AS n_buys, count(CASE WHEN {_FLOW[1]} THEN 1 END) AS n_sells, round((count(CASE WHEN {_FLOW[0]} THEN 1 END) - count(CASE WHEN {_FLOW[1]} THEN 1 END)) / nullif(count(CASE WHEN shares IS NOT NULL AND acq_disp IN ('A', 'D') THEN 1 END), 0), 6) + 0.0 AS net_score FROM insider_form4 WHERE txn_code IN ('P', 'S') GROUP BY 1, 2")
+@query(f"SELECT entity, strftime(date_trunc('month', event_time AT TIME ZONE 'UTC'), '%Y-%m') AS month, round(sum(CASE acq_disp WHEN 'A' THEN shares WHEN 'D' THEN"
+    f" -shares END), 2) + 0.0 AS net_shares, count(CASE WHEN {_FLOW[0]} THEN 1 END) AS n_buys, count(CASE WHEN {_FLOW[1]} THEN 1 END) AS n_sells, round((count(CASE WHEN"
+    f" {_FLOW[0]} THEN 1 END) - count(CASE WHEN {_FLOW[1]} THEN 1 END)) / nullif(count(CASE WHEN shares IS NOT NULL AND acq_disp IN ('A', 'D') THEN 1 END), 0), 6) + 0.0"
+    f" AS net_score FROM insider_form4 WHERE txn_code IN ('P', 'S') GROUP BY 1, 2")
 def insider_flow(s, d):
     return windows.insider_flow(table(s, d, "insider_form4")).select("entity", F.date_format("month", "yyyy-MM").alias("month"), r("net_shares", 2), "n_buys", "n_sells", r("net_score", 6))
 
@@ -203,7 +215,8 @@ def prediction_last_daily(s, d):
     return windows.last_daily(quotes(s, d), "probability", ["event_time", "vintage_id"]).select("entity", us("event_time"), r("probability", 6))
 
 
-@query(f"SELECT entity, epoch_us(event_time) AS event_time, round(probability, 6) AS probability, round(probability - lag(probability, 30) OVER (PARTITION BY entity ORDER BY event_time), 6) + 0.0 AS prob_chg_30d FROM (SELECT entity, event_time, knowledge_time, avg(probability) AS probability FROM {QUOTES} GROUP BY ALL)")
+@query(f"SELECT entity, epoch_us(event_time) AS event_time, round(probability, 6) AS probability, round(probability - lag(probability, 30) OVER (PARTITION BY entity"
+    f" ORDER BY event_time), 6) + 0.0 AS prob_chg_30d FROM (SELECT entity, event_time, knowledge_time, avg(probability) AS probability FROM {QUOTES} GROUP BY ALL)")
 def prediction_momentum(s, d):
     return windows.prediction_momentum(quotes(s, d)).select("entity", us("event_time"), r("probability", 6), r("prob_chg_30d", 6))
 
@@ -211,7 +224,9 @@ def prediction_momentum(s, d):
 _NAMED = "SELECT trim(unnest(string_split(organizations, ', '))) AS org, url, event_time AT TIME ZONE 'UTC' AS et, tone FROM news_gkg WHERE organizations IS NOT NULL"
 
 
-@query(f"WITH n AS (SELECT * FROM ({_NAMED}) WHERE length(org) > 2 AND tone IS NOT NULL), k AS (SELECT org FROM n GROUP BY org HAVING count(*) >= 20) SELECT org AS entity, strftime(date_trunc('week', et), '%Y-%m-%d') AS week, round(avg(tone), 4) + 0.0 AS tone, count(*) AS n_articles FROM n WHERE org IN (SELECT org FROM k) GROUP BY 1, 2")
+@query(f"WITH n AS (SELECT * FROM ({_NAMED}) WHERE length(org) > 2 AND tone IS NOT NULL), k AS (SELECT org FROM n GROUP BY org HAVING count(*) >= 20) SELECT org AS"
+    f" entity, strftime(date_trunc('week', et), '%Y-%m-%d') AS week, round(avg(tone), 4) + 0.0 AS tone, count(*) AS n_articles FROM n WHERE org IN (SELECT org FROM k) GROUP"
+    f" BY 1, 2")
 def sentiment_weekly(s, d):
     return windows.news_sentiment(table(s, d, "news_gkg"), 20, None).select("entity", F.date_format("week", "yyyy-MM-dd").alias("week"), r("tone"), "n_articles")
 
@@ -251,7 +266,9 @@ def momentum_30(s, d):
     return windows.series_momentum(bars(s, d).withColumnRenamed("close", "value")).select("entity", us("event_time"), r("chg_30d", 6))
 
 
-@query("SELECT e AS entity, strftime(event_time AT TIME ZONE 'UTC', '%Y-%m-%d') AS day, cast(sum(weight) AS BIGINT) AS degree, count(*) AS n_edges FROM (SELECT entity AS e, event_time, weight FROM entity_graph WHERE kind = 'co_mention' UNION ALL SELECT dst, event_time, weight FROM entity_graph WHERE kind = 'co_mention') GROUP BY ALL")
+@query("SELECT e AS entity, strftime(event_time AT TIME ZONE 'UTC', '%Y-%m-%d') AS day, cast(sum(weight) AS BIGINT) AS degree, count(*) AS n_edges FROM (SELECT entity"
+    " AS e, event_time, weight FROM entity_graph WHERE kind = 'co_mention' UNION ALL SELECT dst, event_time, weight FROM entity_graph WHERE kind = 'co_mention') GROUP"
+    " BY ALL")
 def graph_centrality(s, d):
     edges = table(s, d, "entity_graph").where("kind = 'co_mention'")
     return windows.centrality(edges).select("entity", F.date_format("event_time", "yyyy-MM-dd").alias("day"), "degree", "n_edges")
@@ -260,7 +277,9 @@ def graph_centrality(s, d):
 _SUR = f"WITH f AS (SELECT entity, event_time, arg_min(value, (knowledge_time, vintage_id)) AS actual FROM {VINTAGES} GROUP BY 1, 2), d AS (SELECT *, actual - lag(actual) OVER (PARTITION BY entity ORDER BY event_time) AS surprise FROM f)"
 
 
-@query(_SUR + " SELECT * FROM (SELECT entity, epoch_us(event_time) AS event_time, round(surprise, 4) + 0.0 AS surprise, CASE WHEN count(surprise) OVER w >= 5 THEN round((surprise - avg(surprise) OVER w) / nullif(stddev_samp(surprise) OVER w, 0), 4) + 0.0 END AS surprise_z FROM d WINDOW w AS (PARTITION BY entity ORDER BY event_time ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)) WHERE surprise IS NOT NULL")
+@query(_SUR + " SELECT * FROM (SELECT entity, epoch_us(event_time) AS event_time, round(surprise, 4) + 0.0 AS surprise, CASE WHEN count(surprise) OVER w >= 5 THEN"
+    " round((surprise - avg(surprise) OVER w) / nullif(stddev_samp(surprise) OVER w, 0), 4) + 0.0 END AS surprise_z FROM d WINDOW w AS (PARTITION BY entity ORDER BY event_time"
+    " ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)) WHERE surprise IS NOT NULL")
 def surprise_z(s, d):
     return windows.surprise(vintages(s, d)).select("entity", us("event_time"), r("surprise"), r("surprise_z"))
 
@@ -283,12 +302,16 @@ def graph_insider(s, d):
     return graph.insider(table(s, d, "insider_form4")).select("entity", "rel", "dst", "txn_code", "acq_disp")
 
 
-@query(f"WITH n AS (SELECT DISTINCT url, date_trunc('quarter', et) AS q, org FROM ({_NAMED}) WHERE length(org) > 2 AND url IS NOT NULL), k AS (SELECT org FROM (SELECT org FROM ({_NAMED}) WHERE length(org) > 2 AND url IS NOT NULL) GROUP BY 1 HAVING count(*) >= 20) SELECT strftime(a.q, '%Y-%m-%d') AS quarter, a.org AS entity, b.org AS dst, count(*) AS weight FROM n a JOIN n b ON a.url = b.url AND a.q = b.q AND a.org < b.org WHERE a.org IN (SELECT org FROM k) AND b.org IN (SELECT org FROM k) GROUP BY ALL HAVING count(*) >= 3")
+@query(f"WITH n AS (SELECT DISTINCT url, date_trunc('quarter', et) AS q, org FROM ({_NAMED}) WHERE length(org) > 2 AND url IS NOT NULL), k AS (SELECT org FROM (SELECT"
+    f" org FROM ({_NAMED}) WHERE length(org) > 2 AND url IS NOT NULL) GROUP BY 1 HAVING count(*) >= 20) SELECT strftime(a.q, '%Y-%m-%d') AS quarter, a.org AS entity, b.org"
+    f" AS dst, count(*) AS weight FROM n a JOIN n b ON a.url = b.url AND a.q = b.q AND a.org < b.org WHERE a.org IN (SELECT org FROM k) AND b.org IN (SELECT org FROM k)"
+    f" GROUP BY ALL HAVING count(*) >= 3")
 def graph_comention(s, d):
     return graph.co_mention(table(s, d, "news_gkg"), 20, None, 3).select(F.date_format("quarter", "yyyy-MM-dd").alias("quarter"), "entity", "dst", "weight")
 
 
-@query("SELECT kind, entity, dst, epoch_us(knowledge_time) AS knowledge_time FROM entity_graph WHERE kind <> 'nodes' AND knowledge_time <= $T AND (contains(lower(entity), 'bank') OR contains(lower(dst), 'bank')) ORDER BY entity_graph.knowledge_time DESC, entity, dst, event_time DESC, content_hash LIMIT 20")
+@query("SELECT kind, entity, dst, epoch_us(knowledge_time) AS knowledge_time FROM entity_graph WHERE kind <> 'nodes' AND knowledge_time <= $T AND (contains(lower(entity),"
+    " 'bank') OR contains(lower(dst), 'bank')) ORDER BY entity_graph.knowledge_time DESC, entity, dst, event_time DESC, content_hash LIMIT 20")
 def graph_neighbours(s, d):
     return graph.neighbours(table(s, d, "entity_graph"), "bank", T).select("kind", "entity", "dst", us("knowledge_time"))
 
@@ -342,13 +365,17 @@ def keyword_search(s, d):
     return channels.news_search(_Tables(s, d), T, "Energy").select("url", "title", "outlet")
 
 
-@query(f"SELECT question, entity, round(volume, 4) AS volume FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY event_time DESC, knowledge_time DESC, vintage_id DESC) AS rn FROM {QUOTES} WHERE contains(lower(question), 'purchase') AND knowledge_time <= $TV) WHERE rn = 1 ORDER BY volume DESC NULLS LAST, entity LIMIT 6")
+@query(f"SELECT question, entity, round(volume, 4) AS volume FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY event_time DESC, knowledge_time DESC,"
+    f" vintage_id DESC) AS rn FROM {QUOTES} WHERE contains(lower(question), 'purchase') AND knowledge_time <= $TV) WHERE rn = 1 ORDER BY volume DESC NULLS LAST, entity"
+    f" LIMIT 6")
 def venue_topk(s, d):
     df = quotes(s, d).where(F.contains(F.lower("question"), F.lit("purchase")))
     return channels.markets(df, TV, 6).select("question", "entity", r("volume"))
 
 
-@query("SELECT event, round(magnitude, 4) AS magnitude FROM (SELECT 'quake M' || format('{:.1f}', round(value / 30, 1)) || ' ' || event_type || ' ' || event_id AS event, round(value / 30, 1) AS magnitude, ts, event_type || ' ' || event_id AS place FROM events WHERE ts <= $TV AND ts > $TV - INTERVAL 30 DAY) WHERE magnitude >= 6 ORDER BY magnitude DESC, ts DESC, place LIMIT 5")
+@query("SELECT event, round(magnitude, 4) AS magnitude FROM (SELECT 'quake M' || format('{:.1f}', round(value / 30, 1)) || ' ' || event_type || ' ' || event_id AS"
+    " event, round(value / 30, 1) AS magnitude, ts, event_type || ' ' || event_id AS place FROM events WHERE ts <= $TV AND ts > $TV - INTERVAL 30 DAY) WHERE magnitude"
+    " >= 6 ORDER BY magnitude DESC, ts DESC, place LIMIT 5")
 def shocks_topk(s, d):
     """The tool of recent shocks over events as quakes."""
     at = F.col("ts").cast("timestamp")
@@ -468,7 +495,10 @@ def stream_windows(s, d):
 # Merges, joins, functions
 
 
-@query("SELECT coalesce(a.entity, b.entity) AS entity, epoch_us(coalesce(a.day, b.day)) AS event_time, round(a.v, 4) AS volume_pct, round(b.v, 4) AS avg_tone FROM (SELECT cast(user_id AS VARCHAR) AS entity, date_trunc('day', ts) AS day, max(value) AS v FROM events WHERE event_type = 'view' GROUP BY 1, 2) a FULL JOIN (SELECT cast(user_id AS VARCHAR) AS entity, date_trunc('day', ts) AS day, max(value) AS v FROM events WHERE event_type = 'click' GROUP BY 1, 2) b ON a.entity = b.entity AND a.day = b.day")
+@query("SELECT coalesce(a.entity, b.entity) AS entity, epoch_us(coalesce(a.day, b.day)) AS event_time, round(a.v, 4) AS volume_pct, round(b.v, 4) AS avg_tone FROM"
+    " (SELECT cast(user_id AS VARCHAR) AS entity, date_trunc('day', ts) AS day, max(value) AS v FROM events WHERE event_type = 'view' GROUP BY 1, 2) a FULL JOIN (SELECT"
+    " cast(user_id AS VARCHAR) AS entity, date_trunc('day', ts) AS day, max(value) AS v FROM events WHERE event_type = 'click' GROUP BY 1, 2) b ON a.entity = b.entity"
+    " AND a.day = b.day")
 def timeline_full_outer(s, d):
     """The news parser's full join of two timelines."""
     one = lambda e: _series(s, d, e).groupBy(F.col("entity").alias("theme"), F.date_format("event_time", "yyyy-MM-dd").alias("date")).agg(F.max("value").alias("value"))
@@ -550,7 +580,9 @@ def trading_reward(s, d):
     return df.select("entity", us("at"), (tasks.trading_reward(F.col("decision"), F.col("now"), F.col("later")) + F.lit(0.0)).alias("reward"))
 
 
-@query(_OUT + "SELECT entity, epoch_us(asked) AS at, round(sum(coalesce(round(CASE WHEN contains(decision, 'long') THEN 1.0 WHEN contains(decision, 'short') THEN -1.0 ELSE 0.0 END * (later - now) / nullif(now, 0) * 100, 4), 0.0)) OVER (PARTITION BY entity ORDER BY asked ROWS UNBOUNDED PRECEDING), 6) + 0.0 AS cum_reward FROM o")
+@query(_OUT + "SELECT entity, epoch_us(asked) AS at, round(sum(coalesce(round(CASE WHEN contains(decision, 'long') THEN 1.0 WHEN contains(decision, 'short') THEN"
+    " -1.0 ELSE 0.0 END * (later - now) / nullif(now, 0) * 100, 4), 0.0)) OVER (PARTITION BY entity ORDER BY asked ROWS UNBOUNDED PRECEDING), 6) + 0.0 AS cum_reward FROM"
+    " o")
 def cum_reward(s, d):
     df = tasks.outcomes(bars(s, d), _decisions(s, d), 5)
     log = df.select(F.col("entity").alias("episode_id"), F.col("at").alias("step"), tasks.trading_reward(F.col("decision"), F.col("now"), F.col("later")).alias("reward"))

@@ -69,7 +69,9 @@ landed("eia_energy", "series s, value d", [("WCESTUS1", "2021-01-08", "2021-01-1
 landed(
     "defillama", "metric s, value d",
     [("all", "2021-01-04", "2021-01-05", "", "tvl_usd", 5.5), ("stablecoins", "2021-01-04", "2021-01-05", "", "stablecoin_mcap_usd", 7.25)],
-    ("series string, date long, tvl double, totalCirculatingUSD struct<peggedUSD:double>, totalCirculating struct<peggedUSD:double>", [("all", 1609718400, 5.5, None, None), ("all", None, 1.0, None, None), ("all", 1609718400, None, None, None), ("stablecoins", 1609718400, None, (7.25,), (7.0,)), ("all", 1514764800, 3.0, None, None)]),
+    ("series string, date long, tvl double, totalCirculatingUSD struct<peggedUSD:double>, totalCirculating struct<peggedUSD:double>",
+        [("all", 1609718400, 5.5, None, None), ("all", None, 1.0, None, None), ("all", 1609718400, None, None, None), ("stablecoins", 1609718400,
+        None, (7.25,), (7.0,)), ("all", 1514764800, 3.0, None, None)]),
     since="2020-01-01",
 )
 landed("defillama_flows", "metric s, value_usd d", [("dexs", "2021-01-04", "2021-01-05", "", "dexs", 10.0), ("dexs", "2021-01-05", "2021-01-06", "", "dexs", 12.5)], ("metric string, points array<array<double>>", [("dexs", [[1609718400.0, 10.0], [1609804800.0, 12.5]]), ("fees", [])]))
@@ -81,7 +83,9 @@ landed(
     [("headline", "2021-01-04", "2021-01-05", "", 55.5, "greed"), ("vix", "2021-01-04", "2021-01-05", "", 40.0, "fear")],
     ("component string, data array<struct<x:double,y:double,rating:string>>", [("headline", [(1609718400000.0, 55.5, "greed"), (1609754400000.0, 60.0, "greed")]), ("vix", [(1609761600000.0, 40.0, "fear")])]),
 )
-landed("epu_index", "epu_3component d, epu_news_based d", [("US", "2021-01-01", "2021-02-01", "", 190.5, 260.0), ("US", "2021-02-01", "2021-03-01", "", None, 180.0)], ("Year string, Month string, Three_Component_Index string, News_Based_Policy_Uncert_Index string", [("2021", "1", "190.5", "260"), ("2021", "2", "", "180"), ("Source: note", None, None, None)]))
+landed("epu_index", "epu_3component d, epu_news_based d", [("US", "2021-01-01", "2021-02-01", "", 190.5, 260.0), ("US", "2021-02-01",
+    "2021-03-01", "", None, 180.0)], ("Year string, Month string, Three_Component_Index string, News_Based_Policy_Uncert_Index string",
+    [("2021", "1", "190.5", "260"), ("2021", "2", "", "180"), ("Source: note", None, None, None)]))
 landed("wiki_pageviews", "views d", [("Inflation", "2021-01-04", "2021-01-05", "", 1200.0)], ("article string, timestamp string, views long", [("Inflation", "2021010400", 1200)]))
 
 # Filings, holdings, positions
@@ -93,17 +97,25 @@ landed(
 landed(
     "edgar_fulltext", "form s, accession s, text s, char_len i",
     [("AAA", "2021-01-04", "2021-01-04 21:30:00", "", "8-K", "a1", "Item 1 A & B", 12), ("AAA", "2021-01-05", "2021-01-05", "", "10-Q", "a2", "x", 1)],
-    ("ticker string, form string, filing_date string, accepted string, accession string, primary_doc string, url string, html string", [("AAA", "8-K", "2021-01-04", "2021-01-04T21:30:00", "a1", "d", "u", "<p>Item 1</p><script>x()</script> A &amp;\n B<!-- c -->"), ("AAA", "10-Q", "2021-01-05", None, "a2", "d", "u", "x"), ("AAA", "S-1", "2021-01-05", None, "a3", "d", "u", "x")]),
+    ("ticker string, form string, filing_date string, accepted string, accession string, primary_doc string, url string, html string",
+        [("AAA", "8-K", "2021-01-04", "2021-01-04T21:30:00", "a1", "d", "u", "<p>Item 1</p><script>x()</script> A &amp;\n B<!-- c -->"), ("AAA",
+        "10-Q", "2021-01-05", None, "a2", "d", "u", "x"), ("AAA", "S-1", "2021-01-05", None, "a3", "d", "u", "x")]),
 )
 landed(
     "fundamentals_sec", "concept s, unit s, value d, form s, fiscal_year s, fiscal_period s, period_start s",
     [("AAA", "2021-03-31", "2021-05-01", "acc1", "Revenues", "USD", 5.0, "10-Q", "2021", "Q1", "2021-01-01"), ("AAA", "2020-12-31", "2021-02-01", "acc2", "Assets", "EUR", 9.5, "10-K", "2020", "FY", None)],
-    ("ticker string, facts string", [("AAA", json.dumps({"Revenues": {"units": {"USD": [{"start": "2021-01-01", "end": "2021-03-31", "val": 5.0, "accn": "acc1", "fy": "2021", "fp": "Q1", "form": "10-Q", "filed": "2021-05-01"}, {"end": "2021-06-30", "val": None, "filed": "2021-08-01"}, {"end": None, "val": 1.0, "filed": "2021-08-01"}]}}, "Assets": {"units": {"EUR": [{"end": "2020-12-31", "val": 9.5, "accn": "acc2", "fy": "2020", "fp": "FY", "form": "10-K", "filed": "2021-02-01"}]}}}))]),
+    ("ticker string, facts string", [("AAA", json.dumps({"Revenues": {"units": {"USD": [{"start": "2021-01-01", "end": "2021-03-31",
+        "val": 5.0, "accn": "acc1", "fy": "2021", "fp": "Q1", "form": "10-Q", "filed": "2021-05-01"}, {"end": "2021-06-30", "val": None, "filed": "2021-08-01"},
+        {"end": None, "val": 1.0, "filed": "2021-08-01"}]}}, "Assets": {"units": {"EUR": [{"end": "2020-12-31", "val": 9.5, "accn": "acc2",
+        "fy": "2020", "fp": "FY", "form": "10-K", "filed": "2021-02-01"}]}}}))]),
 )
 landed(
     "cftc_cot", "open_interest d, noncomm_long d, noncomm_short d, comm_long d, comm_short d, nonrept_long d, nonrept_short d",
     [("GOLD", "2021-01-05", "2021-01-08", "", 500.0, 1.0, 2.0, 3.0, 4.0, 5.0, None)],
-    ("contract_market_name string, report_date_as_yyyy_mm_dd string, open_interest_all string, noncomm_positions_long_all string, noncomm_positions_short_all string, comm_positions_long_all string, comm_positions_short_all string, nonrept_positions_long_all string, nonrept_positions_short_all string", [("GOLD", "2021-01-05T00:00:00.000", "500", "1", "2", "3", "4", "5", "n/a"), ("GOLD", "soon", "1", "1", "1", "1", "1", "1", "1")]),
+    ("contract_market_name string, report_date_as_yyyy_mm_dd string, open_interest_all string, noncomm_positions_long_all string, noncomm_positions_short_all string,"
+        " comm_positions_long_all string, comm_positions_short_all string, nonrept_positions_long_all string, nonrept_positions_short_all string",
+        [("GOLD", "2021-01-05T00:00:00.000", "500", "1", "2", "3", "4", "5", "n/a"), ("GOLD", "soon", "1", "1", "1", "1", "1", "1", "1")]),
+       
 )
 landed(
     "short_finra", "short_volume d, short_exempt_volume d, total_volume d, short_ratio d",
@@ -113,14 +125,19 @@ landed(
 landed(
     "treasury_auctions", "cusip s, security_term s, maturity_date s, interestRate d, highYield d, highDiscountRate d, bidToCoverRatio d, offeringAmount d, totalAccepted d, totalTendered d",
     [("Bill", "2021-01-04", "2021-01-04", "", "912796XX1", "13-Week", "2021-04-08", None, None, 0.09, 2.9, 54e9, 54.1e9, 157e9)],
-    ("type string, auctionDate string, cusip string, securityTerm string, maturityDate string, interestRate string, highYield string, highDiscountRate string, bidToCoverRatio string, offeringAmount string, totalAccepted string, totalTendered string", [("Bill", "2021-01-04", "912796XX1", "13-Week", "2021-04-08", "", None, "0.09", "2.9", "54000000000", "54100000000", "157000000000"), ("Bill", "2019-12-30", "old", "", "", "", "", "", "", "", "", ""), ("Bill", None, "none", "", "", "", "", "", "", "", "", "")]),
+    ("type string, auctionDate string, cusip string, securityTerm string, maturityDate string, interestRate string, highYield string, highDiscountRate string, bidToCoverRatio"
+        " string, offeringAmount string, totalAccepted string, totalTendered string", [("Bill", "2021-01-04", "912796XX1", "13-Week", "2021-04-08",
+        "", None, "0.09", "2.9", "54000000000", "54100000000", "157000000000"), ("Bill", "2019-12-30", "old", "", "", "", "", "", "", "", "",
+        ""), ("Bill", None, "none", "", "", "", "", "", "", "", "", "")]),
     since="2020-01-01",
 )
 _TXN = "<{0}><securityTitle><value>{1}</value></securityTitle><transactionDate><value>{2}</value></transactionDate><transactionCoding><transactionCode>{3}</transactionCode></transactionCoding><transactionAmounts><transactionShares><value>{4}</value></transactionShares><transactionPricePerShare><value>{5}</value></transactionPricePerShare><transactionAcquiredDisposedCode><value>{6}</value></transactionAcquiredDisposedCode></transactionAmounts><postTransactionAmounts><sharesOwnedFollowingTransaction><value>{7}</value></sharesOwnedFollowingTransaction></postTransactionAmounts></{0}>"
 _FORM4 = f"<ownershipDocument><reportingOwner><reportingOwnerId><rptOwnerName>DOE JANE</rptOwnerName></reportingOwnerId><reportingOwnerRelationship><isDirector>1</isDirector><isOfficer>0</isOfficer><officerTitle>CFO</officerTitle></reportingOwnerRelationship></reportingOwner><nonDerivativeTable>{_TXN.format('nonDerivativeTransaction', 'Common', '2021-02-03', 'P', 10, 2.5, 'A', 110)}{_TXN.format('nonDerivativeTransaction', 'Common', '', 'S', 4, '', 'D', 106)}</nonDerivativeTable><derivativeTable>{_TXN.format('derivativeTransaction', 'Option', '2021-02-04-05:00', 'M', 5, 1, 'A', '')}</derivativeTable></ownershipDocument>"
 landed(
     "insider_form4", "owner_name s, officer_title s, is_director s, is_officer s, is_derivative b, security_title s, txn_code s, shares d, price d, acq_disp s, shares_after d",
-    [("AAA", "2021-02-03", "2021-02-05 18:00:00", "", "DOE JANE", "CFO", "1", "0", False, "Common", "P", 10.0, 2.5, "A", 110.0), ("AAA", "2021-02-05 18:00:00", "2021-02-05 18:00:00", "", "DOE JANE", "CFO", "1", "0", False, "Common", "S", 4.0, None, "D", 106.0), ("AAA", "2021-02-04", "2021-02-05 18:00:00", "", "DOE JANE", "CFO", "1", "0", True, "Option", "M", 5.0, 1.0, "A", None)],
+    [("AAA", "2021-02-03", "2021-02-05 18:00:00", "", "DOE JANE", "CFO", "1", "0", False, "Common", "P", 10.0, 2.5, "A", 110.0), ("AAA",
+        "2021-02-05 18:00:00", "2021-02-05 18:00:00", "", "DOE JANE", "CFO", "1", "0", False, "Common", "S", 4.0, None, "D", 106.0), ("AAA",
+        "2021-02-04", "2021-02-05 18:00:00", "", "DOE JANE", "CFO", "1", "0", True, "Option", "M", 5.0, 1.0, "A", None)],
     ("ticker string, filing_date string, accepted string, url string, xml string", [("AAA", "2021-02-05", "2021-02-05T18:00:00", "u", _FORM4)]),
 )
 _INFO = "<informationTable><infoTable><nameOfIssuer>ACME</nameOfIssuer><cusip>037833100</cusip><value>7</value><shrsOrPrnAmt><sshPrnamt>3</sshPrnamt></shrsOrPrnAmt></infoTable><infoTable><nameOfIssuer>BETA</nameOfIssuer><cusip>11</cusip><value>8</value><shrsOrPrnAmt><sshPrnamt>4</sshPrnamt></shrsOrPrnAmt><putCall>Put</putCall></infoTable></informationTable>"
@@ -145,7 +162,9 @@ landed(
 )
 landed(
     "news_hn", "title s, url s, author s, points i, num_comments i, story_id s", [("fed", "2021-01-04 00:00:01", "2021-01-04 00:00:01", "", "Rates", "u", "ann", 5, 0, "77"), ("fed", "2021-01-04", "2021-01-04", "", "Ask", None, "bob", 0, 2, "78")],
-    ("query string, objectID string, created_at_i long, title string, url string, author string, points long, num_comments long", [("fed", "77", 1609718401, "Rates", "u", "ann", 5, None), ("fed", "77", 1609718401, "Rates", "u", "ann", 5, None), ("fed", "78", 1609718400, "Ask", None, "bob", None, 2)]),
+    ("query string, objectID string, created_at_i long, title string, url string, author string, points long, num_comments long", [("fed",
+        "77", 1609718401, "Rates", "u", "ann", 5, None), ("fed", "77", 1609718401, "Rates", "u", "ann", 5, None), ("fed", "78", 1609718400,
+        "Ask", None, "bob", None, 2)]),
 )
 
 
@@ -158,7 +177,9 @@ def _gkg(date: str, site: str, url: str, themes: str, persons: str, orgs: str, t
 landed(
     "news_gkg", "title s, url s, site_domain s, themes s, organizations s, persons s, tone d, positive d, negative d, polarity d",
     [("site.com", "2021-01-04 12:00:00", "2021-01-04 12:00:00", "", "Hello", "u1", "site.com", "ECON, TAX", "Acme Inc, Beta", "Ann Doe", -1.5, 2.0, None, None)],
-    ("value string", [(_gkg("20210104120000", "site.com", "u1", "ECON;TAX;", "ann doe,4", "acme inc,1;beta,9;acme inc,5", "-1.5,2,x", "<PAGE_TITLE>Hello</PAGE_TITLE>"),)] * 2 + [("too\tshort",), (_gkg("soon", "site.com", "u2", "", "", "", "", ""),), (_gkg("20210104120000", "site.com", "", "", "", "", "", ""),)]),
+    ("value string", [(_gkg("20210104120000", "site.com", "u1", "ECON;TAX;", "ann doe,4", "acme inc,1;beta,9;acme inc,5", "-1.5,2,x",
+        "<PAGE_TITLE>Hello</PAGE_TITLE>"),)] * 2 + [("too\tshort",), (_gkg("soon", "site.com", "u2", "", "", "", "", ""),), (_gkg("20210104120000",
+        "site.com", "", "", "", "", "", ""),)]),
 )
 landed(
     "fed_text", "doc_type s, url s, text s, char_len i", [("FOMC", "2021-01-27", "2021-02-17", "", "minutes", "u1", "a b", 3), ("FOMC", "2021-01-27", "2021-01-27", "", "statement", "u2", "", 0)],
@@ -179,11 +200,15 @@ landed(
 landed(
     "nasa_events", "category s, title s, longitude d, latitude d, magnitude_value d, magnitude_unit s, event_id s",
     [("wildfires", "2021-01-04", "2021-01-05", "", "wildfires", "Fire", 10.0, 20.0, 5.5, "acres", "E1"), ("wildfires", "2021-01-06", "2021-01-07", "", "wildfires", "Fire", 11.0, 21.0, None, "", "E1")],
-    ("id string, title string, categories array<struct<id:string,title:string>>, geometry array<struct<date:string,coordinates:array<double>,magnitudeValue:double,magnitudeUnit:string>>", [("E1", "Fire", [("wildfires", "Wildfires")], [("2021-01-04T00:00:00Z", [10.0, 20.0], 5.5, "acres"), ("2021-01-05T00:00:00Z", None, None, None), ("2021-01-06T00:00:00Z", [11.0, 21.0], None, None)])]),
+    ("id string, title string, categories array<struct<id:string,title:string>>, geometry array<struct<date:string,coordinates:array<double>,magnitudeValue:double,magnitudeUnit:string>>",
+        [("E1", "Fire", [("wildfires", "Wildfires")], [("2021-01-04T00:00:00Z", [10.0, 20.0], 5.5, "acres"), ("2021-01-05T00:00:00Z", None,
+        None, None), ("2021-01-06T00:00:00Z", [11.0, 21.0], None, None)])]),
 )
 landed(
     "predict_manifold", "question s, probability d, volume d", [("will-x", "2021-01-04", "2021-01-04", "", "X?", 0.7, 9.0), ("will-x", "2021-01-05", "2021-01-05", "", "X?", 0.4, 9.0), ("m2", "2021-01-04", "2021-01-04", "", "Y?", 0.5, 0.0)],
-    ("market_id string, slug string, question string, createdTime long, probAfter double, volume double", [("m1", "will-x", "X?", 1609718400000, 0.1, 9.0), ("m1", "will-x", "X?", 1609718500000, 0.7, 9.0), ("m1", "will-x", "X?", 1609804800000, 0.4, 9.0), ("m2", None, "Y?", 1609718400000, 0.5, None)]),
+    ("market_id string, slug string, question string, createdTime long, probAfter double, volume double", [("m1", "will-x", "X?", 1609718400000,
+        0.1, 9.0), ("m1", "will-x", "X?", 1609718500000, 0.7, 9.0), ("m1", "will-x", "X?", 1609804800000, 0.4, 9.0), ("m2", None, "Y?", 1609718400000,
+        0.5, None)]),
 )
 landed(
     "predict_polymarket", "question s, probability d, outcome s, volume d", [("will-y", "2021-01-04", "2021-01-04", "", "Y?", 0.25, "Up", 5.0), ("m2", "2021-01-04", "2021-01-04", "", "Z?", 0.5, "Yes", 0.0)],
@@ -192,7 +217,10 @@ landed(
 )
 landed(
     "predict_kalshi", "title s, probability d, series s", [("K1", "2021-01-04", "2021-01-04", "", "CPI?", 0.75, "CPI"), ("K1", "2021-01-05", "2021-01-05", "", "CPI?", 0.5, "CPI")],
-    ("series string, ticker string, title string, volume double, end_period_ts long, close double, mean double, previous double, yes_bid double, yes_ask double", [("CPI", "K1", "CPI?", 9.0, 1609718400, 0.6, None, None, 0.0, 0.0), ("CPI", "K1", "CPI?", 9.0, 1609718500, None, 0.75, 0.1, 0.0, 0.0), ("CPI", "K1", "CPI?", 9.0, 1609804800, None, None, None, 0.4, 0.6), ("CPI", "K1", "CPI?", 9.0, 1609891200, None, None, None, 0.0, 0.0), ("CPI", "K2", "CPI 2?", 1.0, 1609718400, 0.9, None, None, None, None)]),
+    ("series string, ticker string, title string, volume double, end_period_ts long, close double, mean double, previous double, yes_bid double, yes_ask double",
+        [("CPI", "K1", "CPI?", 9.0, 1609718400, 0.6, None, None, 0.0, 0.0), ("CPI", "K1", "CPI?", 9.0, 1609718500, None, 0.75, 0.1, 0.0, 0.0),
+        ("CPI", "K1", "CPI?", 9.0, 1609804800, None, None, None, 0.4, 0.6), ("CPI", "K1", "CPI?", 9.0, 1609891200, None, None, None, 0.0, 0.0),
+        ("CPI", "K2", "CPI 2?", 1.0, 1609718400, 0.9, None, None, None, None)]),
     top=1,
 )
 landed(
@@ -201,7 +229,9 @@ landed(
 )
 landed(
     "clinical_trials", "nct_id s, title s, status s, phase s, sponsor s, sponsor_class s, conditions s", [("Acme", "2021-01-04", "2021-01-04", "", "NCT1", "A trial", "RECRUITING", "PHASE1, PHASE2", "Acme", "INDUSTRY", "Asthma, Cough")],
-    ("protocolSection struct<identificationModule:struct<nctId:string,briefTitle:string>,statusModule:struct<overallStatus:string,studyFirstPostDateStruct:struct<date:string>>,designModule:struct<phases:array<string>>,sponsorCollaboratorsModule:struct<leadSponsor:struct<name:string,class:string>>,conditionsModule:struct<conditions:array<string>>>", [((("NCT1", "A trial"), ("RECRUITING", ("2021-01-04",)), (["PHASE1", "PHASE2"],), (("Acme", "INDUSTRY"),), (["Asthma", "Cough"],)),), ((("NCT2", "No date"), ("RECRUITING", (None,)), ([],), (("Acme", "INDUSTRY"),), ([],)),)]),
+    ("protocolSection struct<identificationModule:struct<nctId:string,briefTitle:string>,statusModule:struct<overallStatus:string,studyFirstPostDateStruct:struct<date:string>>,designModule:struct<phases:array<string>>,sponsorCollaboratorsModule:struct<leadSponsor:struct<name:string,class:string>>,conditionsModule:struct<conditions:array<string>>>",
+        [((("NCT1", "A trial"), ("RECRUITING", ("2021-01-04",)), (["PHASE1", "PHASE2"],), (("Acme", "INDUSTRY"),), (["Asthma", "Cough"],)),
+       ), ((("NCT2", "No date"), ("RECRUITING", (None,)), ([],), (("Acme", "INDUSTRY"),), ([],)),)]),
 )
 
 

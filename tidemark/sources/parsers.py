@@ -132,7 +132,8 @@ def fundamentals_sec(put, raw):
 
 
 #: Column of the source to column of the lake.
-COT = {"open_interest_all": "open_interest", "noncomm_positions_long_all": "noncomm_long", "noncomm_positions_short_all": "noncomm_short", "comm_positions_long_all": "comm_long", "comm_positions_short_all": "comm_short", "nonrept_positions_long_all": "nonrept_long", "nonrept_positions_short_all": "nonrept_short"}
+COT = {"open_interest_all": "open_interest", "noncomm_positions_long_all": "noncomm_long", "noncomm_positions_short_all": "noncomm_short",
+    "comm_positions_long_all": "comm_long", "comm_positions_short_all": "comm_short", "nonrept_positions_long_all": "nonrept_long", "nonrept_positions_short_all": "nonrept_short"}
 
 
 @source("cftc_cot", "positioning", "cftc", "year", "event + 3 days")
@@ -321,7 +322,9 @@ def nasa_events(put, raw):
     xy = lambda i: F.get(c("g.coordinates"), F.lit(i)).cast("double")
     at = ts(c("g.date"))
     df = df.where(at.isNotNull() & (F.size("g.coordinates") >= 2))
-    return put(df, entity=c("category"), event_time=at, lag="1 DAY", payload={"category": c("category"), "title": c("title"), "longitude": xy(0), "latitude": xy(1), "magnitude_value": c("g.magnitudeValue").cast("double"), "magnitude_unit": F.coalesce(c("g.magnitudeUnit").cast("string"), F.lit("")), "event_id": c("id")})
+    return put(df, entity=c("category"), event_time=at, lag="1 DAY", payload={"category": c("category"), "title": c("title"), "longitude": xy(0),
+        "latitude": xy(1), "magnitude_value": c("g.magnitudeValue").cast("double"), "magnitude_unit": F.coalesce(c("g.magnitudeUnit").cast("string"),
+        F.lit("")), "event_id": c("id")})
 
 
 @source("crypto_funding", "crypto_deriv", "okx", "instrument", "settlement")
@@ -371,7 +374,8 @@ def clinical_trials(put, raw, most_conditions=None):
     conditions = c(p + "conditionsModule.conditions")
     conditions = F.array_join(F.slice(conditions, 1, most_conditions) if most_conditions else conditions, ", ")
     at = ts(c(p + "statusModule.studyFirstPostDateStruct.date").cast("string"))
-    payload = {"nct_id": c(p + "identificationModule.nctId"), "title": c(p + "identificationModule.briefTitle"), "status": c(p + "statusModule.overallStatus"), "phase": F.array_join(c(p + "designModule.phases"), ", "), "sponsor": sponsor["name"], "sponsor_class": sponsor["class"], "conditions": conditions}
+    payload = {"nct_id": c(p + "identificationModule.nctId"), "title": c(p + "identificationModule.briefTitle"), "status": c(p + "statusModule.overallStatus"),
+        "phase": F.array_join(c(p + "designModule.phases"), ", "), "sponsor": sponsor["name"], "sponsor_class": sponsor["class"], "conditions": conditions}
     return put(raw.where(at.isNotNull()), entity=sponsor["name"], event_time=at, payload=payload)
 
 
@@ -398,7 +402,9 @@ def market_fng(put, raw):
 
 for _name, _domain, _source in (("features", "features", "derived"), ("entity_graph", "graph", "derived"), ("surprise_index", "derived", "surprise")):
     SOURCES[_name] = Source(_name, _domain, _source, "kind", "greatest of its inputs", None)
-for _name, _domain, _source in (("options_polygon", "options", "polygon"), ("intraday_polygon", "market", "polygon_intraday"), ("transcripts_fmp", "fundamentals", "fmp_transcripts"), ("estimates_fmp", "fundamentals", "fmp_estimates"), ("news_tiingo", "news", "tiingo"), ("shipping_ais", "alt", "shipping_ais")):
+for _name, _domain, _source in (("options_polygon", "options", "polygon"), ("intraday_polygon", "market", "polygon_intraday"), ("transcripts_fmp",
+    "fundamentals", "fmp_transcripts"), ("estimates_fmp", "fundamentals", "fmp_estimates"), ("news_tiingo", "news", "tiingo"), ("shipping_ais",
+    "alt", "shipping_ais")):
     SOURCES[_name] = Source(_name, _domain, _source, "", "needs a key; no data", None)
 
 
