@@ -97,9 +97,23 @@ def name_features(a: str, b: str) -> tuple[float, ...]:
     return (own, float(distance == 0), float(fit), float(bool(kinds_a and kinds_b) and not fit), float(bool(legal_a) and legal_a == legal_b), float(bool(legal_a and legal_b) and legal_a != legal_b), len(ga & gb) / max(1, len(ga | gb)))
 
 
+def _may_fit(a: Column, b: Column) -> Column:
+    """False only for pairs whose `own` cannot exceed 0.3, told in the JVM: single words of which one has at most 12 letters
+    need at most two edits for it, and a swap of neighbours counts for two here."""
+    single = ~F.contains(a, F.lit(" ")) & ~F.contains(b, F.lit(" "))
+    return ~(single & (F.least(F.length(a), F.length(b)) <= 12)) | (F.levenshtein(a, b, 4) >= 0)
+
+
 def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     """`l, r` and name features of candidate pairs: left and right are `entity, name, n`, names of entities with counts."""
-    ids = lambda df, n: cut(df.select("name").distinct().withColumn("id", F.monotonically_increasing_id()), n)
+    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(text=[" ".join(organisation(n)[0]) for n in pdf["name"]])
+
+    def ids(df: DataFrame, label: str) -> DataFrame:
+        numbered = df.select("name").distinct().withColumn("id", F.monotonically_increasing_id())
+        return cut(spread(numbered).mapInPandas(describe, "name string, id long, text string"), label)
+
     ln, rn = ids(left, "left"), ids(right, "right")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -111,7 +125,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
         lk, rk = block_keys(ln.select("id", "name"), wide), block_keys(rn.select("id", "name"), wide)
         # the size of what Python gives is unknown to the planner, so nothing of it may be broadcast
         pairs = lk.select("key", F.col("id").alias("lid")).hint("merge").join(rk.select("key", F.col("id").alias("rid")), "key").select("lid", "rid").distinct()
-        named = pairs.join(ln.withColumnsRenamed({"id": "lid", "name": "ln"}), "lid").join(rn.withColumnsRenamed({"id": "rid", "name": "rn"}), "rid").select("ln", "rn")
+        named = pairs.join(ln.withColumnsRenamed({"id": "lid", "name": "ln", "text": "lt"}), "lid").join(rn.withColumnsRenamed({"id": "rid", "name": "rn", "text": "rt"}), "rid")
+        named = named.where(_may_fit(F.col("lt"), F.col("rt"))).select("ln", "rn")
         return cut(spread(named).mapInPandas(run, "ln string, rn string, " + ", ".join(f"{f} double" for f in FEATURES)), name)
 
     scored = pass_over(ln, False, "scored")
